@@ -69,7 +69,7 @@ def country_key(name: Column) -> Column:
 
 def country_dim(spark: SparkSession) -> DataFrame:
     """``(key, code)``: English names and two-letter codes from the JVM's own locale data,
-    three-letter codes as they are, and the aliases above.  Under 1,000 short rows."""
+    and the aliases above.  Under 1,000 short rows.  (Three-letter words pass unchanged.)"""
     locale = spark._jvm.java.util.Locale
     rows = list(COUNTRY_ALIASES.items())
     for two in locale.getISOCountries():

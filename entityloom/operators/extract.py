@@ -305,7 +305,7 @@ def classify(text: Column, targets: dict[str, str]) -> Column:
     return F.try_element_at(lookup(targets), text)
 
 
-def listing_links(shredded: DataFrame, packs: tuple[SourceRules, ...], source: str = "source") -> DataFrame:
+def listing_links(shredded: DataFrame, packs: tuple[SourceRules, ...], source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
     """Profile links of listing pages: ``source``, ``url``, one row each, made absolute."""
     elements, texts = F.col("elements"), F.col("texts")
     branches = []
@@ -317,4 +317,4 @@ def listing_links(shredded: DataFrame, packs: tuple[SourceRules, ...], source: s
     links = F.when(*branches[0])
     for branch in branches[1:]:
         links = links.when(*branch)
-    return shredded.select(F.col(source).alias("source"), F.explode(links).alias("url"))
+    return shredded.select(*keep, F.col(source).alias("source"), F.explode(links).alias("url"))

@@ -23,13 +23,15 @@ def best_known(column: str, *order: str) -> Column:
     return F.min_by(F.col(column), F.when(F.col(column).isNotNull(), key)).alias(column)
 
 
-def merge_by_priority(df: DataFrame, entity: str, fields: tuple[str, ...], *order: str) -> DataFrame:
+def merge_by_priority(df: DataFrame, entity: str, fields: tuple[str, ...], *order: str, counts: str | None = None) -> DataFrame:
     """One row per entity: every field from the best record that knows it.
 
     Spark combines records of one entity already on the map side, so that an entity with
-    very many records sends one partial row per task.
+    very many records sends one partial row per task.  ``counts`` names a column for the
+    number of records.
     """
-    return df.groupBy(entity).agg(*[best_known(f, *order) for f in fields])
+    n_records = [F.count(F.lit(1)).alias(counts)] if counts else []
+    return df.groupBy(entity).agg(*n_records, *[best_known(f, *order) for f in fields])
 
 
 def clean_strings(df: DataFrame) -> DataFrame:

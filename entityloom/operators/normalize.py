@@ -77,10 +77,10 @@ def profile_texts(extracted: DataFrame, packs: tuple[SourceRules, ...], *keep: s
     return extracted.select(*keep, *[field(f) for f in FIELDS])
 
 
-def score_of(source: Column, field: str, value: Column) -> Column:
+def score_of(source: Column, field: str, value: Column, scales: dict = scores.SCORE_SCALES) -> Column:
     """Score on 0..10 by the source's own scale; a source without one is taken as is."""
     out = F.bround(scores.to_number(value), 1)
-    for (src, name), (words, lo, hi) in scores.SCORE_SCALES.items():
+    for (src, name), (words, lo, hi) in scales.items():
         if name == field:
             number = scores.word_value(value, scores.WORD_SCALES[words]) if words else value
             out = F.when(source == src, scores.rescale(number, lo, hi)).otherwise(out)

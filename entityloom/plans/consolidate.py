@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from entityloom.operators.merge import clean_strings, merge_by_priority, source_priority
 from entityloom.operators.quality import MIN_KNOWN, REQUIRED, keep_valid
 from entityloom.operators.resolve import greedy_clusters, transitive_clusters
-from entityloom.schema import FIELDS
+from entityloom.schema import FIELDS, SOURCE_PRIORITY
 from entityloom.session import staged
 
 MATCH_KEYS = ("name", "ticker", "web_page")
@@ -21,6 +21,7 @@ def consolidate(
     required: tuple[str, ...] = REQUIRED,
     minimum: int = MIN_KNOWN,
     match_keys: tuple[str, ...] = MATCH_KEYS,
+    priority: dict[str, int] = SOURCE_PRIORITY,
     transitive: bool = False,
     null_matches: bool = False,
 ) -> DataFrame:
@@ -28,7 +29,7 @@ def consolidate(
 
     ``records`` carry a unique long ``rank`` (merge order, lowest first) next to the fields.
     """
-    valid = keep_valid(records.withColumn("_priority", source_priority(F.col("source"))), required, fields, minimum)
+    valid = keep_valid(records.withColumn("_priority", source_priority(F.col("source"), priority)), required, fields, minimum)
     valid, _ = staged(valid.select(rank, "_priority", *fields), "valid")
     form = transitive_clusters if transitive else greedy_clusters
     entities = form(valid, rank, {k: F.col(k) for k in match_keys}, null_matches)

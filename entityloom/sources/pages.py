@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Executors need not have this package installed: the task code travels by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,7 +26,7 @@ def charset_of(content_type: Column) -> Column:
     return F.coalesce(F.nullif(named, F.lit("")), F.lit("utf-8"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_other(body: pd.Series, charset: pd.Series) -> pd.Series:
     """Charsets the JVM functions do not know; an unknown name means utf-8, bad bytes mean NULL."""
 

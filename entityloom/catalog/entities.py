@@ -40,9 +40,9 @@ def order_records(t: Tables) -> DataFrame:
 _ORDER_RECORDS = """select o_custkey as entity, o_orderkey as rank,
       coalesce(case o_orderpriority when '1-URGENT' then 1 when '2-HIGH' then 2 when '3-MEDIUM' then 3 when '5-LOW' then 5 end, 9) as prio,
       nullif(o_orderpriority, '4-NOT SPECIFIED') as word,
-      round_even((case o_orderpriority when '1-URGENT' then 1 when '2-HIGH' then 2 when '3-MEDIUM' then 3 when '5-LOW' then 5 end - 1) * 10 / 4.0::double, 1) as urgency,
+      show1((case o_orderpriority when '1-URGENT' then 1 when '2-HIGH' then 2 when '3-MEDIUM' then 3 when '5-LOW' then 5 end - 1) * 10 / 4.0::double) as urgency,
       nullif(o_orderstatus, 'P') as state,
-      case when o_totalprice >= 20000 then round_even(o_totalprice * 10 / 500000, 1) end as price,
+      case when o_totalprice >= 20000 then show1(o_totalprice * 10 / 500000) end as price,
       strftime(o_orderdate, '%Y-%m-%d') as day from orders"""
 _KNOWN = "((word is not null)::int + (urgency is not null)::int + (state is not null)::int + (price is not null)::int + (day is not null)::int)"
 _BEST = ", ".join(f"arg_min({f}, (prio, rank)) filter (where {f} is not null) as {f}" for f in ORDER_FIELDS)

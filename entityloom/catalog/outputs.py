@@ -68,7 +68,7 @@ def surrogate_keys(t: Tables) -> DataFrame:
 
 @query(
     """with n as (select row_number() over (order by c_custkey) as id, * from customer)
-       select id, c_name as name, c_mktsegment as platform, round_even(c_acctbal / 1000, 1) as team_score,
+       select id, c_name as name, c_mktsegment as platform, show1(c_acctbal * 10 / 10000) as team_score,
          'https://t.me/' || c_custkey as telegram_page, null::bigint as btc_num_comments, null::varchar as reddit_page,
          '2024-01-01' as created_at
        from n"""

@@ -34,13 +34,27 @@ class Entry:
 CATALOG: dict[str, Entry] = {}
 
 
+def printed(sql: str) -> str:
+    """Expand ``show1(x)`` and ``show0(x)``: x as printed with one or no decimal, as a number."""
+    for name, layout in (("show1(", "{:.1f}"), ("show0(", "{:.0f}")):
+        while name in sql:
+            start = sql.index(name)
+            end, depth = start + len(name), 1
+            while depth:
+                depth += {"(": 1, ")": -1}.get(sql[end], 0)
+                end += 1
+            inner = sql[start + len(name) : end - 1]
+            sql = f"{sql[:start]}(format('{layout}', ({inner})::double)::double + 0){sql[end:]}"
+    return sql
+
+
 def query(sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     """Register a function of ``Tables`` under its own name."""
 
     def add(fn: QueryFn) -> QueryFn:
         if fn.__name__ in CATALOG:
             raise ValueError(f"two queries named {fn.__name__}")
-        CATALOG[fn.__name__] = Entry(lambda spark, folder: fn(Tables(spark, folder)), sql)
+        CATALOG[fn.__name__] = Entry(lambda spark, folder: fn(Tables(spark, folder)), printed(sql) if sql else None)
         return fn
 
     return add

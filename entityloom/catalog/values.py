@@ -310,8 +310,8 @@ def eligible(t: Tables) -> DataFrame:
 
 
 @query(
-    """select event_id, round_even(value / 10, 1) as ten, round_even(value * 2, 0) as whole,
-         round_even(10 - value / 10, 1) as turned from events"""
+    """select event_id, show1(value * 10 / 100) as ten, show0(value * 100 / 50) as whole,
+         show1(10 + value * -10 / 100) as turned from events"""
 )
 def rescale(t: Tables) -> DataFrame:
     v = F.col("value")
@@ -359,13 +359,12 @@ def ordinal_words(t: Tables) -> DataFrame:
     """with s as (select p_partkey, ['icodrops','icobazaar','icobench','trackico','tokentops','icomarks','icoratings'][p_partkey % 7 + 1] as source,
            p_size / 10.0::double as v, p_size % 5 + 1 as w from part)
        select p_partkey, source,
-         case when source = 'icodrops' then null when source = 'icomarks' then round_even(v, 1)
-              when source = 'icoratings' then round_even(v, 1) else round_even(v * 10 / 5, 1) end as website_overall_rating,
-         case when source = 'icobazaar' then round_even(v * 10 / 100, 1) when source = 'icobench' then round_even(v * 10 / 5, 1)
-              else round_even(v, 1) end as team_score,
-         case when source = 'tokentops' then round_even(v * 10 / 100, 1) else round_even(v, 1) end as user_review_score,
-         case when source = 'icodrops' then round_even((w - 1) * 10 / 4.0::double, 1) when source = 'icoratings' then round_even(v * 10 / 5, 1)
-              else round_even(v, 1) end as risk_score
+         case when source = 'icodrops' then null when source in ('icomarks', 'icoratings') then v else show1(v * 10 / 5) end as website_overall_rating,
+         case when source = 'icobazaar' then show1(v * 10 / 100) when source = 'icobench' then show1(v * 10 / 5)
+              else v end as team_score,
+         case when source = 'tokentops' then show1(v * 10 / 100) else v end as user_review_score,
+         case when source = 'icodrops' then show1((w - 1) * 10 / 4.0::double) when source = 'icoratings' then show1(v * 10 / 5)
+              else v end as risk_score
        from s"""
 )
 def source_scales(t: Tables) -> DataFrame:
@@ -466,8 +465,8 @@ def conform_record(t: Tables) -> DataFrame:
          case when source = 'icodrops' then (case when st = 'F' then 'ended' end)
               when date '1998-08-01' between s and e then 'active' when date '1998-08-01' < s then 'upcoming' else 'ended' end as status,
          'https://t.me/x' || o_orderkey as telegram_page,
-         case when source = 'icodrops' then null when source in ('icomarks', 'icoratings') then round_even(floor(p / 1000) / 100, 1)
-              else round_even(floor(p / 1000) / 100 * 2, 1) end as website_overall_rating,
+         case when source = 'icodrops' then null when source in ('icomarks', 'icoratings') then floor(p / 1000) / 100
+              else show1(floor(p / 1000) / 100 * 10 / 5) end as website_overall_rating,
          st = 'O' as kyc
        from n"""
 )

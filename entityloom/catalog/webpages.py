@@ -25,7 +25,7 @@ from entityloom.operators.extract import (
     take,
     unmapped_labels,
 )
-from entityloom.operators.packs import BAZAAR_ICONS, TRACK_TOKENS
+from entityloom.operators.packs import BAZAAR_ICONS, BENCH, MARKS, RATING, TRACK_TOKENS
 from entityloom.operators.shred import element_table, shred
 from entityloom.plans.profiles import build_profiles
 from entityloom.sources.pages import decode_pages
@@ -44,7 +44,10 @@ PAGE_RULES = SourceRules(
     ),
     listing=(Sel("a", attrs={"href": None}), "href", (NAV,)),
 )
-_DECODED = "replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_DECODED = (
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), "
+    "'&quot;?', '\"', 'g'), '&amp;?', '&', 'g')"
+)
 _TITLE = _DECODED.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")
 _H1 = _DECODED.format("regexp_extract(html, '<h1>([^<]*)</h1>', 1)")
 _BLANKS = "E' \\t\\n\\r\\f\\x0b' || chr(160)"
@@ -394,14 +397,15 @@ def part_profile_pages(t: Tables) -> DataFrame:
          'T' || p_partkey as ticker, d as ico_start, d + 30 as ico_end,
          case when date '1998-08-01' < d then 'upcoming' when date '1998-08-01' > d + 30 then 'ended' else 'active' end as status,
          case k when 0 then null when 1 then 'DEU' else 'GBR' end as country,
-         case k when 0 then null when 1 then round_even(s, 1) else round_even(s * 2, 1) end as website_overall_rating,
-         case when k = 0 then round_even(s * 2, 1) end as risk_score, case when k = 2 then round_even(s * 2, 1) end as team_score,
+         case k when 0 then null when 1 then s else show1(s * 10 / 5) end as website_overall_rating,
+         case when k = 0 then show1(s * 10 / 5) end as risk_score, case when k = 2 then show1(s * 10 / 5) end as team_score,
          case when k = 1 then 'https://www.t.me/p' else 'https://t.me/p' end || p_partkey as telegram_page
        from p"""
 )
 def profiles_from_pages(t: Tables) -> DataFrame:
     """Pages of several sources, one of them on two pages each, to typed profiles."""
-    profiles = build_profiles(part_profile_pages(t), F.lit("1998-08-01").cast("date"))
+    packs = (RATING, MARKS, BENCH)
+    profiles = build_profiles(part_profile_pages(t), F.lit("1998-08-01").cast("date"), packs)
     return profiles.select(
         "source", "ico_url", "name", "ticker", "ico_start", "ico_end", "status", "country",
         "website_overall_rating", "risk_score", "team_score", "telegram_page",

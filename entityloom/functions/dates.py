@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from entityloom.functions.text import squash, strip
 from entityloom.schema import ACTIVE, ENDED, UPCOMING
 
-# The date layouts the sources use.
-DATE_FORMATS = (
-    "MMMM d, yyyy",
-    "MMM. d, yyyy",
-    "d MMMM yyyy",
-    "d.M.yyyy",
-    "d MMM yyyy",
-    "yyyy-M-d",
-    "yyyy.M.d",
+# The date layouts the sources use, each with the shape of its texts.  The
+# shape is tested first, since a failing parse costs far more than a failing match.
+DATE_LAYOUTS = (
+    (r"^[A-Za-z]{3,} \d{1,2}, \d{4}$", "MMMM d, yyyy"),
+    (r"^[A-Za-z]{3}\. \d{1,2}, \d{4}$", "MMM. d, yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+    (r"^\d{4}\.\d{1,2}\.\d{1,2}$", "yyyy.M.d"),
 )
 
 
@@ -26,15 +27,31 @@ def tidy_date_text(c: Column) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    """The first layout that fits, else NULL."""
-    text = tidy_date_text(c)
-    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
+    """The date in the layout that fits, else NULL."""
+    return parse_tidy_date(tidy_date_text(c))
+
+
+def parse_tidy_date(text: Column) -> Column:
+    """As ``parse_date`` for a column that already holds tidy texts.
+
+    Where many columns are parsed, tidy them in a projection of their own: an expression
+    below several conditions would be computed under each of them.
+    """
+    shape, layout = DATE_LAYOUTS[0]
+    parsed = F.when(text.rlike(shape), F.try_to_date(text, layout))
+    for shape, layout in DATE_LAYOUTS[1:]:
+        parsed = parsed.when(text.rlike(shape), F.try_to_date(text, layout))
+    return parsed
 
 
 def parse_day_month(c: Column, as_of: Column) -> Column:
     """``29 Feb`` -> that day in the year of ``as_of``; NULL where the year has no such day."""
-    text = F.concat_ws(" ", tidy_date_text(c), F.year(as_of).cast("string"))
-    return F.when(c.isNotNull(), F.try_to_date(text, "d MMM yyyy"))
+    return parse_tidy_day_month(tidy_date_text(c), as_of)
+
+
+def parse_tidy_day_month(text: Column, as_of: Column) -> Column:
+    dated = F.concat(text, F.lit(" "), F.year(as_of).cast("string"))
+    return F.when(text.rlike(r"^\d{1,2} [A-Za-z]{3}$"), F.try_to_date(dated, "d MMM yyyy"))
 
 
 def repair_years(start: Column, end: Column, status: Column, as_of: Column) -> tuple[Column, Column]:

@@ -64,11 +64,20 @@ def to_number(c: Column) -> Column:
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def rounded(c: Column, decimals: int = 1) -> Column:
+    """Round as the number is printed: by its exact binary value, ties to the even digit.
+
+    (0.35 is stored a little below 0.35 and gives 0.3; ``bround`` would see a tie.)
+    """
+    layout = "0." + "0" * decimals if decimals else "0"
+    return F.call_function("format_number", c, F.lit(layout)).try_cast("double") + F.lit(0.0)
+
+
 def rescale(c: Column, lo, hi, to_lo=TARGET_SCALE[0], to_hi=TARGET_SCALE[1], decimals: int = 1) -> Column:
-    """Move a score from the scale lo..hi to to_lo..to_hi; ties go to the even digit."""
+    """Move a score from the scale lo..hi to to_lo..to_hi."""
     as_col = lambda v: v if isinstance(v, Column) else F.lit(float(v))
     lo, hi, to_lo, to_hi = map(as_col, (lo, hi, to_lo, to_hi))
-    return F.bround(to_lo + (to_number(c) - lo) * (to_hi - to_lo) / (hi - lo), decimals)
+    return rounded(to_lo + (to_number(c) - lo) * (to_hi - to_lo) / (hi - lo), decimals)
 
 
 def word_value(c: Column, words: dict[str, int]) -> Column:

@@ -32,6 +32,12 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 
 
+def known_text(c: Column, sentinel: str = MISSING) -> Column:
+    """Stripped text; the sentinel and blanks are NULL."""
+    text = strip(c)
+    return F.when(~text.isin(sentinel, ""), text)
+
+
 def title_case(c: Column) -> Column:
     return F.initcap(squash(c))
 

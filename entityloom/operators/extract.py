@@ -198,11 +198,12 @@ def go(elements: Column, texts: Column, e: Column, move: Move) -> Column:
         return F.get(F.filter(below(elements, e), fits), F.lit(move.nth - 1))
 
     def sibling(up: Column) -> Column:
+        # A fragment without an enclosing element: its siblings stand at the top.
+        first, last = F.coalesce(up["pos"], F.lit(-1)), F.coalesce(up["last"], F.size(elements) - 1)
+        near = lambda x: x["parent"].eqNullSafe(e["parent"]) & fits(x)
         if move.how == "following":
-            behind = F.slice(elements, e["last"] + 2, up["last"] - e["last"])
-            return F.get(F.filter(behind, lambda x: (x["parent"] == e["parent"]) & fits(x)), F.lit(0))
-        before = F.slice(elements, up["pos"] + 2, e["pos"] - up["pos"] - 1)
-        return F.try_element_at(F.filter(before, lambda x: (x["parent"] == e["parent"]) & fits(x)), F.lit(-1))
+            return F.get(F.filter(F.slice(elements, e["last"] + 2, last - e["last"]), near), F.lit(0))
+        return F.try_element_at(F.filter(F.slice(elements, first + 2, e["pos"] - first - 1), near), F.lit(-1))
 
     return bind(F.get(elements, e["parent"]), sibling)
 

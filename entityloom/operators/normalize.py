@@ -79,7 +79,7 @@ def profile_texts(extracted: DataFrame, packs: tuple[SourceRules, ...], *keep: s
 
 def score_of(source: Column, field: str, value: Column, scales: dict = scores.SCORE_SCALES) -> Column:
     """Score on 0..10 by the source's own scale; a source without one is taken as is."""
-    out = F.bround(scores.to_number(value), 1)
+    out = scores.to_number(value)
     for (src, name), (words, lo, hi) in scales.items():
         if name == field:
             number = scores.word_value(value, scores.WORD_SCALES[words]) if words else value
@@ -89,14 +89,20 @@ def score_of(source: Column, field: str, value: Column, scales: dict = scores.SC
 
 def normalize(profiles: DataFrame, as_of: Column, *keep: str) -> DataFrame:
     """Typed profiles from profile texts: dates, status, links, scores and flags."""
-    col = lambda name: tx.blank_to_null(tx.missing_to_null(F.col(name)))
     source = F.col("source")
     yearless = source == YEARLESS_SOURCE
 
-    parsed = {d: dates.parse_date(col(d)) for d in DATES}
+    # First projection: every text is cleaned once, before conditions multiply its uses.
+    def cleaned(name: str) -> Column:
+        text = tx.known_text(F.col(name))
+        return (dates.tidy_date_text(text) if name in DATES else text).alias(name)
+
+    texts = profiles.select(*keep, *[cleaned(f) for f in FIELDS])
+    col = F.col
+
+    typed: dict[str, Column] = {d: dates.parse_tidy_date(col(d)) for d in DATES}
     for d in ("ico_start", "ico_end"):
-        parsed[d] = F.when(yearless, dates.parse_day_month(col(d), as_of)).otherwise(parsed[d])
-    typed: dict[str, Column] = dict(parsed)
+        typed[d] = F.when(yearless, dates.parse_tidy_day_month(col(d), as_of)).otherwise(typed[d])
     for name, dtype in FIELD_TYPES.items():
         if name in SCORES:
             typed[name] = score_of(source, name, col(name))
@@ -106,9 +112,9 @@ def normalize(profiles: DataFrame, as_of: Column, *keep: str) -> DataFrame:
             typed[name] = tx.yes_no(col(name))
         elif name not in DATES:
             typed[name] = col(name).try_cast(dtype)
-    first = profiles.select(*keep, *[typed[f].alias(f) for f in FIELDS])
+    first = texts.select(*keep, *[typed[f].alias(f) for f in FIELDS])
 
-    # Second projection: status and years need the parsed dates.
+    # Third projection: status and years need the parsed dates.
     start, end, status = F.col("ico_start"), F.col("ico_end"), F.col("status")
     new_start, new_end = dates.repair_years(start, end, status, as_of)
     again = {

@@ -117,7 +117,7 @@ def match_links(t: Tables) -> DataFrame:
 def match_seeds(t: Tables) -> DataFrame:
     """For every part the first large part that it matches on any key."""
     df, keys = part_keys(t)
-    return resolve.matches_of(df.where("p_size >= 40"), df, "p_partkey", keys)
+    return resolve.matches_of(df, "p_partkey", keys, F.col("p_size") >= 40)
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityloom.catalog.registry import Tables, query
@@ -26,8 +26,10 @@ from entityloom.operators.extract import (
     unmapped_labels,
 )
 from entityloom.operators.packs import BAZAAR_ICONS, BENCH, MARKS, RATING, TRACK_TOKENS
-from entityloom.operators.shred import element_table, shred
+from entityloom.operators.shred import element_table, register_page_elements, shred
+from entityloom.plans.consolidate import consolidate
 from entityloom.plans.profiles import build_profiles
+from entityloom.sinks.tables import number_rows
 from entityloom.sources.pages import decode_pages
 
 TOPICS = {"THE": "topic_the", "AND": "topic_and", "LE": "topic_le", "DE": "topic_de", "LA": "topic_la", "EN": "topic_en", "OF": "topic_of"}
@@ -210,6 +212,23 @@ def shred_elements(t: Tables) -> DataFrame:
     return rows.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """select page_id, unnest(range(len(hs))) as link_no, unnest(hs) as href, unnest(ws) as word from (
+         select page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) as hs,
+           regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) as ws from pages)"""
+)
+def elements_in_sql(t: Tables) -> DataFrame:
+    """The shredder as a table function in SQL."""
+    register_page_elements(t.spark)
+    links_ = t.spark.sql(
+        """select page_id, pos, e.attrs['href'] as href, e.own_text as word
+           from {pages}, lateral page_elements(html) e where e.tag = 'a'""",
+        pages=t.pages,
+    )
+    number = F.row_number().over(Window.partitionBy("page_id").orderBy("pos")) - 1
+    return links_.select("page_id", number.cast("bigint").alias("link_no"), "href", "word")
+
+
 @query(f"""select page_id, trim({_TITLE}, {_BLANKS}) as title, trim({_H1}, {_BLANKS}) as heading from pages""")
 def element_text(t: Tables) -> DataFrame:
     e, x = F.col("elements"), F.col("texts")
@@ -388,7 +407,8 @@ def part_profile_pages(t: Tables) -> DataFrame:
         .when(kind == 1, F.array(page("icomarks", "", marks)))
         .otherwise(F.array(page("icobench", "", bench)))
     )
-    return t.part.select(F.explode(pages).alias("p")).select("p.*")
+    # The scan is small and the work per page is not: spread the keys before the pages are made.
+    return t.part.repartition("p_partkey").select(F.explode(pages).alias("p")).select("p.*")
 
 
 @query(
@@ -410,3 +430,12 @@ def profiles_from_pages(t: Tables) -> DataFrame:
         "source", "ico_url", "name", "ticker", "ico_start", "ico_end", "status", "country",
         "website_overall_rating", "risk_score", "team_score", "telegram_page",
     )
+
+
+@query()
+def entities_from_pages(t: Tables) -> DataFrame:
+    """Pages of several sources to merged entities; names are few, so blocks are large."""
+    profiles = build_profiles(part_profile_pages(t), F.lit("1998-08-01").cast("date"), (RATING, MARKS, BENCH))
+    ranked = number_rows(profiles, "source", "ico_url", name="rank")
+    merged = consolidate(ranked)
+    return merged.select("entity", "source", "name", "ticker", "status", "country", "website_overall_rating", "risk_score", "telegram_page")

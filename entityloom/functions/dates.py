@@ -85,7 +85,7 @@ def period_status(start: Column, end: Column, as_of: Column) -> Column:
 
 
 def range_side(c: Column, side: int, separator: str = "-", exactly_two: bool = False, last_word: bool = False) -> Column:
-    """One side (0 start, 1 end) of a date range text.
+    """One side (0 start, 1 end) of a date range text; a text without separator is a start.
 
     ``exactly_two`` gives NULL unless the separator occurs once; ``last_word`` keeps the
     last word of the side, for texts such as ``Starts 01.02.2018 - ends 03.04.2018``.
@@ -94,7 +94,7 @@ def range_side(c: Column, side: int, separator: str = "-", exactly_two: bool = F
     value = strip(F.get(parts, F.lit(side)))
     if last_word:
         value = F.try_element_at(F.split(value, r"\s+"), F.lit(-1))
-    ok = F.size(parts) == 2 if exactly_two else F.size(parts) >= 2
+    ok = F.size(parts) == 2 if exactly_two else F.size(parts) > side
     return F.when(ok, F.nullif(value, F.lit("")))
 
 

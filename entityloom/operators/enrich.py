@@ -44,22 +44,30 @@ def floor_mean(total: Column, n: Column) -> Column:
     return F.when(n > 0, F.floor(total / n))
 
 
-def community_posts(shredded: DataFrame, url: str = "url") -> DataFrame:
-    """Posts on shredded community pages: ``(url, comment_label, author)``, one row each."""
-    elements, texts = F.col("elements"), F.col("texts")
-    posts = find_all(elements, texts, Sel("div", ("top-matter",)))
+def page_posts(elements: Column, texts: Column) -> Column:
+    """Posts on a shredded page: ``array<struct<comment_label,author>>``."""
     label = Part((Move("find", Sel("li", ("first",))), Move("find", Sel("a"))))
     author = Part((Move("find", Sel("p", ("tagline",))), Move("find", Sel("a"))))
-    read = F.transform(
-        posts,
+    return F.transform(
+        find_all(elements, texts, Sel("div", ("top-matter",))),
         lambda p: F.struct(
             read_part(elements, texts, p, label).alias("comment_label"), read_part(elements, texts, p, author).alias("author")
         ),
     )
-    rows = shredded.select(F.col(url).alias("url"), F.explode(read).alias("p"))
+
+
+def community_posts(shredded: DataFrame, url: str = "url") -> DataFrame:
+    """Posts on shredded community pages: ``(url, comment_label, author)``, one row each."""
+    rows = shredded.select(F.col(url).alias("url"), F.explode(page_posts(F.col("elements"), F.col("texts"))).alias("p"))
     return rows.select("url", "p.comment_label", "p.author")
 
 
+def next_page(elements: Column, texts: Column) -> Column:
+    """Link to the next page of a community, NULL on its last page."""
+    button = find_all(elements, texts, Sel("a"), (Sel("span", ("next-button",)),))
+    return F.try_element_at(F.get(button, F.lit(0))["attrs"], F.lit("href"))
+
+
 def thread_offsets(shredded: DataFrame, url: str = "url", step: int = 20) -> DataFrame:
     """All page addresses of a forum thread, from the links on its first page."""
     elements, texts = F.col("elements"), F.col("texts")
@@ -128,10 +136,15 @@ def attach(profiles: DataFrame, figures: DataFrame, link: str, url: str = "url",
     With ``clear_unmatched`` a profile without figures also loses its link.
     """
     names = [c for c in figures.columns if c != url]
-    right = figures.select(F.col(url).alias("_url"), F.lit(True).alias("_hit"), *names)
-    out = profiles.drop(*names).join(right, F.col(link) == F.col("_url"), "left")
+    right = figures.select(F.col(url).alias("_key"), F.lit(True).alias("_hit"), *names)
+    # Profiles without a link would all meet in one task of a shuffle join: give each a
+    # key of its own, which no link equals.
+    rest = profiles.drop(*names)
+    spread = F.concat(F.lit("\0"), F.xxhash64(*rest.columns).cast("string"))
+    keyed = rest.withColumn("_key", F.coalesce(F.col(link).cast("string"), spread))
+    out = keyed.join(right.withColumn("_key", F.col("_key").cast("string")), "_key", "left")
     kept = F.when(F.col("_hit"), F.col(link)) if clear_unmatched else F.col(link)
-    return out.withColumn(link, kept).drop("_url", "_hit").select(*_ordered(profiles.columns, names))
+    return out.withColumn(link, kept).drop("_key", "_hit").select(*_ordered(profiles.columns, names))
 
 
 def _ordered(columns: list[str], added: list[str]) -> list[str]:

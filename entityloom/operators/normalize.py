@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from entityloom.functions import dates, scores, urls
 from entityloom.functions import text as tx
-from entityloom.operators.extract import SourceRules
+from entityloom.operators.extract import SourceRules, lookup
 from entityloom.schema import DATES, FIELD_TYPES, FIELDS, FLAGS, LINKS, SCORES
 
 # The source whose sale dates come without a year and whose status stays as written.
@@ -79,12 +79,16 @@ def profile_texts(extracted: DataFrame, packs: tuple[SourceRules, ...], *keep: s
 
 def score_of(source: Column, field: str, value: Column, scales: dict = scores.SCORE_SCALES) -> Column:
     """Score on 0..10 by the source's own scale; a source without one is taken as is."""
-    out = scores.to_number(value)
-    for (src, name), (words, lo, hi) in scales.items():
-        if name == field:
-            number = scores.word_value(value, scores.WORD_SCALES[words]) if words else value
-            out = F.when(source == src, scores.rescale(number, lo, hi)).otherwise(out)
-    return out
+    mine = {src: scale for (src, name), scale in scales.items() if name == field}
+    if not mine:
+        return scores.to_number(value)
+    number = value
+    for words in {w for w, _, _ in mine.values() if w}:
+        uses = [src for src, (w, _, _) in mine.items() if w == words]
+        number = F.when(source.isin(*uses), scores.word_value(value, scores.WORD_SCALES[words]).cast("string")).otherwise(number)
+    end = lambda i: lookup({src: float(scale[i]) for src, scale in mine.items()})
+    lo, hi = F.try_element_at(end(1), source), F.try_element_at(end(2), source)
+    return F.when(source.isin(*mine), scores.rescale(number, lo, hi)).otherwise(scores.to_number(value))
 
 
 def normalize(profiles: DataFrame, as_of: Column, *keep: str) -> DataFrame:

@@ -78,18 +78,21 @@ def block_links(df: DataFrame, rank: str, keys: Keys) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(n).alias("key_name"), _key_text(v).alias("key_value")) for n, v in keys.items()])
     members = df.select(F.col(rank).alias("rank"), F.explode(pairs).alias("k")).select("rank", "k.key_name", "k.key_value")
-    members = members.where(F.col("key_value").isNotNull())
-    heads = members.groupBy("key_name", "key_value").agg(F.min("rank").alias("head"), F.count(F.lit(1)).alias("n_rows"))
-    linked = join_facts(members, heads.where("n_rows > 1"), ["key_name", "key_value"])
+    members, seen = staged(members.where(F.col("key_value").isNotNull()), "members")
+    on = ["key_name", "key_value"]
+    heads = members.groupBy(*on).agg(F.min("rank").alias("head"), F.count(F.lit(1)).alias("n_rows"))
+    linked = join_facts(members, heads.where("n_rows > 1"), on, int(seen["n_rows"]))
     return linked.where("rank <> head").select("key_name", "key_value", "head", "rank")
 
 
-def matches_of(seeds: DataFrame, df: DataFrame, rank: str, keys: Keys) -> DataFrame:
-    """For each record the first of the given seed records that it matches: ``(rank, seed)``."""
-    blocks = lambda frame, name: frame.select(F.col(rank).alias(name), F.explode(key_blocks(keys)).alias("block"))
-    seed_of = blocks(seeds, "seed").groupBy("block").agg(F.min("seed").alias("seed"), F.lit(0).alias("n_rows"))
-    found = join_facts(blocks(df, "rank"), seed_of, ["block"])
-    return found.groupBy("rank").agg(F.min("seed").alias("seed"))
+def matches_of(df: DataFrame, rank: str, keys: Keys, is_seed: Column) -> DataFrame:
+    """For each record the first of the seed records that it matches: ``(rank, seed)``."""
+    seed = F.when(is_seed, F.col(rank))
+    members = df.select(F.col(rank).alias("rank"), seed.alias("seed"), F.explode(key_blocks(keys)).alias("block"))
+    members, seen = staged(members, "members")
+    facts = members.groupBy("block").agg(F.min("seed").alias("first"), F.count(F.lit(1)).alias("n_rows"))
+    found = join_facts(members.select("rank", "block"), facts.where("first is not null"), ["block"], int(seen["n_rows"]))
+    return found.groupBy("rank").agg(F.min("first").alias("seed"))
 
 
 class _Nodes:
@@ -165,7 +168,7 @@ def transitive_clusters(df: DataFrame, rank: str, keys: Keys, null_matches: bool
     """
     store = _Nodes(df, rank, keys, null_matches)
     members = store.members().select("node", "block")
-    heads, _ = staged(members.groupBy("block").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n_rows")), "heads")
+    heads = members.groupBy("block").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n_rows"))
     linked = join_facts(members, heads, ["block"], store.n_members)
     start = linked.where("node <> head").select(F.col("node").alias("up"), F.col("head").alias("low")).distinct()
     edges, seen = staged(start, "edges")
@@ -186,7 +189,7 @@ def transitive_clusters(df: DataFrame, rank: str, keys: Keys, null_matches: bool
         large = join_facts(both, facts.drop("n_lower"), ["up"], 2 * n_edges).where("low > up and low <> lead")
         large, seen = staged(large.select(F.col("low").alias("up"), F.col("lead").alias("low")).distinct(), "edges")
         n_large = int(seen["n_rows"])
-        facts, _ = staged(large.groupBy("up").agg(F.min("low").alias("lead"), F.count(F.lit(1)).alias("n_rows")), "small")
+        facts = large.groupBy("up").agg(F.min("low").alias("lead"), F.count(F.lit(1)).alias("n_rows"))
         moved = join_facts(large, facts, ["up"], n_large).where("low <> lead").select(F.col("low").alias("up"), F.col("lead").alias("low"))
         kept = facts.select("up", F.col("lead").alias("low"))
         edges, seen = staged(moved.unionByName(kept).distinct(), "edges")

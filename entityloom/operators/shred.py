@@ -19,7 +19,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,3 +198,21 @@ def element_table(shredded: DataFrame, *keys: str) -> DataFrame:
         F.col("e.attrs").alias("attrs"),
         own_text_of(F.col("texts"), F.col("e")).alias("own_text"),
     )
+
+
+class _PageElements:
+    """Table function: the elements of one page."""
+
+    def eval(self, html: str):
+        elements, texts = _PageReader().read(html)
+        own: dict[int, list[str]] = {}
+        for owner, piece in texts:
+            own.setdefault(owner, []).append(piece)
+        for pos, parent, _, _, depth, tag, attrs, _, _ in elements:
+            yield pos, parent, depth, tag, attrs, "".join(own.get(pos, []))
+
+
+def register_page_elements(spark: SparkSession, name: str = "page_elements") -> None:
+    """Make ``select … from pages, lateral page_elements(html)`` available to SQL."""
+    columns = "pos int, parent_pos int, depth int, tag string, attrs map<string,string>, own_text string"
+    spark.udtf.register(name, F.udtf(_PageElements, returnType=columns, useArrow=True))

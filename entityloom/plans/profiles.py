@@ -11,6 +11,7 @@ from entityloom.functions.urls import thread_base
 from entityloom.operators import enrich
 from entityloom.operators.countries import convert_countries, country_dim, dim_map
 from entityloom.operators.extract import SourceRules, extract
+from entityloom.operators.links import follow_next
 from entityloom.operators.normalize import normalize, profile_texts
 from entityloom.operators.packs import PACKS
 from entityloom.operators.shred import shred
@@ -75,11 +76,24 @@ def add_members(profiles: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def add_communities(profiles: DataFrame, post_pages: DataFrame, author_pages: DataFrame) -> DataFrame:
-    posts = enrich.community_posts(shred(post_pages.where(enrich.eligible_community(F.col("url")))))
+    """Post, comment and reputation figures of the communities the profiles link to.
+
+    A community may go over many pages, each linking to the next one; all of them count
+    for the page the profile names.
+    """
+    eligible = profiles.where(enrich.eligible_community(F.col("reddit_page"))).select(F.col("reddit_page").alias("url")).distinct()
+    elements, texts = F.col("elements"), F.col("texts")
+    read = shred(post_pages.select("url", "html")).select(
+        "url", enrich.next_page(elements, texts).alias("next_url"), enrich.page_posts(elements, texts).alias("posts")
+    )
+    read, _ = staged(read, "post-pages")
+    walk = follow_next(read, "url", "next_url", eligible)
+    posts = read.join(walk.select("start", "url"), "url").select(F.col("start").alias("url"), F.explode("posts").alias("p"))
     karma = author_pages.select(
         F.regexp_extract("url", r"/user/([^/?#]+)", 1).alias("author"), enrich.reputation(F.col("html")).alias("karma")
     ).where("karma is not null")
-    return enrich.attach(profiles, enrich.community_figures(posts, karma), "reddit_page")
+    figures = enrich.community_figures(posts.select("url", "p.comment_label", "p.author"), karma)
+    return enrich.attach(profiles, figures, "reddit_page")
 
 
 def add_threads(profiles: DataFrame, thread_pages: DataFrame) -> DataFrame:
@@ -97,10 +111,12 @@ def full_run(
     out_dir: str,
     run_ts: str,
     packs: tuple[SourceRules, ...] = PACKS,
+    snapshots: str = "csv",
 ) -> dict[str, str]:
     """Crawled bytes in, snapshots and related tables out; returns the table paths.
 
     As in a run that writes early and again, a stage is written before the next one starts.
+    ``snapshots`` is the format of the stage snapshots, ``csv`` or ``parquet``.
     """
     html = decode_pages(pages) if "body" in pages.columns else pages
     profiles, _ = staged(build_profiles(html.where("html is not null"), as_of, packs), "profiles")
@@ -108,10 +124,10 @@ def full_run(
     ranked = number_rows(profiles, "source", "ico_url", name="rank")
     merged, _ = staged(consolidate(ranked).select("entity", *FIELDS), "merged")
     with_members, _ = staged(add_members(merged, community.member_pages), "members")
-    write_stage(with_members, out_dir, "members", run_ts)
+    write_stage(with_members, out_dir, "members", run_ts, snapshots)
     with_posts, _ = staged(add_communities(with_members, community.post_pages, community.author_pages), "posts")
-    write_stage(with_posts, out_dir, "posts", run_ts)
+    write_stage(with_posts, out_dir, "posts", run_ts, snapshots)
     with_threads = add_threads(with_posts, community.thread_pages)
     numbered = number_rows(with_threads, "entity")
-    write_stage(numbered.drop("entity"), out_dir, "threads", run_ts)
+    write_stage(numbered, out_dir, "threads", run_ts, snapshots)
     return reload_folder(fan_out(numbered, F.lit(run_ts)), f"{out_dir}/tables")

@@ -99,6 +99,62 @@ FIELDS: tuple[str, ...] = tuple(FIELD_TYPES)
 PROFILE_SCHEMA = T.StructType([T.StructField(f, FIELD_TYPES[f]) for f in FIELDS])
 RAW_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in FIELDS])
 
+# Column order of CSV snapshots.
+CSV_FIELDS = (
+    "accepted_currencies",
+    "btc_avg_activ",
+    "btc_num_comments",
+    "btc_page",
+    "countries_restricted",
+    "country",
+    "description",
+    "facebook_page",
+    "github_page",
+    "hard_cap",
+    "hype_score",
+    "ico_end",
+    "ico_token_price",
+    "ico_profile_score",
+    "ico_start",
+    "instagram_page",
+    "kyc",
+    "linkedin_page",
+    "logo",
+    "medium_page",
+    "name",
+    "website_overall_rating",
+    "platform",
+    "pre_ico_end",
+    "pre_ico_token_price",
+    "pre_ico_start",
+    "product_score",
+    "ico_url",
+    "raised",
+    "raise_goal",
+    "rdt_usr_avg_karma",
+    "rdt_comment_count",
+    "rdt_post_count",
+    "reddit_page",
+    "risk_score",
+    "roi_score",
+    "slack_page",
+    "soft_cap",
+    "source",
+    "status",
+    "team_score",
+    "teleg_subs_count",
+    "telegram_page",
+    "ticker",
+    "standart",
+    "twitter_page",
+    "user_review_score",
+    "vision_score",
+    "web_page",
+    "whitelist",
+    "whitepaper",
+    "youtube_page",
+)
+
 
 def conform(df: DataFrame, schema: T.StructType = PROFILE_SCHEMA, keep: tuple[str, ...] = ()) -> DataFrame:
     """Give ``df`` exactly the columns of ``schema``: absent ones are NULL, others are cast.

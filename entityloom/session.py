@@ -16,6 +16,7 @@ def local_session(cpus: str | int = "*", memory: str = "8g", shuffle_partitions:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("entityloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.functions.text import null_to_missing
+from entityloom.schema import CSV_FIELDS, FLAGS, MISSING
 
 
 class EmptyOutput(RuntimeError):
@@ -29,7 +30,7 @@ def write_csv(df: DataFrame, path: str, sentinel: str | None = None) -> None:
     )
 
 
-def read_csv(spark, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -39,6 +40,24 @@ def read_csv(spark, path: str, schema: str) -> DataFrame:
     )
 
 
+def profile_texts_out(profiles: DataFrame) -> DataFrame:
+    """Profiles as they stand in a CSV snapshot: all text, ``yes`` / ``no``, ``-`` for unknown."""
+
+    def shown(name: str):
+        value = F.when(F.col(name), "yes").when(~F.col(name), "no") if name in FLAGS else F.col(name)
+        return null_to_missing(value, MISSING).alias(name)
+
+    return profiles.select(*[shown(f) for f in CSV_FIELDS])
+
+
+def write_profiles(profiles: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """A snapshot in Parquet (typed) or CSV (texts, see above)."""
+    if fmt == "csv":
+        write_csv(profile_texts_out(profiles), path)
+    else:
+        profiles.write.parquet(path)
+
+
 def write_by_source(df: DataFrame, folder: str, run_ts: str, source: str = "source") -> str:
     """One folder per source below ``run_ts=…``.  No shuffle: a large source is many files."""
     path = os.path.join(folder, f"run_ts={run_ts}")
@@ -46,11 +65,15 @@ def write_by_source(df: DataFrame, folder: str, run_ts: str, source: str = "sour
     return path
 
 
-def write_stage(df: DataFrame, folder: str, stage: str, run_ts: str) -> str:
+def write_stage(df: DataFrame, folder: str, stage: str, run_ts: str, fmt: str = "parquet") -> str:
     """Snapshot after a stage; an empty one is an error.  Rows are counted by the write itself."""
     path = os.path.join(folder, f"stage={stage}", f"run_ts={run_ts}")
     seen = Observation(f"stage-{uuid.uuid4().hex[:8]}")
-    df.observe(seen, F.count(F.lit(1)).alias("n_rows")).write.parquet(path)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_rows"))
+    if fmt == "parquet":
+        counted.write.parquet(path)
+    else:
+        write_profiles(counted, path, fmt)
     if not seen.get["n_rows"]:
         raise EmptyOutput(f"stage {stage} wrote no rows")
     return path

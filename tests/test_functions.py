@@ -70,6 +70,7 @@ def test_period_status(rows):
 def test_ranges(rows):
     assert rows(["2 Aug – 5 Sep", "2 Aug", "a – b – c"], dates.range_side(X, 1, "–", exactly_two=True)) == ["5 Sep", None, None]
     assert rows(["from 01.02.2018 - to 03.04.2018"], dates.range_side(X, 0, last_word=True)) == ["01.02.2018"]
+    assert rows(["1 May 2018", " "], dates.range_side(X, 0), dates.range_side(X, 1)) == [("1 May 2018", None), (None, None)]
     assert rows(["x 2018-01-02 y 2018.03.04", "2018-1-2"], dates.iso_date_text(X, 0), dates.iso_date_text(X, 1)) == [
         ("2018-01-02", "2018.03.04"),
         (None, None),

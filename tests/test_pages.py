@@ -10,6 +10,7 @@ from entityloom.operators.extract import Sel, extract, find, listing_links, take
 from entityloom.operators.packs import PACKS
 from entityloom.operators.shred import element_table, own_text_of, shred, text_of
 from entityloom.plans.profiles import Community, build_profiles, full_run
+from entityloom.schema import CSV_FIELDS, FIELDS
 from entityloom.sinks.files import EmptyOutput, write_stage
 
 AS_OF = F.lit("2018-06-15").cast("date")
@@ -221,7 +222,14 @@ def test_full_run(spark, pages, tmp_path):
     post = '<div class="top-matter"><p class="tagline"><a>ann</a></p><ul><li class="first"><a>4 comments</a></li></ul></div>'
     community = Community(
         member_pages=frame([("t.me/foo", '<div class="tgme_page_extra"> 12 345 members</div>')]),
-        post_pages=frame([("https://www.reddit.com/r/foo", post), ("https://www.reddit.com/user/x", post)]),
+        post_pages=frame(
+            [
+                ("https://www.reddit.com/r/foo", post + '<span class="next-button"><a href="https://www.reddit.com/r/foo?after=1">n</a></span>'),
+                ("https://www.reddit.com/r/foo?after=1", post),
+                ("https://www.reddit.com/r/other", post),
+                ("https://www.reddit.com/user/x", post),
+            ]
+        ),
         author_pages=frame([("https://www.reddit.com/user/ann", "<span>1,234 Karma</span>")]),
         thread_pages=frame([("https://bitcointalk.org/index.php?topic=7.0", "Activity: 10 Activity: 3"), ("https://bitcointalk.org/index.php?topic=7.20", "Activity: 1")]),
     )
@@ -233,12 +241,19 @@ def test_full_run(spark, pages, tmp_path):
     assert [len(v) for v in read.values()] == [1] * 6
     assert read["tokens"][0].source == "icomarks" and read["tokens"][0].id == 1
     assert read["social_pages"][0].teleg_subs_count == 12345
-    assert read["subreddits"][0].rdt_usr_avg_karma == 1234 and read["subreddits"][0].rdt_comment_count == 4
+    assert read["subreddits"][0].rdt_usr_avg_karma == 1234 and read["subreddits"][0].rdt_comment_count == 8
     assert (read["bitcointalk"][0].btc_avg_activ, read["bitcointalk"][0].btc_num_comments) == (3, 3)
     assert spark.read.parquet(str(tmp_path / "by_source")).count() == 7
-    assert spark.read.parquet(str(tmp_path / "stage=members")).count() == 1
+    snapshot = tmp_path / "stage=threads" / "run_ts=r1"
+    row = spark.read.option("header", True).csv(str(snapshot)).first()
+    assert row.__fields__ == list(CSV_FIELDS)
+    assert (row.rdt_post_count, row.kyc, row.slack_page, row.team_score) == ("2", "no", "https://s", "8.1")
 
 
 def test_empty_stage_is_an_error(spark, tmp_path):
     with pytest.raises(EmptyOutput):
         write_stage(spark.range(0), str(tmp_path), "members", "r1")
+
+
+def test_csv_order_covers_all_fields():
+    assert sorted(CSV_FIELDS) == sorted(FIELDS)

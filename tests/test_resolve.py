@@ -115,7 +115,7 @@ def test_links_and_seeds(spark):
     df, keys = frame(spark, rows)
     links = {(r.key_name, r.key_value, r.head, r["rank"]) for r in resolve.block_links(df, "rank", keys).collect()}
     assert links == {("a", "X", 1, 2), ("b", "Q", 2, 3)}
-    seeds = {r["rank"]: r.seed for r in resolve.matches_of(df.where("rank in (2, 3)"), df, "rank", keys).collect()}
+    seeds = {r["rank"]: r.seed for r in resolve.matches_of(df, "rank", keys, F.col("rank").isin(2, 3)).collect()}
     assert seeds == {1: 2, 2: 2, 3: 2}
 
 

@@ -9,7 +9,7 @@ from entityloom.catalog.entities import ORDER_FIELDS, order_records
 from entityloom.catalog.registry import Tables, query
 from entityloom.functions import dates, scores
 from entityloom.functions import text as tx
-from entityloom.operators.quality import keep_valid, rejects, unparsed_counts
+from entityloom.operators.quality import is_valid, rejects, unparsed_counts
 from entityloom.schema import RAW_SCHEMA, conform
 from entityloom.session import scratch_path
 from entityloom.sinks.files import read_csv, write_by_source, write_csv, write_json, write_stage
@@ -105,10 +105,8 @@ def fan_out_tables(t: Tables) -> DataFrame:
 )
 def stage_counts(t: Tables) -> DataFrame:
     """Extracted, kept and dropped records of a stage, in one pass."""
-    records = order_records(t)
-    kept = keep_valid(records, ("day",), ORDER_FIELDS, 4).select(F.lit(0).alias("extracted"), F.lit(1).alias("kept"))
-    both = records.select(F.lit(1).alias("extracted"), F.lit(0).alias("kept")).unionByName(kept)
-    sums = both.agg(F.sum("extracted").alias("extracted"), F.sum("kept").alias("kept"))
+    valid = is_valid(ORDER_FIELDS, ("day",), 4)
+    sums = order_records(t).agg(F.count(F.lit(1)).alias("extracted"), F.count_if(valid).alias("kept"))
     return sums.select("extracted", "kept", (F.col("extracted") - F.col("kept")).alias("dropped"))
 
 

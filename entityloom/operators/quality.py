@@ -17,10 +17,15 @@ def completeness(*columns: str) -> Column:
     return reduce(lambda a, b: a + b, known)
 
 
+def is_valid(fields: tuple[str, ...], required: tuple[str, ...] = REQUIRED, minimum: int = MIN_KNOWN) -> Column:
+    """All required fields known, and at least ``minimum`` of ``fields``."""
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+    return present & (completeness(*fields) >= minimum)
+
+
 def keep_valid(df: DataFrame, required: tuple[str, ...] = REQUIRED, fields: tuple[str, ...] | None = None, minimum: int = MIN_KNOWN) -> DataFrame:
     """Rows with all required fields and at least ``minimum`` known fields."""
-    names = list(fields or df.columns)
-    return df.dropna(subset=list(required)).dropna(thresh=minimum, subset=names)
+    return df.where(is_valid(tuple(fields or df.columns), required, minimum))
 
 
 def counted(df: DataFrame, stage: str) -> tuple[DataFrame, Observation]:

@@ -407,8 +407,10 @@ def part_profile_pages(t: Tables) -> DataFrame:
         .when(kind == 1, F.array(page("icomarks", "", marks)))
         .otherwise(F.array(page("icobench", "", bench)))
     )
-    # The scan is small and the work per page is not: spread the keys before the pages are made.
-    return t.part.repartition("p_partkey").select(F.explode(pages).alias("p")).select("p.*")
+    # The scan is small and the work per page is not: spread the keys before the pages are
+    # made.  A given number of tasks is not merged again by the size of the rows.
+    tasks = max(4 * t.spark.sparkContext.defaultParallelism, 8)
+    return t.part.repartition(tasks, "p_partkey").select(F.explode(pages).alias("p")).select("p.*")
 
 
 @query(

@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from entityloom.functions.text import strip
 from entityloom.session import staged
 
-# A key with more than 1/HOT_SHARE of all rows is hot; so there are fewer than HOT_SHARE of them.
-HOT_SHARE = 2000
-MIN_HOT_ROWS = 50_000
+# A key with more than 1/HOT_SHARE of all rows is hot; so there are fewer than HOT_SHARE of
+# them, at some 100 bytes each.  Below MIN_HOT_ROWS rows no key is hot.
+HOT_SHARE = 200_000
+MIN_HOT_ROWS = 200_000
 
 Keys = dict[str, Column]
 
@@ -35,6 +36,10 @@ def _key_text(value: Column, null_matches: bool = False) -> Column:
     return F.coalesce(text, F.lit("")) if null_matches else F.nullif(text, F.lit(""))
 
 
+def _block_name(tagged: Column) -> Column:
+    return F.struct(F.xxhash64(tagged).alias("a"), F.xxhash64(F.lit(1), tagged).alias("b"))
+
+
 def key_blocks(keys: Keys, null_matches: bool = False) -> Column:
     """The blocks of a record, ``array<struct<a:bigint,b:bigint>>``.
 
@@ -45,8 +50,7 @@ def key_blocks(keys: Keys, null_matches: bool = False) -> Column:
 
     def block(name: str, value: Column) -> Column:
         tagged = F.concat(F.lit(f"{name}="), _key_text(value, null_matches))
-        pair = F.struct(F.xxhash64(tagged).alias("a"), F.xxhash64(F.lit(1), tagged).alias("b"))
-        return F.when(tagged.isNotNull(), pair)
+        return F.when(tagged.isNotNull(), _block_name(tagged))
 
     return F.filter(F.array(*[block(n, v) for n, v in keys.items()]), F.isnotnull)
 
@@ -56,8 +60,7 @@ def join_facts(members: DataFrame, facts: DataFrame, on: list[str], total: int |
 
     ``facts`` carries ``n_rows``, an upper bound of its members.  With the ``total`` number
     of members known, keys above ``total / HOT_SHARE`` rows are broadcast (there are fewer
-    than ``HOT_SHARE`` x keys per record of them) and the members of all other keys go
-    through a shuffle join.  Without it, or for inputs too small to have a hot key, the
+    than ``HOT_SHARE`` of them) and the members of all other keys go through a shuffle join.  Without it, or for inputs too small to have a hot key, the
     join is left to Spark and its run-time skew handling.
     """
     facts_only = facts.drop("n_rows")
@@ -78,10 +81,10 @@ def block_links(df: DataFrame, rank: str, keys: Keys) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(n).alias("key_name"), _key_text(v).alias("key_value")) for n, v in keys.items()])
     members = df.select(F.col(rank).alias("rank"), F.explode(pairs).alias("k")).select("rank", "k.key_name", "k.key_value")
-    members, seen = staged(members.where(F.col("key_value").isNotNull()), "members")
-    on = ["key_name", "key_value"]
-    heads = members.groupBy(*on).agg(F.min("rank").alias("head"), F.count(F.lit(1)).alias("n_rows"))
-    linked = join_facts(members, heads.where("n_rows > 1"), on, int(seen["n_rows"]))
+    members = members.where(F.col("key_value").isNotNull())
+    members, seen = staged(members.withColumn("block", _block_name(F.concat_ws("=", "key_name", "key_value"))), "members")
+    heads = members.groupBy("block").agg(F.min("rank").alias("head"), F.count(F.lit(1)).alias("n_rows"))
+    linked = join_facts(members, heads.where("n_rows > 1"), ["block"], int(seen["n_rows"]))
     return linked.where("rank <> head").select("key_name", "key_value", "head", "rank")
 
 

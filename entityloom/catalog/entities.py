@@ -211,9 +211,9 @@ def union_sources(t: Tables) -> DataFrame:
     return union_frames(c, s)
 
 
-@query("""select n_nationkey, n_name, n_regionkey from nation order by n_name limit 1""")
+@query("""select c_custkey, c_name, c_acctbal from customer order by c_acctbal, c_custkey limit 1""")
 def read_one_row(t: Tables) -> DataFrame:
-    return read_row(t.nation, "n_name")
+    return read_row(t.customer.select("c_custkey", "c_name", "c_acctbal"), "c_acctbal", "c_custkey")
 
 
 @query("""select c_name, c_mktsegment from customer""")

@@ -23,7 +23,8 @@ DATE_LAYOUTS = (
 
 def tidy_date_text(c: Column) -> Column:
     """One spelling per month: single spaces, capital first letters, ``Sept`` as ``Sep``."""
-    return F.regexp_replace(F.initcap(squash(c)), r"\bSept\b", "Sep")
+    text = F.initcap(squash(c))
+    return F.replace(F.replace(text, F.lit("Sept "), F.lit("Sep ")), F.lit("Sept."), F.lit("Sep."))
 
 
 def parse_date(c: Column) -> Column:

@@ -14,6 +14,7 @@ content as one row per element.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -51,7 +52,11 @@ IMPLIED_ENDS = {
 for _block in ("div", "ul", "ol", "table", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6"):
     IMPLIED_ENDS[_block] = IMPLIED_ENDS["p"]
 
+Page = tuple[list[list], list[tuple[int, str]]]
 _FLUSH_ELEMENTS = 50_000
+# Elements nested deeper than this are kept, but what follows is not put inside them; browsers
+# do the same.  It bounds the work on pages that never close their tags.
+_MAX_DEPTH = 512
 
 
 class _PageReader(HTMLParser):
@@ -62,6 +67,7 @@ class _PageReader(HTMLParser):
         self.elements: list[list] = []
         self.texts: list[tuple[int, str]] = []
         self.open: list[int] = []
+        self.n_open: Counter[str] = Counter()
         self.last_child: dict[int, int] = {}
 
     def handle_starttag(self, tag, attrs):
@@ -76,10 +82,13 @@ class _PageReader(HTMLParser):
         self.last_child[-1 if parent is None else parent] = pos
         n = len(self.texts)
         self.elements.append([pos, parent, None, pos, len(self.open), tag, dict(reversed(attrs)), n, n])
-        if tag not in VOID_TAGS:
+        if tag not in VOID_TAGS and (len(self.open) < _MAX_DEPTH or tag in HIDDEN_TAGS):
             self.open.append(pos)
+            self.n_open[tag] += 1
 
     def handle_endtag(self, tag):
+        if not self.n_open[tag]:
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.elements[self.open[depth]][5] == tag:
                 self._close_down_to(depth)
@@ -89,7 +98,14 @@ class _PageReader(HTMLParser):
         if self.open and self.elements[self.open[-1]][5] not in HIDDEN_TAGS:
             self.texts.append((self.open[-1], data))
 
+    def parse_marked_section(self, i, report=1):
+        """Skip ``<![…>``, whatever it holds; the base class refuses unknown ones."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def _close_implied(self, closes, stops):
+        if not any(self.n_open[t] for t in closes):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             tag = self.elements[self.open[depth]][5]
             if tag in closes:
@@ -100,47 +116,65 @@ class _PageReader(HTMLParser):
 
     def _close_down_to(self, depth):
         for pos in self.open[depth:]:
+            self.n_open[self.elements[pos][5]] -= 1
             self.elements[pos][3] = len(self.elements) - 1
             self.elements[pos][8] = len(self.texts)
         del self.open[depth:]
 
-    def read(self, html: str | None) -> tuple[list[list], list[tuple[int, str]]]:
+    def read(self, html: str | None) -> Page | None:
+        """Elements and texts; None for a page the reader cannot take, which is a reject."""
         if html:
-            self.feed(html)
-            self.close()
+            try:
+                self.feed(html)
+                self.close()
+            except (AssertionError, ValueError):
+                return None
             self._close_down_to(0)
         return self.elements, self.texts
 
 
-def _lists(sizes: list[int]) -> pa.Array:
+def _lists(pages: list[Page | None], part: int) -> pa.Array:
+    """Offsets of one list per page; a NULL offset is a NULL list."""
+    offsets, end = [], 0
+    for page in pages:
+        offsets.append(None if page is None else end)
+        end += 0 if page is None else len(page[part])
+    return pa.array([*offsets, end], pa.int32())
+
+
+def _map_offsets(sizes: list[int]) -> pa.Array:
     offsets = [0]
     for n in sizes:
         offsets.append(offsets[-1] + n)
     return pa.array(offsets, pa.int32())
 
 
-def _arrow_columns(pages: list[tuple[list[list], list[tuple[int, str]]]]) -> list[pa.Array]:
-    flat = [e for elements, _ in pages for e in elements]
+def _arrow_columns(pages: list[Page | None]) -> list[pa.Array]:
+    readable = [p for p in pages if p is not None]
+    flat = [e for elements, _ in readable for e in elements]
     ints = lambda i: pa.array([e[i] for e in flat], pa.int32())
     attrs = pa.MapArray.from_arrays(
-        _lists([len(e[6]) for e in flat]),
+        _map_offsets([len(e[6]) for e in flat]),
         pa.array([k for e in flat for k in e[6]], pa.string()),
         pa.array([v for e in flat for v in e[6].values()], pa.string()),
     )
     names = ["pos", "parent", "next", "last", "depth", "tag", "attrs", "text_from", "text_to"]
     parts = [ints(0), ints(1), ints(2), ints(3), ints(4), pa.array([e[5] for e in flat], pa.string()), attrs, ints(7), ints(8)]
-    elements = pa.ListArray.from_arrays(_lists([len(p[0]) for p in pages]), pa.StructArray.from_arrays(parts, names=names))
-    pieces = [t for _, texts in pages for t in texts]
+    elements = pa.ListArray.from_arrays(_lists(pages, 0), pa.StructArray.from_arrays(parts, names=names))
+    pieces = [t for _, texts in readable for t in texts]
     owners = pa.array([t[0] for t in pieces], pa.int32())
     strings = pa.array([t[1] for t in pieces], pa.string())
     texts = pa.ListArray.from_arrays(
-        _lists([len(p[1]) for p in pages]), pa.StructArray.from_arrays([owners, strings], names=["owner", "piece"])
+        _lists(pages, 1), pa.StructArray.from_arrays([owners, strings], names=["owner", "piece"])
     )
     return [elements, texts]
 
 
 def shred(pages: DataFrame, html: str = "html", drop_html: bool = True) -> DataFrame:
-    """Add ``elements`` and ``texts`` to a page table (Arrow batches, map only)."""
+    """Add ``elements`` and ``texts`` to a page table (Arrow batches, map only).
+
+    Both are empty for a page without text, and NULL for one that cannot be read.
+    """
     kept = [f for f in pages.schema.fields if not (drop_html and f.name == html)]
     schema = T.StructType(kept)
     out = T.StructType(
@@ -155,7 +189,7 @@ def shred(pages: DataFrame, html: str = "html", drop_html: bool = True) -> DataF
             start, done, size = 0, [], 0
             for i in range(batch.num_rows):
                 done.append(_PageReader().read(source[i].as_py()))
-                size += len(done[-1][0])
+                size += len(done[-1][0]) if done[-1] else 0
                 # Output batches are cut by the number of elements, not of pages.
                 if size >= _FLUSH_ELEMENTS or i == batch.num_rows - 1:
                     part = carried.slice(start, len(done))
@@ -204,7 +238,7 @@ class _PageElements:
     """Table function: the elements of one page."""
 
     def eval(self, html: str):
-        elements, texts = _PageReader().read(html)
+        elements, texts = _PageReader().read(html) or ([], [])
         own: dict[int, list[str]] = {}
         for owner, piece in texts:
             own.setdefault(owner, []).append(piece)

@@ -37,8 +37,9 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
         main_url = F.when(hit, F.substring(F.col("url"), F.lit(1), F.length("url") - len(ending))).otherwise(main_url)
     marked = pages.withColumn("ico_url", main_url).withColumn("is_sub", is_sub).drop("url")
     found = extract(shred(marked), packs).select("source", "ico_url", "is_sub", "raw", "unmapped")
-    # Both sides of the join below read these rows: shred every page once.
-    found, _ = staged(found, "extracted")
+    # Both sides of the join below read these rows: shred every page once, and let each side
+    # read its own folders.
+    found, _ = staged(found, "extracted", partition_by=("source", "is_sub"))
     two_paged = F.col("source").isin(*endings) if endings else F.lit(False)
     single = found.where(~two_paged).drop("is_sub")
     main = found.where(two_paged & ~F.col("is_sub")).drop("is_sub")

@@ -50,16 +50,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "entityloom", f"{label}-{uuid.uuid4().hex}")
 
 
-def staged(df: DataFrame, label: str, metrics: dict | None = None) -> tuple[DataFrame, dict]:
+def staged(
+    df: DataFrame, label: str, metrics: dict | None = None, partition_by: tuple[str, ...] = ()
+) -> tuple[DataFrame, dict]:
     """Write ``df`` to the shared folder and read it back, so that its lineage is cut.
 
     The written table survives the loss of executors.  ``metrics`` (name -> aggregate
-    column) are taken during the same write, so that counting costs no further job.
+    column) are taken during the same write, so that counting costs no further job.  With
+    ``partition_by`` later filters on those columns read their own folders only.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     wanted = {"n_rows": F.count(F.lit(1)), **(metrics or {})}
     seen = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
     observed = df.observe(seen, *[expr.alias(name) for name, expr in wanted.items()])
-    observed.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get
+    writer = observed.write.partitionBy(*partition_by) if partition_by else observed.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns), seen.get

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from entityloom.operators import enrich
 from entityloom.operators.extract import Sel, extract, find, listing_links, take, unmapped_labels
 from entityloom.operators.packs import PACKS
+from entityloom.operators import shred as shredder
 from entityloom.operators.shred import element_table, own_text_of, shred, text_of
 from entityloom.plans.profiles import Community, build_profiles, full_run
 from entityloom.schema import CSV_FIELDS, FIELDS
@@ -182,6 +183,39 @@ def test_shredder_forgives(spark):
     assert first[1].t[1] == "onetwo" and first[1].o[1] == "one" and first[2].t == [] and first[3].t == []
 
 
+def test_shredder_survives_anything(spark):
+    odd = [
+        "<![if mso]><p>a</p><![endif]><![x",
+        "<p>x<![CDATA[ y ]]>z",
+        "<!DOCTYPE [<!ELEMENT a>]><p>q",
+        "<a href=x href=y disabled>&#xD800;&#9999999;&bogus;</a></a></p>",
+        "<" * 2000 + "p" + ">" * 2000,
+        "<b>" * 3000 + "deep" + "</i>" * 3000,
+        "<p><b>" * 2000,
+        "\u0000<p>\u0000</p>",
+        "<script>never closed <p>",
+        "<td>" * 50 + "</table>",
+    ]
+    df = spark.createDataFrame(list(enumerate(odd)), "id int, html string")
+    rows = shred(df).select("id", F.size("elements").alias("n"), F.array_max(F.transform("elements", lambda e: e["depth"])).alias("d")).collect()
+    got = {r.id: r for r in rows}
+    assert len(got) == len(odd)
+    assert got[5].n == 3000 and got[5].d == 512
+    assert got[3].n == 1 and got[8].n == 1
+
+
+def test_unreadable_page_does_not_stop_the_rest():
+    class Broken(shredder._PageReader):
+        def feed(self, data):
+            raise AssertionError("no")
+
+    page = shredder._PageReader().read("<p class=x>a<b>c")
+    assert Broken().read("<p>") is None
+    elements, texts = shredder._arrow_columns([page, None, page, ([], [])])
+    assert [len(x) if x is not None else None for x in elements.to_pylist()] == [2, None, 2, 0]
+    assert [x and [p["piece"] for p in x] for x in texts.to_pylist()] == [["a", "c"], None, ["a", "c"], []]
+
+
 def test_native_text_equals_shredded(spark):
     from entityloom.sources.tables import read_table
 

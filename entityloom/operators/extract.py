@@ -283,7 +283,15 @@ def extract(shredded: DataFrame, packs: tuple[SourceRules, ...], source: str = "
     for branch in branches[1:]:
         facts = facts.when(*branch)
     with_facts = shredded.withColumn("facts", facts)
-    unknown = F.filter(F.col("facts"), lambda f: f["field"].isNull() & f["label"].isNotNull())
+    # An item may be read by several rules; its label is unknown if none of them maps it.
+    mapped = F.transform(F.filter(F.col("facts"), lambda f: f["field"].isNotNull()), lambda f: f["label"])
+    unknown = bind(
+        mapped,
+        lambda known: F.filter(
+            F.col("facts"),
+            lambda f: f["field"].isNull() & f["label"].isNotNull() & ~F.coalesce(F.array_contains(known, f["label"]), F.lit(False)),
+        ),
+    )
     return (
         with_facts.withColumn("raw", _last_per_field(F.col("facts")))
         .withColumn("unmapped", unknown)

@@ -242,12 +242,12 @@ RATING = SourceRules(
         ),
         Rule(Sel("a", attrs={"target": "_blank"}), HREF, UPPER_TEXT, RATING_LINKS),
         first("logo", div("share"), value=Part((Move("preceding", Sel("img")),), "@src")),
-        first("description", Sel("td", text="Description:"), value=Part((NEXT,))),
         Rule(
             Sel("td", ends=":"),
             Part((NEXT,)),
             Part(),
             {
+                "Description:": "description",
                 "Pre-ICO start date:": "pre_ico_start",
                 "Pre-ICO end date:": "pre_ico_end",
                 "Hard cap:": "hard_cap",

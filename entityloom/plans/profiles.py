@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from entityloom.functions.urls import thread_base
 from entityloom.operators import enrich
 from entityloom.operators.countries import convert_countries, country_dim, dim_map
-from entityloom.operators.extract import SourceRules, extract
+from entityloom.operators.extract import SourceRules, extract, unmapped_labels
 from entityloom.operators.links import follow_next
 from entityloom.operators.normalize import normalize, profile_texts
 from entityloom.operators.packs import PACKS
@@ -40,7 +40,7 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
     # Both sides of the join below read these rows: shred every page once, and let each side
     # read its own folders.
     found, _ = staged(found, "extracted", partition_by=("source", "is_sub"))
-    two_paged = F.col("source").isin(*endings) if endings else F.lit(False)
+    two_paged = F.coalesce(F.col("source").isin(*endings), F.lit(False)) if endings else F.lit(False)
     single = found.where(~two_paged).drop("is_sub")
     main = found.where(two_paged & ~F.col("is_sub")).drop("is_sub")
     sub = found.where("is_sub").select("source", "ico_url", F.col("raw").alias("raw2"), F.col("unmapped").alias("unmapped2"))
@@ -54,11 +54,29 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
     return single.unionByName(both)
 
 
+def typed_profiles(extracted: DataFrame, as_of: Column, packs: tuple[SourceRules, ...] = PACKS) -> DataFrame:
+    """Typed profiles from extracted texts; map-only."""
+    codes = dim_map(country_dim(extracted.sparkSession))
+    return convert_countries(normalize(profile_texts(extracted, packs), as_of), codes)
+
+
 def build_profiles(pages: DataFrame, as_of: Column, packs: tuple[SourceRules, ...] = PACKS) -> DataFrame:
     """Typed profiles, one per (source, profile page)."""
-    codes = dim_map(country_dim(pages.sparkSession))
-    typed = normalize(profile_texts(extract_pages(pages, packs), packs), as_of)
-    return convert_countries(typed, codes)
+    return typed_profiles(extract_pages(pages, packs), as_of, packs)
+
+
+def run_rejects(decoded: DataFrame, extracted: DataFrame) -> DataFrame:
+    """What a run could not use: ``source, url, field, raw, reason``."""
+    bodies = decoded.where("html is null").select(
+        "source", "url", F.lit("body").alias("field"), F.lit(None).cast("string").alias("raw"), F.lit("body does not fit its charset").alias("reason")
+    )
+    pages = extracted.where("raw is null").select(
+        "source", F.col("ico_url").alias("url"), F.lit("page").alias("field"), F.lit(None).cast("string").alias("raw"), F.lit("page not readable or source unknown").alias("reason")
+    )
+    labels = unmapped_labels(extracted, "source", "ico_url").select(
+        "source", F.col("ico_url").alias("url"), F.col("label").alias("field"), F.col("value").alias("raw"), F.lit("label feeds no field").alias("reason")
+    )
+    return bodies.unionByName(pages).unionByName(labels)
 
 
 @dataclass
@@ -120,7 +138,9 @@ def full_run(
     ``snapshots`` is the format of the stage snapshots, ``csv`` or ``parquet``.
     """
     html = decode_pages(pages) if "body" in pages.columns else pages
-    profiles, _ = staged(build_profiles(html.where("html is not null"), as_of, packs), "profiles")
+    extracted = extract_pages(html.where("html is not null"), packs)
+    run_rejects(html, extracted).write.parquet(f"{out_dir}/rejects/run_ts={run_ts}")
+    profiles, _ = staged(typed_profiles(extracted, as_of, packs), "profiles")
     write_by_source(profiles, f"{out_dir}/by_source", run_ts)
     ranked = number_rows(profiles, "source", "ico_url", name="rank")
     merged, _ = staged(consolidate(ranked).select("entity", *FIELDS), "merged")

@@ -13,6 +13,7 @@ from entityloom.operators.shred import element_table, own_text_of, shred, text_o
 from entityloom.plans.profiles import Community, build_profiles, full_run
 from entityloom.schema import CSV_FIELDS, FIELDS
 from entityloom.sinks.files import EmptyOutput, write_stage
+from entityloom.sources.pages import PAGE_BYTES_SCHEMA
 
 AS_OF = F.lit("2018-06-15").cast("date")
 
@@ -270,6 +271,8 @@ def test_full_run(spark, pages, tmp_path):
     crawled = pages.select(
         "source", "url", F.lit("text/html; charset=utf-8").alias("content_type"), F.encode("html", "utf-8").alias("body")
     )
+    broken = spark.createDataFrame([("icomarks", "https://m/bad", "text/html", bytearray(b"\xff\xfe\x80")), ("nobody", "https://n/x", None, bytearray(b"<p>"))], PAGE_BYTES_SCHEMA)
+    crawled = crawled.unionByName(broken)
     paths = full_run(crawled, community, AS_OF, str(tmp_path), "r1")
     read = {name: spark.read.parquet(path).collect() for name, path in paths.items()}
     assert [len(v) for v in read.values()] == [1] * 6
@@ -277,7 +280,11 @@ def test_full_run(spark, pages, tmp_path):
     assert read["social_pages"][0].teleg_subs_count == 12345
     assert read["subreddits"][0].rdt_usr_avg_karma == 1234 and read["subreddits"][0].rdt_comment_count == 8
     assert (read["bitcointalk"][0].btc_avg_activ, read["bitcointalk"][0].btc_num_comments) == (3, 3)
-    assert spark.read.parquet(str(tmp_path / "by_source")).count() == 7
+    assert spark.read.parquet(str(tmp_path / "by_source")).count() == 8
+    rejected = {(r.source, r.field): r.reason for r in spark.read.parquet(str(tmp_path / "rejects")).collect()}
+    assert set(rejected) == {
+        ("icomarks", "body"), ("nobody", "page"), ("icodrops", "ODD:"), ("icobazaar", "odd"), ("icobazaar", "zzz"),
+    }
     snapshot = tmp_path / "stage=threads" / "run_ts=r1"
     row = spark.read.option("header", True).csv(str(snapshot)).first()
     assert row.__fields__ == list(CSV_FIELDS)

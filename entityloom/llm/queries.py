@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entityloom.llm import line_frequency, pseudonyms
+from entityloom.llm import line_frequency, pseudonyms, simhash
 from entityloom.llm.common import read_documents
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -22,9 +22,14 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.line_rules(read_documents(spark, sf_dir))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
+    "op6_simhash": op6_simhash,
 }
 
 SQL: dict[str, str] = {"op2_line_frequency": line_frequency.sql()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +52,21 @@ def columns_named(df: DataFrame, prefix: str, *names: str) -> dict[str, str]:
             new += "_"
         out[name] = new
     return out
+
+
+def addressed(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """``docs`` with the file and the place in it of each row: a key that every later scan repeats.
+
+    A plain scan of Parquet files has both already; anything else is staged first.
+    """
+    own = columns_named(docs, "row_", "file", "at")
+    for df in (docs, None):
+        try:
+            df = staged_rows(docs, "documents") if df is None else df
+            out = df.withColumns(
+                {own["file"]: F.col("_metadata.file_path"), own["at"]: F.col("_metadata.row_index")}
+            )
+            return out, own["file"], own["at"]
+        except AnalysisException:
+            continue
+    raise ValueError("rows of this input have no address")

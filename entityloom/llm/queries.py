@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entityloom.llm import line_frequency, pseudonyms, simhash
-from entityloom.llm.common import read_documents
+from entityloom.llm import line_frequency, mixing, pseudonyms, simhash
+from entityloom.llm.common import read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
 TRIAL_KEY = "trial-key-not-for-production"
@@ -22,6 +23,17 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.line_rules(read_documents(spark, sf_dir))
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).select(
+        "doc_id", word_count(F.col("text")).alias("size"), mixing.pattern_of(F.col("source")).alias("pattern")
+    )
+    drawn, facts = mixing.standard_mix(staged_rows(with_uid(docs), "mix-sizes"))
+    keyed = facts.withColumn("pattern", mixing.pattern_of(F.col("source"))).drop("source")
+    return drawn.join(keyed, "pattern").select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken")
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
@@ -29,6 +41,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
+    "op4_mix_sources": op4_mix_sources,
     "op6_simhash": op6_simhash,
 }
 

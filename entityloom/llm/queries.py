@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.llm import line_frequency, mixing, pseudonyms, simhash
+from entityloom.llm import dac, line_frequency, mixing, packing, pseudonyms, simhash
 from entityloom.llm.common import read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -34,15 +35,27 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return dac.read_tokens(dac.write_tokens(read_documents(spark, sf_dir), path, end_id=2))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(packing.token_pieces(read_documents(spark, sf_dir), path, end_id=0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
     "op4_mix_sources": op4_mix_sources,
+    "op5_token_codes": op5_token_codes,
     "op6_simhash": op6_simhash,
+    "op9_packing": op9_packing,
 }
 
 SQL: dict[str, str] = {"op2_line_frequency": line_frequency.sql()}

@@ -18,11 +18,12 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Texts are taken together up to this size.
-PIECE_BYTES = 2_000_000
+PIECE_BYTES = 6_000_000
 #: Words remembered by a worker process; above it the older half is forgotten.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 600_000
+_MARK = "\u241e"
 #: Other blanks than space and newline, control characters, special tokens: such texts go whole.
-_UNSURE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿]|<\\|")
+_UNSURE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿\u241e]|<\\|")
 #: For a byte-level tokenizer blanks join the next word; only these forms are sure.
 _UNSURE_BLANKS = re.compile("  |\n\n|\n |^[ \n]|[ \n]$| \n")
 
@@ -35,32 +36,48 @@ class Encoder:
         # Does a blank belong to the next word's ids?  Ask the tokenizer itself.
         ids = lambda s: self.tokenizer.encode(s, add_special_tokens=False).ids
         self.joins_blank = ids("a b") != ids("a") + ids("b")
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
+        # Words are told apart in one call by a mark that the tokenizer treats alone.
+        self.mark = "\n" if self.joins_blank else f" {_MARK} "
+        self.mark_ids = ids(self.mark)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
-    def _words(self, words: list[str]) -> list[np.ndarray]:
+    def _missing(self, words: list[str]) -> list[bytes]:
+        """Ids of new words as bytes.  They go to the library as one text with marks between them."""
+        ids = self.tokenizer.encode(self.mark.join(words), add_special_tokens=False).ids
+        flat = np.array(ids, dtype=np.uint32)
+        marks = np.flatnonzero(flat == self.mark_ids[-1])
+        if len(marks) != len(words) - 1:  # a word holds the mark's last id
+            encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+            return [np.array(e.ids, dtype=np.uint32).tobytes() for e in encoded]
+        raw, wide = flat.tobytes(), 4 * (len(self.mark_ids) - 1)
+        ends = (4 * np.concatenate((marks, [len(flat)]))).tolist()
+        starts = [0, *(e + 4 for e in ends[:-1])]
+        return [raw[s : e - wide] for s, e in zip(starts, ends[:-1], strict=False)] + [raw[starts[-1] :]]
+
+    def _words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, from memory or from the library."""
-        out: list[np.ndarray | None] = []
+        young, old = self.young, self.old
+        out = [young.get(w) for w in words]
         missing = []
-        for w in words:
-            ids = self.young.get(w)
-            if ids is None:
-                ids = self.old.get(w)
+        for at, w in enumerate(words):
+            if out[at] is None:
+                ids = old.get(w)
                 if ids is None:
-                    missing.append((len(out), w))
+                    missing.append(at)
                 else:
-                    self.young[w] = ids
-            out.append(ids)
-        for s in range(0, len(missing), 2000):
-            part = missing[s : s + 2000]
-            encoded = self.tokenizer.encode_batch_fast([w for _, w in part], add_special_tokens=False)
-            for (at, w), e in zip(part, encoded, strict=True):
-                out[at] = self.young[w] = np.array(e.ids, dtype=np.uint32)
-        if len(self.young) > MEMORY_WORDS // 2:
-            self.old, self.young = self.young, {}
+                    out[at] = young[w] = ids
+        # Words with a newline before them are few; they would be taken for marks.
+        for group in ([at for at in missing if words[at][:1] != "\n"], [at for at in missing if words[at][:1] == "\n"]):
+            for s in range(0, len(group), 2000):
+                part = group[s : s + 2000]
+                for at, ids in zip(part, self._missing([words[at] for at in part]), strict=True):
+                    out[at] = young[words[at]] = ids
+        if len(young) > MEMORY_WORDS // 2:
+            self.old, self.young = young, {}
         return out
 
     def _is_sure(self, text: str) -> bool:
@@ -86,10 +103,10 @@ class Encoder:
             coded = pc.dictionary_encode(pc.list_flatten(split))
             words = coded.dictionary.to_pylist()
             if self.joins_blank:
-                words = [w if w[0] == "\n" else w[1:] if w[0] == "\x01" else f" {w}" for w in words]
+                words = [w if w[:1] == "\n" else w[1:] if w[:1] == "\x01" else f" {w}" for w in words]
             ids = self._words(words)
-            n_ids = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-            flat, starts = np.concatenate(ids), np.cumsum(n_ids) - n_ids
+            n_ids = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat, starts = np.frombuffer(b"".join(ids), dtype=np.uint32), np.cumsum(n_ids) - n_ids
             at = coded.indices.to_numpy()
             lengths = n_ids[at]
             ends = np.cumsum(lengths)

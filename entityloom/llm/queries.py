@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.llm import dac, line_frequency, mixing, packing, pseudonyms, simhash
+from entityloom.llm import dac, language, line_frequency, mixing, packing, pseudonyms, quality, simhash
 from entityloom.llm.common import read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -44,18 +44,35 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    held_out = language.held_out(F.col("doc_id"), folds=3, fold=1)
+    content = language.dictionaries(docs, ~held_out)
+    return language.identified(docs, content, F.col("doc_id"), held_out.alias("held_out"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(packing.token_pieces(read_documents(spark, sf_dir), path, end_id=0))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = language.held_out(F.col("doc_id"), folds=5, fold=0)
+    model = quality.learned(docs, labels, ~held_out)
+    scores = quality.scored(docs, model, F.col("doc_id"), held_out.alias("held_out"))
+    return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
     "op4_mix_sources": op4_mix_sources,
     "op5_token_codes": op5_token_codes,
     "op6_simhash": op6_simhash,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {"op2_line_frequency": line_frequency.sql()}

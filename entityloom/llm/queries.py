@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.llm import dac, language, line_frequency, mixing, packing, pseudonyms, quality, simhash
+from entityloom.llm import dac, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, simhash
 from entityloom.llm.common import read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -44,6 +44,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir))
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, *_ = exact_dedup.duplicates(read_documents(spark, sf_dir))
+    return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     held_out = language.held_out(F.col("doc_id"), folds=3, fold=1)
@@ -70,9 +75,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_token_codes": op5_token_codes,
     "op6_simhash": op6_simhash,
+    "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {"op2_line_frequency": line_frequency.sql()}
+SQL: dict[str, str] = {"op2_line_frequency": line_frequency.sql(), "op7_exact_dedup": exact_dedup.SQL}

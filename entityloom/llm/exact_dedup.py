@@ -68,7 +68,7 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, "")
 
 
-def _sender(file: str, at: str) -> Column:
+def sender_of(file: str, at: str) -> Column:
     return F.xxhash64(F.col(file), F.floor(F.col(at) / SENDER_ROWS))
 
 
@@ -167,7 +167,7 @@ def marked(docs: DataFrame, file: str, at: str, bitmaps: DataFrame, n_rows: int)
     side = F.broadcast(bitmaps) if n_rows <= BROADCAST_ROWS else bitmaps
     place = (F.col(at) % SENDER_ROWS).cast("int")
     bit = F.getbit(F.get("words", F.shiftright(place, 6)), place.bitwiseAND(63))
-    return docs.withColumn("sender", _sender(file, at)).join(side, "sender").filter(bit == 1).drop("sender", "words")
+    return docs.withColumn("sender", sender_of(file, at)).join(side, "sender").filter(bit == 1).drop("sender", "words")
 
 
 def duplicates(docs: DataFrame) -> tuple[DataFrame, str, str]:
@@ -183,7 +183,7 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, str, str]:
             "n_chars",
             F.unhex(F.sha2("t", 256)).alias("sha"),
             F.shiftrightunsigned(F.xxhash64("t"), 64 - FINGERPRINT_BITS).alias("fp"),
-            _sender(file, at).alias("sender"),
+            sender_of(file, at).alias("sender"),
             (F.col(at) % SENDER_ROWS).cast("int").alias("place"),
         ),
         "dedup-rows",

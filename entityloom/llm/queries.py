@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.llm import dac, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, simhash
+from entityloom.llm import dac, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, repeats, simhash
 from entityloom.llm.common import read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -24,6 +24,10 @@ def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.line_rules(read_documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(read_documents(spark, sf_dir))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir).select(
         "doc_id", word_count(F.col("text")).alias("size"), mixing.pattern_of(F.col("source")).alias("pattern")
@@ -72,6 +76,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_token_codes": op5_token_codes,
     "op6_simhash": op6_simhash,

@@ -1,15 +1,62 @@
-"""The corpus pipeline: stages that read documents and hand on what they keep."""
+"""The corpus pipeline: documents of a known language, without copies, mixed and packed.
+
+Each stage reads the documents that its predecessor kept and hands on their columns; the last
+one returns packed pieces.  SQL can express neither the compressor nor the tokenizer; the chain
+is tested against a plain Python version.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from entityloom.llm import exact_dedup, language, mixing, packing, simhash
+from entityloom.llm.common import staged_rows, word_count
 
 ORACLE_SQL: str | None = None
-STAGES: list = []
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter and those whose two best languages are close."""
+    return language.accepted_rows(docs, language.dictionaries(docs, F.lit(True)))
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the longest of equal texts, white space aside."""
+    return exact_dedup.without_duplicates(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest doc_id of each group of near fingerprints."""
+    return simhash.without_near_duplicates(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes documents up to their source's target; those taken twice are two rows."""
+    return mixing.mixed_documents(docs, word_count(F.col("text")), F.col("source"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids and their places in sequences."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(packing.token_pieces(docs, path, end_id=0))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_duplicates),
+    ("simhash_near_dedup", near_duplicates),
+    ("mix_sources", mix),
+    ("best_fit_packing", pack),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; what a stage returns is written before the next one reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = staged_rows(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -70,3 +70,42 @@ def addressed(docs: DataFrame) -> tuple[DataFrame, str, str]:
         except AnalysisException:
             continue
     raise ValueError("rows of this input have no address")
+
+
+#: Rows of a file in one sender; its bitmap has a bit for each.
+SENDER_ROWS = 65_536
+#: The bitmaps of up to this many rows are broadcast (one bit a row: 32 MB); those of more are joined by shuffle.
+BROADCAST_ROWS = 2**28
+
+
+def sender_of(file: str, at: str) -> Column:
+    """The block of a file that an addressed row lies in."""
+    return F.xxhash64(F.col(file), F.floor(F.col(at) / SENDER_ROWS))
+
+
+def place_of(at: str) -> Column:
+    return (F.col(at) % SENDER_ROWS).cast("int")
+
+
+def bitmaps_of(rows: DataFrame) -> DataFrame:
+    """(sender, words): a bit for each of ``rows`` (sender, place)."""
+    bit = F.expr("shiftleft(1L, place & 63)")
+    words = rows.groupBy("sender", F.shiftright("place", 6).alias("w")).agg(F.bit_or(bit).alias("bits"))
+    full = lambda m: F.transform(
+        F.sequence(F.lit(0), F.lit(SENDER_ROWS // 64 - 1)), lambda i: F.coalesce(F.element_at(m, i), F.lit(0).cast("long"))
+    )
+    by_sender = words.groupBy("sender").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m"))
+    return by_sender.select("sender", full(F.col("m")).alias("words"))
+
+
+def by_bitmap(df: DataFrame, sender: Column, place: Column, bitmaps: DataFrame, n_rows: int, wanted: bool) -> DataFrame:
+    """The rows of ``df`` whose bit is set, or with ``wanted`` false those whose bit is not.
+
+    Texts stay where they are read: only bitmaps move.
+    """
+    own = columns_named(df, "bit_", "sender", "words")
+    side = bitmaps.select(F.col("sender").alias(own["sender"]), F.col("words").alias(own["words"]))
+    side = F.broadcast(side) if n_rows <= BROADCAST_ROWS else side
+    bit = F.getbit(F.get(own["words"], F.shiftright(place, 6)), place.bitwiseAND(63))
+    joined = df.join(side, sender == F.col(own["sender"]), "left")
+    return joined.filter(F.coalesce(bit, F.lit(0)) == int(wanted)).select(*df.columns)

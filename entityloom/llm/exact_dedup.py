@@ -23,15 +23,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import BLANK, addressed, staged_rows
+from entityloom.llm.common import (
+    BLANK,
+    SENDER_ROWS,
+    addressed,
+    bitmaps_of,
+    by_bitmap,
+    place_of,
+    sender_of,
+    staged_rows,
+)
 
 FINGERPRINT_BITS = 48
-#: Rows of a file in one sender; a bitmap has a bit for each.
-SENDER_ROWS = 65_536
 #: Fingerprints for one owner, about, and the most bits of a fingerprint that choose the owner.
 OWNER_ROWS, OWNER_BITS = 100_000, 16
-#: The bitmaps of this many rows are broadcast (one bit a row: 32 MB); those of more are joined by shuffle.
-BROADCAST_ROWS = 2**28
 
 
 def golomb_encode(values: np.ndarray, bits: int) -> tuple[int, bytes, bytes]:
@@ -68,10 +73,6 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), BLANK, "")
 
 
-def sender_of(file: str, at: str) -> Column:
-    return F.xxhash64(F.col(file), F.floor(F.col(at) / SENDER_ROWS))
-
-
 def _encode_senders(owner_bits: int):
     rest_bits = FINGERPRINT_BITS - owner_bits
 
@@ -162,17 +163,8 @@ def suspects(rows: DataFrame) -> DataFrame:
     return senders.join(per_sender, "sender").mapInArrow(_row_bitmaps(owner_bits), "sender long, words array<long>")
 
 
-def marked(docs: DataFrame, file: str, at: str, bitmaps: DataFrame, n_rows: int) -> DataFrame:
-    """The rows of addressed ``docs`` whose bit is set."""
-    side = F.broadcast(bitmaps) if n_rows <= BROADCAST_ROWS else bitmaps
-    place = (F.col(at) % SENDER_ROWS).cast("int")
-    bit = F.getbit(F.get("words", F.shiftright(place, 6)), place.bitwiseAND(63))
-    return docs.withColumn("sender", sender_of(file, at)).join(side, "sender").filter(bit == 1).drop("sender", "words")
-
-
-def duplicates(docs: DataFrame) -> tuple[DataFrame, str, str]:
-    """One row for each row of ``docs``: its address, doc_id, keep_id, group_size, kept, text_sha256."""
-    placed, file, at = addressed(docs)
+def duplicates(placed: DataFrame, file: str, at: str) -> DataFrame:
+    """For each row of addressed documents: sender, place, doc_id, keep_id, group_size, kept, text_sha256."""
     narrow = placed.select(file, at, "doc_id", "text")
     rows = staged_rows(
         narrow.select(file, at, "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), normalised(F.col("text")).alias("t"))
@@ -184,13 +176,14 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, str, str]:
             F.unhex(F.sha2("t", 256)).alias("sha"),
             F.shiftrightunsigned(F.xxhash64("t"), 64 - FINGERPRINT_BITS).alias("fp"),
             sender_of(file, at).alias("sender"),
-            (F.col(at) % SENDER_ROWS).cast("int").alias("place"),
+            place_of(at).alias("place"),
         ),
         "dedup-rows",
     )
     n_rows = rows.count()
     bitmaps = staged_rows(suspects(rows.select("sender", "place", "fp")), "dedup-bitmaps")
-    texts = marked(narrow, file, at, bitmaps, n_rows).select(
+    suspect = by_bitmap(narrow, sender_of(file, at), place_of(at), bitmaps, n_rows, wanted=True)
+    texts = suspect.select(
         file, at, "doc_id", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars"), normalised(F.col("text")).alias("t")
     )
     best = F.max(F.struct("n_chars", (-F.col("doc_id")).alias("order_id"), F.col(file).alias("file"), (-F.col(at)).alias("at")))
@@ -207,16 +200,23 @@ def duplicates(docs: DataFrame) -> tuple[DataFrame, str, str]:
         )
     )
     alone = F.col("group_size").isNull()
-    out = rows.join(groups, "sha", "left").select(
-        file,
-        at,
+    return rows.join(groups, "sha", "left").select(
+        "sender",
+        "place",
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | ((F.col(file) == F.col("keep_file")) & (F.col(at) == F.col("keep_at")))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
     )
-    return out, file, at
+
+
+def without_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of equal texts; all columns as they are."""
+    placed, file, at = addressed(docs)
+    found = staged_rows(duplicates(placed, file, at).select("sender", "place", "kept"), "dedup-kept")
+    gone = bitmaps_of(found.filter("not kept"))
+    return by_bitmap(placed, sender_of(file, at), place_of(at), gone, found.count(), wanted=False).select(*docs.columns)
 
 
 SQL = r"""

@@ -129,3 +129,16 @@ def identified(docs: DataFrame, content: dict[str, bytes], *keep: Column) -> Dat
     fields = ", ".join(f"`{n}` {t}" for n, t in narrow.dtypes[:-1])
     out = narrow.mapInArrow(_judged(content), f"{fields}, lang_pred string, score double, margin double")
     return out.withColumn("accepted", (F.col("lang_pred") != UNKNOWN) & (F.col("margin") >= MIN_MARGIN))
+
+
+def accepted_rows(docs: DataFrame, content: dict[str, bytes]) -> DataFrame:
+    """The rows of ``docs`` whose language is accepted; all columns as they are."""
+    names, raws, at = list(content), tuple(content.values()), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(at)
+            found = [judge(text[i].as_py(), names, raws) for i in range(batch.num_rows)]
+            yield batch.filter(pa.array([x[0] != UNKNOWN and x[2] >= MIN_MARGIN for x in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import staged_rows
+from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows, with_uid
 
 #: Stretches of the seeded order whose sums are accumulated first; a window then orders one of them.
 BUCKET_BITS = 12
@@ -252,3 +252,21 @@ def standard_mix(rows: DataFrame, repeats: int = 2) -> tuple[DataFrame, DataFram
         [(s, sizes[s], float(targets[s])) for s in sizes], "source string, source_size long, target double"
     )
     return draw(rows, quotas, repeats, totals=totals), facts
+
+
+def mixed_documents(docs: DataFrame, size: Column, source: Column, repeats: int = 2) -> DataFrame:
+    """The rows of ``docs`` that the standard mix takes, each as often as it is drawn."""
+    placed, file, at = addressed(docs)
+    rows = placed.select(
+        "doc_id", sender_of(file, at).alias("sender"), place_of(at).alias("place"), size.alias("size"), pattern_of(source).alias("pattern")
+    )
+    staged = staged_rows(with_uid(rows), "mix-sizes")
+    drawn, _ = standard_mix(staged.drop("sender", "place"), repeats)
+    times = drawn.select("uid", F.size("draws").alias("times"))
+    taken = staged_rows(staged.select("uid", "sender", "place").join(times, "uid"), "mix-taken")
+    n, out = taken.count(), None
+    for k in range(1, repeats + 1):
+        bits = bitmaps_of(taken.filter(F.col("times") >= k))
+        part = by_bitmap(placed, sender_of(file, at), place_of(at), bits, n, wanted=True).select(*docs.columns)
+        out = part if out is None else out.unionByName(part)
+    return out

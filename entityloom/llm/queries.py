@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.llm import dac, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, repeats, simhash
-from entityloom.llm.common import read_documents, staged_rows, with_uid, word_count
+from entityloom.llm.common import addressed, read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
 TRIAL_KEY = "trial-key-not-for-production"
@@ -45,11 +45,12 @@ def op5_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(read_documents(spark, sf_dir))
+    found = simhash.near_duplicates(*addressed(read_documents(spark, sf_dir)))
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, *_ = exact_dedup.duplicates(read_documents(spark, sf_dir))
+    rows = exact_dedup.duplicates(*addressed(read_documents(spark, sf_dir)))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 

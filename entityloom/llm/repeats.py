@@ -34,8 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import addressed, staged_rows
-from entityloom.llm.exact_dedup import BROADCAST_ROWS, SENDER_ROWS, sender_of
+from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows
 from entityloom.llm.suffix_array import Segments, kasai, larsson_sadakane
 
 LENGTH = 100
@@ -346,7 +345,7 @@ class _Source:
             F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"),
             F.hash(file, at).alias("uid"),
             sender_of(file, at).alias("sender"),
-            (F.col(at) % SENDER_ROWS).cast("int").alias("place"),
+            place_of(at).alias("place"),
             F.coalesce("text", F.lit("")).alias("text"),
         )
         self.n = self.texts.count()
@@ -354,20 +353,11 @@ class _Source:
     def bitmaps(self, keys: DataFrame) -> DataFrame:
         """(sender, words): a bit for each row that ``keys`` (doc_id, uid) names."""
         rows = self.texts.select("sender", "place", "doc_id", "uid").join(keys, ["doc_id", "uid"], "left_semi")
-        word, bit = F.shiftright("place", 6), F.expr("shiftleft(1L, place & 63)")
-        words = rows.groupBy("sender", word.alias("w")).agg(F.bit_or(bit).alias("bits"))
-        full = lambda m: F.transform(
-            F.sequence(F.lit(0), F.lit(SENDER_ROWS // 64 - 1)), lambda i: F.coalesce(F.element_at(m, i), F.lit(0).cast("long"))
-        )
-        return words.groupBy("sender").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m")).select(
-            "sender", full(F.col("m")).alias("words")
-        )
+        return bitmaps_of(rows)
 
     def named(self, bitmaps: DataFrame, wanted: bool) -> DataFrame:
-        side = F.broadcast(bitmaps) if self.n <= BROADCAST_ROWS else bitmaps
-        bit = F.getbit(F.get("words", F.shiftright("place", 6)), F.col("place").bitwiseAND(63))
-        joined = self.texts.join(side, "sender", "left")
-        return joined.filter(F.coalesce(bit, F.lit(0)) == int(wanted)).select("doc_id", "uid", "text")
+        rows = by_bitmap(self.texts, F.col("sender"), F.col("place"), bitmaps, self.n, wanted)
+        return rows.select("doc_id", "uid", "text")
 
 
 def _shards(found: DataFrame) -> DataFrame:

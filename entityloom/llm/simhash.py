@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import staged_rows
+from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows
 from entityloom.llm.components import components
 
 SEED = 42
@@ -92,13 +92,14 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
                 at += 1
             fps[start:at] = majority_bits(np.concatenate(hashes), np.array(sizes))
             start = at
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        kept = [batch.column(c) for c in ("doc_id", "sender", "place")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(fps.view(np.int64))], ["doc_id", "sender", "place", "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) for each row; fp holds the 64 bits as a signed number."""
-    narrow = docs.select("doc_id", "text")
-    schema = f"doc_id {dict(narrow.dtypes)['doc_id']}, fp long"
+def fingerprints(placed: DataFrame, file: str, at: str) -> DataFrame:
+    """(doc_id, sender, place, fp) for each addressed row; fp holds the 64 bits as a signed number."""
+    narrow = placed.select("doc_id", sender_of(file, at).alias("sender"), place_of(at).alias("place"), "text")
+    schema = f"doc_id {dict(narrow.dtypes)['doc_id']}, sender long, place int, fp long"
     return narrow.mapInArrow(_fingerprint_batches, schema)
 
 
@@ -210,16 +211,33 @@ def hamming_links(fps: DataFrame, budget_bits: int = BUDGET) -> DataFrame:
     return dealt.groupBy("low", "high", "depth").applyInPandas(_links_of_group, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for each row; the component's smallest doc_id stays."""
-    rows = staged_rows(fingerprints(docs), "simhash")
-    nodes = staged_rows(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
+def near_duplicates(placed: DataFrame, file: str, at: str) -> DataFrame:
+    """For each addressed row: sender, place, doc_id, fingerprint, component_id, kept.
+
+    The component's smallest doc_id stays; of rows that repeat it the one with the first address.
+    """
+    rows = staged_rows(fingerprints(placed, file, at), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "sender", "place")
+    nodes = staged_rows(rows.groupBy("fp").agg(F.min(order).alias("first")), "simhash-nodes")
     roots = components(hamming_links(nodes.select("fp")))
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
     smallest = linked.groupBy("root").agg(F.min("first").alias("least"))
     named = nodes.join(linked.select("fp", "root").join(smallest, "root").select("fp", "least"), "fp", "left").select(
-        "fp", F.coalesce("least", "first").alias("component_id")
+        "fp", F.coalesce("least", "first").alias("stays")
     )
     return rows.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "sender",
+        "place",
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.col("stays.doc_id").alias("component_id"),
+        ((F.col("sender") == F.col("stays.sender")) & (F.col("place") == F.col("stays.place"))).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component; all columns as they are."""
+    placed, file, at = addressed(docs)
+    found = staged_rows(near_duplicates(placed, file, at).select("sender", "place", "kept"), "simhash-kept")
+    gone = bitmaps_of(found.filter("not kept"))
+    return by_bitmap(placed, sender_of(file, at), place_of(at), gone, found.count(), wanted=False).select(*docs.columns)

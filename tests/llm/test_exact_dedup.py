@@ -4,7 +4,8 @@ import re
 
 import numpy as np
 import pytest
-from entityloom.llm import exact_dedup, queries
+from entityloom.llm import common, exact_dedup, queries
+from entityloom.llm.common import addressed
 
 
 @pytest.mark.parametrize("n,bits", [(0, 44), (1, 44), (5, 3), (1000, 12), (1000, 44), (3000, 8)])
@@ -51,17 +52,17 @@ def test_equal_to_brute_force(spark, docs, tmp_path):
     got = [tuple(r) for r in queries.op7_exact_dedup(spark, str(tmp_path)).collect()]
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
     small = rows[:40] + rows[-8:]
-    unscanned, *_ = exact_dedup.duplicates(docs(small))  # no file scan: staged first
+    unscanned = exact_dedup.duplicates(*addressed(docs(small)))  # no file scan: staged first
     got = [tuple(r)[2:] for r in unscanned.collect()]
     assert sorted(got, key=key) == sorted(brute(small), key=key)
 
 
 def test_join_beyond_the_broadcast_bound(docs, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     rows = [(i, f"t {i % 7}") for i in range(30)]
-    got = [tuple(r)[2:] for r in exact_dedup.duplicates(docs(rows))[0].collect()]
+    got = [tuple(r)[2:] for r in exact_dedup.duplicates(*addressed(docs(rows))).collect()]
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
 
 
 def test_empty(docs):
-    assert exact_dedup.duplicates(docs([]))[0].collect() == []
+    assert exact_dedup.duplicates(*addressed(docs([]))).collect() == []

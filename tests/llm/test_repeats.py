@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import numpy as np
-from entityloom.llm import queries, repeats
+from entityloom.llm import common, queries, repeats
 
 
 def brute(rows):
@@ -55,7 +55,7 @@ def test_equal_to_brute_force(spark, docs, tmp_path):
 
 def test_spread_anchors_and_shuffled_bitmaps(spark, docs, tmp_path, monkeypatch):
     monkeypatch.setattr(repeats, "SHARD_SEGMENTS", 3)
-    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
     check(spark, docs, tmp_path, sample(7))
 
 

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import xxhash
 from entityloom.llm import simhash
+from entityloom.llm.common import addressed
 
 
 def brute_fingerprint(text):
@@ -71,10 +72,10 @@ def test_near_duplicates_equal_brute_force(docs):
             rows.append((10 * i - 1, " ".join(text).upper()))
     rows += [(7000, None), (7001, ""), (7002, " \n"), (None, "a b"), (7003, "a b"), (7003, "a b"), (7004, "é À x y")]
     rows.append((7005, "long " * 60_000))
-    got = [tuple(r) for r in simhash.near_duplicates(docs(rows)).collect()]
+    got = [tuple(r) for r in simhash.near_duplicates(*addressed(docs(rows))).select("doc_id", "fingerprint", "component_id").collect()]
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(got, key=key) == sorted(brute_components(rows), key=key)
 
 
 def test_empty_table(docs):
-    assert simhash.near_duplicates(docs([])).collect() == []
+    assert simhash.near_duplicates(*addressed(docs([]))).collect() == []

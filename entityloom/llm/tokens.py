@@ -8,7 +8,6 @@ special tokens) is handed over whole.  The ids equal those of the whole text in
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 from functools import lru_cache
 
@@ -20,12 +19,8 @@ from tokenizers import Tokenizer
 #: Texts are taken together up to this size.
 PIECE_BYTES = 6_000_000
 #: Words remembered by a worker process; above it the older half is forgotten.
-MEMORY_WORDS = 600_000
+MEMORY_WORDS = 700_000
 _MARK = "\u241e"
-#: Other blanks than space and newline, control characters, special tokens: such texts go whole.
-_UNSURE = re.compile("[\x00-\x09\x0b-\x1f\x7f-\xa0 ᠎ -‏ -  -⁯　﻿\u241e]|<\\|")
-#: For a byte-level tokenizer blanks join the next word; only these forms are sure.
-_UNSURE_BLANKS = re.compile("  |\n\n|\n |^[ \n]|[ \n]$| \n")
 
 
 class Encoder:
@@ -47,7 +42,7 @@ class Encoder:
 
     def _missing(self, words: list[str]) -> list[bytes]:
         """Ids of new words as bytes.  They go to the library as one text with marks between them."""
-        ids = self.tokenizer.encode(self.mark.join(words), add_special_tokens=False).ids
+        ids = self.tokenizer.encode_batch_fast([self.mark.join(words)], add_special_tokens=False)[0].ids
         flat = np.array(ids, dtype=np.uint32)
         marks = np.flatnonzero(flat == self.mark_ids[-1])
         if len(marks) != len(words) - 1:  # a word holds the mark's last id
@@ -72,8 +67,8 @@ class Encoder:
                     out[at] = young[w] = ids
         # Words with a newline before them are few; they would be taken for marks.
         for group in ([at for at in missing if words[at][:1] != "\n"], [at for at in missing if words[at][:1] == "\n"]):
-            for s in range(0, len(group), 2000):
-                part = group[s : s + 2000]
+            for s in range(0, len(group), 500):
+                part = group[s : s + 500]
                 for at, ids in zip(part, self._missing([words[at] for at in part]), strict=True):
                     out[at] = young[words[at]] = ids
         if len(young) > MEMORY_WORDS // 2:
@@ -81,7 +76,16 @@ class Encoder:
         return out
 
     def _is_sure(self, text: str) -> bool:
-        return not _UNSURE.search(text) and not (self.joins_blank and _UNSURE_BLANKS.search(text))
+        """No blanks but space and newline, no control characters, marks or special tokens.
+
+        A byte-level tokenizer joins blanks with the next word; there only single blanks between
+        words are sure.
+        """
+        if not text.replace("\n", " ").isprintable() or "<|" in text or _MARK in text:
+            return False
+        if not self.joins_blank:
+            return True
+        return text[0] not in " \n" and text[-1] not in " \n" and not any(x in text for x in ("  ", "\n\n", " \n", "\n "))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""

@@ -70,7 +70,12 @@ def rounded(c: Column, decimals: int = 1) -> Column:
     (0.35 is stored a little below 0.35 and gives 0.3; ``bround`` would see a tie.)
     """
     layout = "0." + "0" * decimals if decimals else "0"
-    return F.call_function("format_number", c, F.lit(layout)).try_cast("double") + F.lit(0.0)
+    exact = F.call_function("format_number", c, F.lit(layout)).try_cast("double")
+    # Away from a tie, and where doubles resolve a millionth, the printed value is the nearest one.
+    scale = float(10**decimals)
+    moved = c * scale
+    near_tie = F.abs(moved - F.floor(moved) - 0.5) < 1e-6
+    return F.when((F.abs(c) < 1e9) & ~near_tie, F.rint(moved) / scale).otherwise(exact) + F.lit(0.0)
 
 
 def rescale(c: Column, lo, hi, to_lo=TARGET_SCALE[0], to_hi=TARGET_SCALE[1], decimals: int = 1) -> Column:

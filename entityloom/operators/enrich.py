@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from entityloom.functions import text as tx
 from entityloom.functions import urls
 from entityloom.operators.extract import Move, Part, Sel, find_all, read_part
+from entityloom.operators.links import numbers_exploded
 
 
 def eligible_community(url: Column) -> Column:
@@ -16,9 +17,17 @@ def eligible_community(url: Column) -> Column:
     return F.coalesce(known, F.lit(False))
 
 
+# Patterns of the community pages.
+MEMBERS_PATTERN = r'tgme_page_extra">\s*([0-9][0-9\s]*?)\s*members'
+KARMA_PATTERN = r"<span>([,0-9\s]+)Karma"
+POST_KARMA_PATTERN = r'<span class="karma">(-?[,0-9\s]+)</span>'
+COMMENT_KARMA_PATTERN = r'span class="karma comment-karma">(-?[,0-9\s]+)</span>'
+ACTIVITY_PATTERN = r"Activity:\s*([0-9]+)"
+
+
 def member_count(html: Column) -> Column:
     """``tgme_page_extra"> 12 345 members`` -> 12345."""
-    found = F.regexp_extract(html, r'tgme_page_extra">\s*([0-9][0-9\s]*?)\s*members', 1)
+    found = F.regexp_extract(html, MEMBERS_PATTERN, 1)
     return tx.digits_only(found)
 
 
@@ -33,9 +42,9 @@ def _counter(html: Column, pattern: str) -> Column:
 
 def reputation(html: Column) -> Column:
     """User reputation on a profile page: one figure, or the sum of two on the older layout."""
-    one = _counter(html, r"<span>([,0-9\s]+)Karma")
-    posts = _counter(html, r'<span class="karma">(-?[,0-9\s]+)</span>')
-    comments = _counter(html, r'span class="karma comment-karma">(-?[,0-9\s]+)</span>')
+    one = _counter(html, KARMA_PATTERN)
+    posts = _counter(html, POST_KARMA_PATTERN)
+    comments = _counter(html, COMMENT_KARMA_PATTERN)
     return F.coalesce(one, posts + comments)
 
 
@@ -75,9 +84,10 @@ def thread_offsets(shredded: DataFrame, url: str = "url", step: int = 20) -> Dat
     number = lambda u: F.regexp_extract(u, r"topic=[0-9]+\.([0-9]+)", 1).try_cast("int")
     last = F.coalesce(F.array_max(F.transform(F.concat(links, F.array(F.col(url))), number)), F.lit(0))
     base = urls.thread_base(F.col(url))
-    pages = shredded.select(F.col(url).alias("url"), base.alias("thread"), F.explode(F.sequence(F.lit(0), last, F.lit(step))).alias("page_offset"))
-    return pages.where(F.col("thread").isNotNull()).select(
-        "url", "thread", "page_offset", F.concat_ws(".", "thread", F.col("page_offset").cast("string")).alias("page_url")
+    threads = shredded.select(F.col(url).alias("url"), base.alias("thread"), last.alias("last")).where(F.col("thread").isNotNull())
+    pages = numbers_exploded(threads, "page_offset", 0, "last", step)
+    return pages.select(
+        "url", "thread", F.col("page_offset").cast("int").alias("page_offset"), F.concat_ws(".", "thread", F.col("page_offset").cast("string")).alias("page_url")
     )
 
 
@@ -106,7 +116,7 @@ def community_figures(posts: DataFrame, karma: DataFrame) -> DataFrame:
 
 def page_activity(text: Column) -> tuple[Column, Column]:
     """(floor-mean, number) of all ``Activity: n`` figures on a forum page; NULL, 0 if none."""
-    figures = F.transform(F.regexp_extract_all(text, F.lit(r"Activity:\s*([0-9]+)"), F.lit(1)), lambda s: s.try_cast("bigint"))
+    figures = F.transform(F.regexp_extract_all(text, F.lit(ACTIVITY_PATTERN), F.lit(1)), lambda s: s.try_cast("bigint"))
     n = F.size(figures)
     total = F.aggregate(figures, F.lit(0).cast("bigint"), lambda a, b: a + b)
     return floor_mean(total, n), n.cast("bigint")
@@ -136,6 +146,8 @@ def attach(profiles: DataFrame, figures: DataFrame, link: str, url: str = "url",
     With ``clear_unmatched`` a profile without figures also loses its link.
     """
     names = [c for c in figures.columns if c != url]
+    # One row for each link, so that a profile is never doubled: the largest of several.
+    figures = figures.groupBy(url).agg(F.max(F.struct(*names)).alias("_f")).select(url, *[F.col(f"_f.{c}").alias(c) for c in names])
     right = figures.select(F.col(url).alias("_key"), F.lit(True).alias("_hit"), *names)
     # Profiles without a link would all meet in one task of a shuffle join: give each a
     # key of its own, which no link equals.

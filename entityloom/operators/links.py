@@ -51,6 +51,35 @@ def page_numbers(last: Column, start: int = 1, step: int = 1) -> Column:
     return F.when(last >= start, F.sequence(F.lit(start), last.cast("int"), F.lit(step))).otherwise(none)
 
 
+def numbers_exploded(df: DataFrame, name: str, start: int, last: str, step: int = 1, block: int = 4096) -> DataFrame:
+    """One row for each of ``start, start + step .. last`` (a column of ``df``) in the new column ``name``.
+
+    ``last`` may come from a page, and may be absurd: numbers are made in blocks, so that no row
+    ever holds a list longer than a block, and the blocks of one row may go to many tasks.
+    """
+    span = block * step
+    n_blocks = F.floor((F.col(last) - start) / span) + 1
+    outer = F.when(F.col(last) >= start, F.sequence(F.lit(0).cast("bigint"), F.floor((n_blocks - 1) / block)))
+    return (
+        df.withColumn("_outer", F.explode(outer))
+        .withColumn(
+            "_block",
+            F.explode(F.sequence(F.col("_outer") * block, F.least((F.col("_outer") + 1) * block, n_blocks) - 1)),
+        )
+        .withColumn(
+            name,
+            F.explode(
+                F.sequence(
+                    F.lit(start) + F.col("_block") * span,
+                    F.least(F.lit(start) + (F.col("_block") + 1) * span - step, F.col(last).cast("bigint")),
+                    F.lit(step).cast("bigint"),
+                )
+            ),
+        )
+        .drop("_outer", "_block")
+    )
+
+
 def pages_needed(items: Column, per_page: int) -> Column:
     return F.ceil(items / per_page).cast("int")
 
@@ -62,8 +91,10 @@ def follow_next(pages: DataFrame, url: str, next_url: str, starts: DataFrame) ->
     so a chain of n pages needs log2(n) rounds.  A page that leads back into its own chain
     does not make the walk endless, since every (start, url) is kept once.
     """
-    jump = pages.select(F.col(url).alias("at"), F.col(next_url).alias("to")).where("to is not null and at <> to")
-    reached = starts.select(F.col(url).alias("start"), F.col(url).alias("url"), F.lit(0).cast("bigint").alias("hop"))
+    # Links are kept distinct in every round: a page that was crawled twice would else double
+    # the paths through it, and paths multiply when they are joined.
+    jump = pages.select(F.col(url).alias("at"), F.col(next_url).alias("to")).where("to is not null and at <> to").distinct()
+    reached = starts.select(F.col(url).alias("start"), F.col(url).alias("url"), F.lit(0).cast("bigint").alias("hop")).distinct()
     (jump, seen), (reached, have) = staged(jump, "jump"), staged(reached, "reached")
     n, stride = int(have["n_rows"]), 1
     while seen["n_rows"]:
@@ -76,6 +107,6 @@ def follow_next(pages: DataFrame, url: str, next_url: str, starts: DataFrame) ->
             break
         n, stride = int(have["n_rows"]), stride * 2
         onward = jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.at"))
-        jump, seen = staged(onward.select(F.col("a.at").alias("at"), F.col("b.to").alias("to")), "jump")
+        jump, seen = staged(onward.select(F.col("a.at").alias("at"), F.col("b.to").alias("to")).distinct(), "jump")
     known = pages.select(F.col(url).alias("url"))
     return reached.join(known, "url", "left_semi").select("start", "url", "hop")

@@ -141,12 +141,11 @@ def greedy_clusters(df: DataFrame, rank: str, keys: Keys, null_matches: bool = F
     taken: list[DataFrame] = []
     while n_members > 0:
         members = store.members(open_nodes)
-        heads = members.groupBy("block").agg(
-            F.min(F.struct("node", "n_blocks")).alias("head"), F.count(F.lit(1)).alias("n_rows")
-        )
+        heads = members.groupBy("block").agg(F.min("node").alias("seed"), F.count(F.lit(1)).alias("n_rows"))
+        sized = heads.join(open_nodes.select(F.col("node").alias("seed"), F.size("blocks").alias("n_blocks")), "seed")
         # A node heads at most its own few blocks, so these windows are tiny.
-        headed = F.count(F.lit(1)).over(Window.partitionBy("head.node"))
-        facts = heads.select("block", "n_rows", F.col("head.node").alias("seed"), (headed == F.col("head.n_blocks")).alias("is_taken"))
+        headed = F.count(F.lit(1)).over(Window.partitionBy("seed"))
+        facts = sized.select("block", "n_rows", "seed", (headed == F.col("n_blocks")).alias("is_taken"))
         facts, _ = staged(facts, "blocks")
         sizes = sizes if sizes is not None else facts.select("block", "n_rows")
         taken.append(facts.where("is_taken").select("block", "seed"))

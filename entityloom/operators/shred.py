@@ -14,7 +14,7 @@ content as one row per element.
 from __future__ import annotations
 
 import sys
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -52,22 +52,24 @@ IMPLIED_ENDS = {
 for _block in ("div", "ul", "ol", "table", "article", "section", "h1", "h2", "h3", "h4", "h5", "h6"):
     IMPLIED_ENDS[_block] = IMPLIED_ENDS["p"]
 
-Page = tuple[list[list], list[tuple[int, str]]]
+Page = tuple[list[list], list[tuple[int | None, str]]]
 _FLUSH_ELEMENTS = 50_000
-# Elements nested deeper than this are kept, but what follows is not put inside them; browsers
-# do the same.  It bounds the work on pages that never close their tags.
-_MAX_DEPTH = 512
 
 
 class _PageReader(HTMLParser):
-    """Collects the elements and text pieces of one page; forgives unclosed tags."""
+    """Collects the elements and text pieces of one page; forgives unclosed tags.
+
+    ``open`` holds the open elements, and ``depths`` for each tag the places of its open
+    elements in it.  An end tag compares the tops of these stacks and closes what lies above,
+    so each element is closed once and the work is linear at any depth.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.elements: list[list] = []
-        self.texts: list[tuple[int, str]] = []
+        self.texts: list[tuple[int | None, str]] = []
         self.open: list[int] = []
-        self.n_open: Counter[str] = Counter()
+        self.depths: defaultdict[str, list[int]] = defaultdict(list)
         self.last_child: dict[int, int] = {}
 
     def handle_starttag(self, tag, attrs):
@@ -82,21 +84,19 @@ class _PageReader(HTMLParser):
         self.last_child[-1 if parent is None else parent] = pos
         n = len(self.texts)
         self.elements.append([pos, parent, None, pos, len(self.open), tag, dict(reversed(attrs)), n, n])
-        if tag not in VOID_TAGS and (len(self.open) < _MAX_DEPTH or tag in HIDDEN_TAGS):
+        if tag not in VOID_TAGS:
+            self.depths[tag].append(len(self.open))
             self.open.append(pos)
-            self.n_open[tag] += 1
 
     def handle_endtag(self, tag):
-        if not self.n_open[tag]:
-            return
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.elements[self.open[depth]][5] == tag:
-                self._close_down_to(depth)
-                return
+        if self.depths[tag]:
+            self._close_down_to(self.depths[tag][-1])
 
     def handle_data(self, data):
-        if self.open and self.elements[self.open[-1]][5] not in HIDDEN_TAGS:
-            self.texts.append((self.open[-1], data))
+        """Text outside any element is kept too, without an owner."""
+        owner = self.open[-1] if self.open else None
+        if owner is None or self.elements[owner][5] not in HIDDEN_TAGS:
+            self.texts.append((owner, data))
 
     def parse_marked_section(self, i, report=1):
         """Skip ``<![…>``, whatever it holds; the base class refuses unknown ones."""
@@ -104,19 +104,13 @@ class _PageReader(HTMLParser):
         return end + 1 if end >= 0 else -1
 
     def _close_implied(self, closes, stops):
-        if not any(self.n_open[t] for t in closes):
-            return
-        for depth in range(len(self.open) - 1, -1, -1):
-            tag = self.elements[self.open[depth]][5]
-            if tag in closes:
-                self._close_down_to(depth)
-                return
-            if tag in stops:
-                return
+        nearest = max((self.depths[t][-1] for t in closes if self.depths[t]), default=-1)
+        if nearest >= 0 and nearest > max((self.depths[t][-1] for t in stops if self.depths[t] and t not in closes), default=-1):
+            self._close_down_to(nearest)
 
     def _close_down_to(self, depth):
         for pos in self.open[depth:]:
-            self.n_open[self.elements[pos][5]] -= 1
+            self.depths[self.elements[pos][5]].pop()
             self.elements[pos][3] = len(self.elements) - 1
             self.elements[pos][8] = len(self.texts)
         del self.open[depth:]
@@ -239,7 +233,7 @@ class _PageElements:
 
     def eval(self, html: str):
         elements, texts = _PageReader().read(html) or ([], [])
-        own: dict[int, list[str]] = {}
+        own: dict[int | None, list[str]] = {}
         for owner, piece in texts:
             own.setdefault(owner, []).append(piece)
         for pos, parent, _, _, depth, tag, attrs, _, _ in elements:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.catalog.registry import Tables, query
+from entityloom.catalog.registry import Tables, greedy_sql, query
 from entityloom.functions import scores
 from entityloom.functions import text as tx
 from entityloom.operators import resolve
@@ -132,9 +132,12 @@ def clusters_transitive(t: Tables) -> DataFrame:
     return resolve.transitive_clusters(df, "p_partkey", keys)
 
 
-@query()
+@query(
+    f"""with recursive p as (select rank, list(key_name || '=' || key_value) as ks from ({_PART_KEYS}) group by rank),
+         {greedy_sql("p")} select rank, entity from e"""
+)
 def clusters_greedy(t: Tables) -> DataFrame:
-    """Seeds in rank order absorb their direct matches; checked against a sequential model in the tests."""
+    """Seeds in rank order absorb their direct matches."""
     df, keys = part_keys(t)
     return resolve.greedy_clusters(df, "p_partkey", keys)
 
@@ -146,25 +149,30 @@ _TEXT_BLANKS = "E' \\t\\n\\r\\f\\x0b' || chr(160)"
 
 
 @query(
-    f"""with r as (select 1000000000 - doc_id as rank, {_DOC_CASE} as prio, source, text as name, lang as ticker, n_chars,
+    f"""with recursive r as (select 1000000000 - doc_id as rank, {_DOC_CASE} as prio, source, text as name, lang as ticker, n_chars,
             nullif(quality, 0) as quality, nullif(toxic, 0) as toxic from documents left join labels using (doc_id)),
-         v as (select *, trim(name, {_TEXT_BLANKS}) as k from r where 4 + (quality is not null)::int + (toxic is not null)::int >= 4)
-       select min(rank) as entity,
+         v as (select *, ['n=' || md5(upper(trim(name, {_TEXT_BLANKS}))),
+             's=' || (n_chars // 4) || '/' || source] as ks from r where 4 + (quality is not null)::int + (toxic is not null)::int >= 4),
+         {greedy_sql("v")}
+       select entity,
          {", ".join(f"arg_min({f}, (prio, rank)) filter (where {f} is not null) as {f}" for f in ("source", "ticker", "n_chars", "quality", "toxic"))},
          md5(arg_min(trim(replace(name, '"', ''), {_TEXT_BLANKS}), (prio, rank))) as name_md5
-       from v group by upper(k)"""
+       from v join e using (rank) group by entity"""
 )
 def merge_full(t: Tables) -> DataFrame:
-    """Whole consolidation of documents: copies of a text in several sources are one entity."""
+    """Whole consolidation of documents that match by their text or by source and length."""
     grades = t.labels.select("doc_id", tx.zero_to_null(F.col("quality")).alias("quality"), tx.zero_to_null(F.col("toxic")).alias("toxic"))
     records = (
         t.documents.join(grades, "doc_id", "left")
         .withColumn("rank", F.lit(1000000000).cast("bigint") - F.col("doc_id"))
         .withColumnRenamed("text", "name")
         .withColumnRenamed("lang", "ticker")
+        .withColumn("shape", F.concat_ws("/", F.floor(F.col("n_chars") / 4).cast("string"), "source"))
     )
-    merged = consolidate(records, "rank", _DOC_FIELDS, ("name", "ticker"), 4, ("name",), priority=_DOC_PRIORITY)
-    return merged.withColumn("name_md5", F.md5(F.col("name").cast("binary"))).drop("name")
+    fields = (*_DOC_FIELDS, "shape")
+    # The shape is a key and no field of its own: the minimum counts it.
+    merged = consolidate(records, "rank", fields, ("name", "ticker"), 5, ("name", "shape"), priority=_DOC_PRIORITY)
+    return merged.withColumn("name_md5", F.md5(F.col("name").cast("binary"))).drop("name", "shape")
 
 
 # --- joins with dimensions and figures ------------------------------------
@@ -179,8 +187,10 @@ def dimension_lookup(t: Tables) -> DataFrame:
 
 @query("""select d.doc_id, d.source, l.quality from documents d left join labels l on l.doc_id = d.doc_id""")
 def attach_figures(t: Tables) -> DataFrame:
+    """Figures of pages that were crawled twice do not double a profile."""
     profiles = t.documents.select("doc_id", "source")
-    return attach(profiles, t.labels.select("doc_id", "quality"), "doc_id", url="doc_id")
+    figures = t.labels.select("doc_id", "quality")
+    return attach(profiles, figures.unionByName(figures), "doc_id", url="doc_id")
 
 
 @query(

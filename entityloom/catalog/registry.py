@@ -48,6 +48,21 @@ def printed(sql: str) -> str:
     return sql
 
 
+def greedy_sql(records: str) -> str:
+    """Common table expressions that give ``e`` (rank, entity) for ``records`` with rank and a list ``ks`` of keys.
+
+    The walk takes the records one by one and carries the keys that seeds hold: a record none of
+    whose keys is held is a seed.  Each record then goes to the first seed among its keys.
+    """
+    return f"""o as (select row_number() over (order by rank) as i, rank, ks from {records}),
+         walk as (select 0::bigint as i, []::varchar[] as held, null::bigint as seed
+           union all select o.i, case when list_has_any(held, o.ks) then held else list_concat(held, o.ks) end,
+             case when list_has_any(held, o.ks) then null else o.rank end from walk join o on o.i = walk.i + 1),
+         k as (select rank, unnest(ks) as key from {records}),
+         s as (select key, min(seed) as seed from k join walk on walk.seed = k.rank group by key),
+         e as (select rank, min(seed) as entity from k join s using (key) group by rank)"""
+
+
 def query(sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
     """Register a function of ``Tables`` under its own name."""
 

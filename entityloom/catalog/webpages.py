@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityloom.catalog.registry import Tables, query
+from entityloom.catalog.registry import Tables, greedy_sql, query
 from entityloom.functions import urls
 from entityloom.functions import text as tx
 from entityloom.operators import links
@@ -26,10 +26,9 @@ from entityloom.operators.extract import (
     unmapped_labels,
 )
 from entityloom.operators.packs import BAZAAR_ICONS, BENCH, MARKS, RATING, TRACK_TOKENS
-from entityloom.operators.shred import element_table, register_page_elements, shred
+from entityloom.operators.shred import element_table, own_text_of, register_page_elements, shred
 from entityloom.plans.consolidate import consolidate
-from entityloom.plans.profiles import build_profiles
-from entityloom.sinks.tables import number_rows
+from entityloom.plans.profiles import build_profiles, merge_order
 from entityloom.sources.pages import decode_pages
 
 TOPICS = {"THE": "topic_the", "AND": "topic_and", "LE": "topic_le", "DE": "topic_de", "LA": "topic_la", "EN": "topic_en", "OF": "topic_of"}
@@ -191,7 +190,8 @@ def failures_dropped(t: Tables) -> DataFrame:
 def next_chain(t: Tables) -> DataFrame:
     address = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("?t="), turn.cast("string"))
     pages = t.conversations.select(address(F.col("turn")).alias("url"), address(F.col("turn") + 1).alias("next_url"), "turn")
-    return links.follow_next(pages, "url", "next_url", pages.where("turn = 0"))
+    twice = pages.unionByName(pages)  # a table of crawls holds pages more than once
+    return links.follow_next(twice, "url", "next_url", twice.where("turn = 0"))
 
 
 # --- elements -------------------------------------------------------------
@@ -212,6 +212,30 @@ def shred_elements(t: Tables) -> DataFrame:
     return rows.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    """select page_id, (600 + page_id % 300)::int as depth, 'w' || regexp_replace(url, '[^a-z0-9]', '', 'g') as word,
+         'p' || page_id as outer_text, 'tail' || page_id as top_text from pages"""
+)
+def deep_nesting(t: Tables) -> DataFrame:
+    """Text at the bottom of 600 to 899 open elements, beside them, and outside any element."""
+    n = (F.lit(600) + F.col("page_id") % 300).cast("int")
+    word = F.concat(F.lit("w"), F.regexp_replace("url", "[^a-z0-9]", ""))
+    number = F.col("page_id").cast("string")
+    html = F.concat(
+        F.repeat(F.lit("<div>"), n), F.lit("<b>"), word, F.lit("</b>p"), number, F.repeat(F.lit("</div>"), n), F.lit("tail"), number
+    )
+    e, x = F.col("elements"), F.col("texts")
+    top = F.array_join(F.transform(F.filter(x, lambda p: p["owner"].isNull()), lambda p: p["piece"]), "")
+    b = find(e, x, Sel("b"))
+    return shred(t.pages.select("page_id", html.alias("html"))).select(
+        "page_id",
+        b["depth"].alias("depth"),
+        own_text_of(x, b).alias("word"),
+        own_text_of(x, F.get(e, b["parent"])).alias("outer_text"),
+        top.alias("top_text"),
+    )
+
+
 @query(
     """select page_id, unnest(range(len(hs))) as link_no, unnest(hs) as href, unnest(ws) as word from (
          select page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) as hs,
@@ -413,8 +437,7 @@ def part_profile_pages(t: Tables) -> DataFrame:
     return t.part.repartition(tasks, "p_partkey").select(F.explode(pages).alias("p")).select("p.*")
 
 
-@query(
-    """with p as (select *, p_partkey % 3 as k, date '1998-06-01' + p_size as d, p_size / 10.0::double as s from part)
+_PROFILES = """select * from (with p as (select *, p_partkey % 3 as k, date '1998-06-01' + p_size as d, p_size / 10.0::double as s from part)
        select ['icoratings', 'icomarks', 'icobench'][k + 1] as source, 'https://x/p' || p_partkey as ico_url, p_name as name,
          'T' || p_partkey as ticker, d as ico_start, d + 30 as ico_end,
          case when date '1998-08-01' < d then 'upcoming' when date '1998-08-01' > d + 30 then 'ended' else 'active' end as status,
@@ -422,8 +445,10 @@ def part_profile_pages(t: Tables) -> DataFrame:
          case k when 0 then null when 1 then s else show1(s * 10 / 5) end as website_overall_rating,
          case when k = 0 then show1(s * 10 / 5) end as risk_score, case when k = 2 then show1(s * 10 / 5) end as team_score,
          case when k = 1 then 'https://www.t.me/p' else 'https://t.me/p' end || p_partkey as telegram_page
-       from p"""
-)
+       from p)"""
+
+
+@query(_PROFILES)
 def profiles_from_pages(t: Tables) -> DataFrame:
     """Pages of several sources, one of them on two pages each, to typed profiles."""
     packs = (RATING, MARKS, BENCH)
@@ -434,10 +459,23 @@ def profiles_from_pages(t: Tables) -> DataFrame:
     )
 
 
-@query()
+_ENTITY_FIELDS = ("source", "name", "ticker", "status", "country", "website_overall_rating", "risk_score", "telegram_page")
+_ENTITY_BEST = ", ".join(f"arg_min({f}, (prio, rank)) filter (where {f} is not null) as {f}" for f in _ENTITY_FIELDS)
+
+
+@query(
+    f"""with recursive p as ({_PROFILES}),
+         r as (select *, row_number() over (order by case source when 'icoratings' then 1 when 'icomarks' then 2 else 3 end, ico_url) as rank,
+             case source when 'icomarks' then 0 when 'icoratings' then 3 else 5 end as prio,
+             ['n=' || upper(name), 't=' || upper(ticker)] as ks from p),
+         {greedy_sql("r")}
+       select entity, {_ENTITY_BEST} from r join e using (rank) group by entity"""
+)
 def entities_from_pages(t: Tables) -> DataFrame:
-    """Pages of several sources to merged entities; names are few, so blocks are large."""
+    """Pages of several sources to merged entities; names are few, so blocks are large.
+
+    Records are taken in reverse order of the sources' turn, then by address.
+    """
     profiles = build_profiles(part_profile_pages(t), F.lit("1998-08-01").cast("date"), (RATING, MARKS, BENCH))
-    ranked = number_rows(profiles, "source", "ico_url", name="rank")
-    merged = consolidate(ranked)
-    return merged.select("entity", "source", "name", "ticker", "status", "country", "website_overall_rating", "risk_score", "telegram_page")
+    merged = consolidate(merge_order(profiles))
+    return merged.select("entity", *_ENTITY_FIELDS)

@@ -16,11 +16,12 @@ from entityloom.operators.normalize import normalize, profile_texts
 from entityloom.operators.packs import PACKS
 from entityloom.operators.shred import shred
 from entityloom.plans.consolidate import consolidate
-from entityloom.schema import FIELDS
+from entityloom.schema import FIELDS, SOURCE_ORDER
 from entityloom.session import staged
 from entityloom.sinks.files import write_by_source, write_stage
 from entityloom.sinks.tables import fan_out, number_rows, reload_folder
 from entityloom.sources.pages import decode_pages
+from entityloom.streaming.refresh import latest_pages
 
 
 def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> DataFrame:
@@ -36,7 +37,7 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
         is_sub = is_sub | hit
         main_url = F.when(hit, F.substring(F.col("url"), F.lit(1), F.length("url") - len(ending))).otherwise(main_url)
     marked = pages.withColumn("ico_url", main_url).withColumn("is_sub", is_sub).drop("url")
-    found = extract(shred(marked), packs).select("source", "ico_url", "is_sub", "raw", "unmapped")
+    found = extract(shred(marked.select("source", "ico_url", "is_sub", "html")), packs).select("source", "ico_url", "is_sub", "raw", "unmapped")
     # Both sides of the join below read these rows: shred every page once, and let each side
     # read its own folders.
     found, _ = staged(found, "extracted", partition_by=("source", "is_sub"))
@@ -65,6 +66,14 @@ def build_profiles(pages: DataFrame, as_of: Column, packs: tuple[SourceRules, ..
     return typed_profiles(extract_pages(pages, packs), as_of, packs)
 
 
+def merge_order(profiles: DataFrame, order: tuple[str, ...] = SOURCE_ORDER) -> DataFrame:
+    """Adds ``rank`` 1..n, the order in which records become seeds: the source read last comes
+    first, and within a source the address decides."""
+    turn = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in order]), F.col("source")), F.lit(0))
+    placed, _ = staged(profiles.withColumn("_turn", -turn), "turns")
+    return number_rows(placed, "_turn", "source", "ico_url", name="rank").drop("_turn")
+
+
 def run_rejects(decoded: DataFrame, extracted: DataFrame) -> DataFrame:
     """What a run could not use: ``source, url, field, raw, reason``."""
     bodies = decoded.where("html is null").select(
@@ -108,9 +117,15 @@ def add_communities(profiles: DataFrame, post_pages: DataFrame, author_pages: Da
     read, _ = staged(read, "post-pages")
     walk = follow_next(read, "url", "next_url", eligible)
     posts = read.join(walk.select("start", "url"), "url").select(F.col("start").alias("url"), F.explode("posts").alias("p"))
-    karma = author_pages.select(
-        F.regexp_extract("url", r"/user/([^/?#]+)", 1).alias("author"), enrich.reputation(F.col("html")).alias("karma")
-    ).where("karma is not null")
+    # An author may have been read under several addresses: one figure counts.
+    karma = (
+        author_pages.select(
+            F.regexp_extract("url", r"/user/([^/?#]+)", 1).alias("author"), enrich.reputation(F.col("html")).alias("karma")
+        )
+        .where("karma is not null")
+        .groupBy("author")
+        .agg(F.max("karma").alias("karma"))
+    )
     figures = enrich.community_figures(posts.select("url", "p.comment_label", "p.author"), karma)
     return enrich.attach(profiles, figures, "reddit_page")
 
@@ -137,12 +152,14 @@ def full_run(
     As in a run that writes early and again, a stage is written before the next one starts.
     ``snapshots`` is the format of the stage snapshots, ``csv`` or ``parquet``.
     """
+    pages = latest_pages(pages)
+    community = Community(*(latest_pages(p) for p in vars(community).values()))
     html = decode_pages(pages) if "body" in pages.columns else pages
     extracted = extract_pages(html.where("html is not null"), packs)
     run_rejects(html, extracted).write.parquet(f"{out_dir}/rejects/run_ts={run_ts}")
     profiles, _ = staged(typed_profiles(extracted, as_of, packs), "profiles")
     write_by_source(profiles, f"{out_dir}/by_source", run_ts)
-    ranked = number_rows(profiles, "source", "ico_url", name="rank")
+    ranked = merge_order(profiles)
     merged, _ = staged(consolidate(ranked).select("entity", *FIELDS), "merged")
     with_members, _ = staged(add_members(merged, community.member_pages), "members")
     write_stage(with_members, out_dir, "members", run_ts, snapshots)

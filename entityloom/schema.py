@@ -20,6 +20,8 @@ SOURCES = (
 )
 
 # Lower number wins when two sources disagree on a field.
+# The sources in the order in which they are read.
+SOURCE_ORDER = ("icodrops", "icobench", "icomarks", "icoratings", "tokentops", "trackico", "icobazaar")
 SOURCE_PRIORITY = {
     "icomarks": 0,
     "tokentops": 1,

@@ -15,6 +15,19 @@ def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     return best.select(*[F.col(key) if c == key else F.col(f"r.{c}").alias(c) for c in df.columns])
 
 
+def latest_pages(pages: DataFrame, url: str = "url") -> DataFrame:
+    """One row for each address: the last by ``fetched_at`` where the table has it.
+
+    Rows of one time, or of none, are told apart by their content, so reruns agree.
+    """
+    content = [c for c in ("html", "body") if c in pages.columns]
+    times = [c for c in ("fetched_at",) if c in pages.columns]
+    keys = ("source", url) if "source" in pages.columns else (url,)
+    others = [c for c in pages.columns if c not in keys]
+    best = pages.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*times, *content)).alias("r"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"r.{c}").alias(c) for c in pages.columns])
+
+
 def refresh(stream: DataFrame, key: str, order: tuple[str, ...], target: str, checkpoint: str) -> None:
     """Take in all files present, then stop.
 

@@ -1,5 +1,6 @@
 """Shredder, rule packs of all sources, and the full run."""
 
+import time
 from html import unescape
 
 import pytest
@@ -298,3 +299,22 @@ def test_empty_stage_is_an_error(spark, tmp_path):
 
 def test_csv_order_covers_all_fields():
     assert sorted(CSV_FIELDS) == sorted(FIELDS)
+
+
+@pytest.mark.parametrize("n", [600, 5_000, 50_000])
+def test_any_depth(n):
+    """Text stays with its element, and the time is linear: 50,000 levels take well under a second of a minute."""
+    start = time.perf_counter()
+    elements, texts = shredder._PageReader().read("lead" + "<div>" * n + "<b>hello</b>" + "<p>x" * 50 + "</div>" * n + "tail")
+    assert time.perf_counter() - start < 20
+    b = next(e for e in elements if e[5] == "b")
+    assert b[4] == n and [t for t in texts if t[0] == b[0]] == [(b[0], "hello")]
+    assert [t for o, t in texts if o is None] == ["lead", "tail"]
+    assert elements[0][3] == len(elements) - 1 and all(e[4] == i for i, e in enumerate(elements[:n]))
+
+
+def test_implied_ends_stop_at_their_stops():
+    elements, _ = shredder._PageReader().read("<p>a<table><td><p>b<p>c</td></table><p>d<ul><li>e<ul><li>f</ul><li>g</ul>")
+    assert [(e[5], e[1]) for e in elements] == [
+        ("p", None), ("table", None), ("td", 1), ("p", 2), ("p", 2), ("p", None), ("ul", None), ("li", 6), ("ul", 7), ("li", 8), ("li", 6),
+    ]

@@ -152,7 +152,7 @@ _TEXT_BLANKS = "E' \\t\\n\\r\\f\\x0b' || chr(160)"
     f"""with recursive r as (select 1000000000 - doc_id as rank, {_DOC_CASE} as prio, source, text as name, lang as ticker, n_chars,
             nullif(quality, 0) as quality, nullif(toxic, 0) as toxic from documents left join labels using (doc_id)),
          v as (select *, ['n=' || md5(upper(trim(name, {_TEXT_BLANKS}))),
-             's=' || (n_chars // 4) || '/' || source] as ks from r where 4 + (quality is not null)::int + (toxic is not null)::int >= 4),
+             's=' || n_chars || '/' || source] as ks from r where 4 + (quality is not null)::int + (toxic is not null)::int >= 4),
          {greedy_sql("v")}
        select entity,
          {", ".join(f"arg_min({f}, (prio, rank)) filter (where {f} is not null) as {f}" for f in ("source", "ticker", "n_chars", "quality", "toxic"))},
@@ -167,7 +167,7 @@ def merge_full(t: Tables) -> DataFrame:
         .withColumn("rank", F.lit(1000000000).cast("bigint") - F.col("doc_id"))
         .withColumnRenamed("text", "name")
         .withColumnRenamed("lang", "ticker")
-        .withColumn("shape", F.concat_ws("/", F.floor(F.col("n_chars") / 4).cast("string"), "source"))
+        .withColumn("shape", F.concat_ws("/", F.col("n_chars").cast("string"), "source"))
     )
     fields = (*_DOC_FIELDS, "shape")
     # The shape is a key and no field of its own: the minimum counts it.

@@ -385,19 +385,25 @@ def source_scales(t: Tables) -> DataFrame:
 
 
 @query(
-    """select c.c_custkey, a.code || ', ' || b.code || ', Atlantis, ' || d.code as codes
+    """select c.c_custkey, case c_custkey % 4 when 1 then null when 2 then a.code || ', X' || b.code || ', ' || d.code
+           else a.code || ', ' || b.code || ', Atlantis, ' || d.code end as codes
        from customer c
        join (select n_nationkey k, 'N' || lpad(n_nationkey::varchar, 2, '0') as code from nation) a on a.k = c_nationkey
        join (select n_nationkey k, 'N' || lpad(n_nationkey::varchar, 2, '0') as code from nation) b on b.k = (c_nationkey + 7) % 25
        join (select n_nationkey k, 'N' || lpad(n_nationkey::varchar, 2, '0') as code from nation) d on d.k = (c_nationkey + 11) % 25"""
 )
 def country_list(t: Tables) -> DataFrame:
-    """List conversion through a join with a dimension table."""
+    """List conversion through a join with a dimension table: NULL lists, names that hold a comma,
+    unspecified and unknown words."""
     named = lambda shift: F.concat(F.lit("Nation_"), F.pmod(F.col("c_nationkey") + shift, F.lit(25)).cast("string"))
-    text = F.concat_ws(",", named(0), F.concat(F.lit(" "), named(7)), F.lit(" Atlantis "), named(11))
+    plain = F.concat_ws(",", named(0), F.concat(F.lit(" "), named(7)), F.lit(" Atlantis "), named(11))
+    comma = F.concat_ws(",", named(0), named(7), F.lit(" Kingdom of"), F.lit(" unspecified"), named(11))
+    text = F.when(F.col("c_custkey") % 4 == 1, F.lit(None)).when(F.col("c_custkey") % 4 == 2, comma).otherwise(plain)
     lists = t.customer.select("c_custkey", text.alias("codes"))
     code = F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0"))
-    dim = t.nation.select(countries.country_key(F.col("n_name")).alias("key"), code.alias("code"))
+    key = countries.country_key(F.col("n_name"))
+    dim = t.nation.select(key.alias("key"), code.alias("code"))
+    dim = dim.unionByName(t.nation.select(F.concat(key, F.lit(", KINGDOM OF")).alias("key"), F.concat(F.lit("X"), code).alias("code")))
     return countries.convert_lists_by_join(lists, "c_custkey", "codes", dim)
 
 
@@ -410,7 +416,7 @@ def country_list(t: Tables) -> DataFrame:
 )
 def unspecified(t: Tables) -> DataFrame:
     """Real country names, codes, comma names, unknown and unspecified words."""
-    codes = countries.dim_map(countries.country_dim(t.spark))
+    codes = countries.dim_map(countries.country_table(t.spark))
     text = pick(
         F.col("c_custkey"),
         "Russia",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,47 @@ COUNTRY_ALIASES = {
     "Virgin Islands, U.S.": "VIR",
     "namely Iran": "IRN",
     "the Peoples Republic of China": "CHN",
+    # Names of the country standard and official names that no rule below derives.
+    "Argentine Republic": "ARG",
+    "Cabo Verde": "CPV",
+    "Cape Verde": "CPV",
+    "Czechia": "CZE",
+    "Democratic People's Republic of Korea": "PRK",
+    "Democratic Republic of the Congo": "COD",
+    "East Timor": "TLS",
+    "Eswatini": "SWZ",
+    "French Republic": "FRA",
+    "Hellenic Republic": "GRC",
+    "Holy See": "VAT",
+    "Hong Kong SAR": "HKG",
+    "Italian Republic": "ITA",
+    "Ivory Coast": "CIV",
+    "Kyrgyz Republic": "KGZ",
+    "Lebanese Republic": "LBN",
+    "Macao SAR": "MAC",
+    "North Macedonia": "MKD",
+    "Portuguese Republic": "PRT",
+    "Republic of China": "TWN",
+    "Republic of Korea": "KOR",
+    "Republic of the Congo": "COG",
+    "Sint Maarten (Dutch part)": "SXM",
+    "Slovak Republic": "SVK",
+    "Swiss Confederation": "CHE",
+    "Timor-Leste": "TLS",
+    "Turkey": "TUR",
+    "Türkiye": "TUR",
+    "United Kingdom of Great Britain and Northern Ireland": "GBR",
+    "United Mexican States": "MEX",
+    "United States of America": "USA",
+    "Viet Nam": "VNM",
+    "Vietnam": "VNM",
 }
+# "Kingdom of Norway" is looked up as "Norway" where the whole name is not known.
+OFFICIAL_FORM = (
+    r"^(THE )?((ARAB|BOLIVARIAN|CO-OPERATIVE|COOPERATIVE|DEMOCRATIC|EASTERN|FEDERAL|FEDERATIVE|GRAND|HASHEMITE|INDEPENDENT"
+    r"|ISLAMIC|ORIENTAL|PEOPLE'S|PLURINATIONAL|SOCIALIST|UNITED) )*"
+    r"(COMMONWEALTH|DUCHY|EMIRATE|FEDERATION|KINGDOM|PRINCIPALITY|REPUBLIC|STATE|STATES|SULTANATE|UNION) OF (THE )?"
+)
 UNSPECIFIED = ("Unspecified",)
 
 _ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ’"
@@ -67,36 +109,78 @@ def country_key(name: Column) -> Column:
     return F.regexp_replace(key, r"^[.,]+|[.,]+$", "")
 
 
-def country_dim(spark: SparkSession) -> DataFrame:
-    """``(key, code)``: English names and two-letter codes from the JVM's own locale data,
-    and the aliases above.  Under 1,000 short rows.  (Three-letter words pass unchanged.)"""
-    locale = spark._jvm.java.util.Locale
-    rows = list(COUNTRY_ALIASES.items())
+def plain_key(name: str) -> str:
+    """``country_key`` of a constant, on the driver."""
+    key = re.sub(r"\s+", " ", name).strip().upper().translate(str.maketrans(_ACCENTED, _PLAIN))
+    key = re.sub(r"\bST\. ", "SAINT ", key).replace(" & ", " AND ")
+    return re.sub(r"^[.,]+|[.,]+$", "", key)
+
+
+def country_table(spark: SparkSession) -> dict[str, str]:
+    """Key -> code, constants of the program: English names and two-letter codes by the JVM's
+    locale rule, and the aliases above, which win.  Under 1,000 entries; no Spark job.  A caller
+    with a table of its own passes that instead wherever a table is asked for.  (Three-letter
+    words pass unchanged.)"""
+    locale, table = spark._jvm.java.util.Locale, {}
     for two in locale.getISOCountries():
         place = locale("", two)
-        three = place.getISO3Country()
-        rows += [(place.getDisplayCountry(locale.ENGLISH), three), (two, three)]
-    names = spark.createDataFrame(rows, "name string, code string")
-    keyed = names.select(country_key(F.col("name")).alias("key"), "code")
-    return keyed.groupBy("key").agg(F.min("code").alias("code"))
+        table[plain_key(place.getDisplayCountry(locale.ENGLISH))] = place.getISO3Country()
+        table[two] = place.getISO3Country()
+    return table | {plain_key(name): code for name, code in COUNTRY_ALIASES.items()}
+
+
+def country_dim(spark: SparkSession, table: dict[str, str] | None = None) -> DataFrame:
+    """``(key, code)`` rows of a country table."""
+    return spark.createDataFrame(sorted((table or country_table(spark)).items()), "key string, code string")
+
+
+def dim_map(table: dict[str, str]) -> Column:
+    """A table of constants as one literal map, for look-ups inside a row."""
+    return F.create_map(*[F.lit(v) for pair in sorted(table.items()) for v in pair])
+
 
+def _short_form(key: Column) -> Column:
+    return F.regexp_replace(key, OFFICIAL_FORM, "")
 
-def dim_map(dim: DataFrame) -> Column:
-    """The dimension as one literal map, for look-ups inside a row (bounded: see above)."""
-    rows = dim.limit(2000).collect()
-    if len(rows) == 2000:
-        raise ValueError("a dimension of this size must be joined, not inlined")
-    return F.create_map(*[F.lit(v) for r in rows for v in (r["key"], r["code"])])
 
+def _bare(name: Column) -> Column:
+    return F.regexp_replace(strip(name), r"^[.,]+|[.,]+$", "")
 
-def _code(name: Column, codes: Column, keep_unknown: bool, unspecified: tuple[str, ...]) -> Column:
-    bare = F.regexp_replace(strip(name), r"^[.,]+|[.,]+$", "")
-    found = F.try_element_at(codes, country_key(bare))
+
+def _resolved(name: Column, found: Column, keep_unknown: bool, unspecified: tuple[str, ...]) -> Column:
+    """The code of one name, given what the table holds for it."""
+    bare = _bare(name)
     known = F.coalesce(found, F.when(F.length(bare) == 3, bare))
     other = F.nullif(bare, F.lit("")) if keep_unknown else F.lit(None).cast("string")
     return F.when(~F.upper(bare).isin(*[u.upper() for u in unspecified]), F.coalesce(known, other))
 
 
+def _looked_up(name: Column, codes: Column) -> Column:
+    key = country_key(_bare(name))
+    return F.coalesce(F.try_element_at(codes, key), F.try_element_at(codes, _short_form(key)))
+
+
+def _joined(n: Column, pair_at, single_at, comma: bool) -> Column:
+    """The codes of pieces 0..n-1 in one text.  Where pieces i and i+1 are one name that holds a
+    comma, ``pair_at(i)`` is its code and piece i+1 is passed over."""
+
+    def add(acc: Column, i: Column) -> Column:
+        take_pair = pair_at(i).isNotNull() if comma else F.lit(False)
+        done = F.when(i < acc["until"], acc["codes"]).when(take_pair, F.concat(acc["codes"], F.array(pair_at(i)))).otherwise(
+            F.concat(acc["codes"], F.filter(F.array(single_at(i)), F.isnotnull))
+        )
+        until = F.when((i >= acc["until"]) & take_pair, i + 2).otherwise(acc["until"])
+        return F.struct(done.alias("codes"), until.alias("until"))
+
+    start = F.struct(F.array().cast("array<string>").alias("codes"), F.lit(0).alias("until"))
+    listed = F.aggregate(F.sequence(F.lit(0), n - 1), start, add, lambda acc: F.array_join(acc["codes"], ", "))
+    return F.nullif(listed, F.lit(""))
+
+
+def _pieces(value: Column, separator: str) -> Column:
+    return F.split(value, F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E")))
+
+
 def to_codes(
     value: Column,
     codes: Column,
@@ -110,24 +194,12 @@ def to_codes(
     are tried first: each piece together with the one after it.
     """
     if separator is None:
-        return _code(value, codes, keep_unknown, unspecified)
-    pieces = F.split(value, F.concat(F.lit("\\Q"), F.lit(separator), F.lit("\\E")))
-
-    def add(acc: Column, i: Column) -> Column:
-        piece, following = F.get(pieces, i), F.get(pieces, i + 1)
-        pair = F.try_element_at(codes, country_key(F.concat(piece, F.lit(separator), following)))
-        single = _code(piece, codes, keep_unknown, unspecified)
-        take_pair = pair.isNotNull() if separator == "," else F.lit(False)
-        done = F.when(i < acc["until"], acc["codes"]).when(take_pair, F.concat(acc["codes"], F.array(pair))).otherwise(
-            F.concat(acc["codes"], F.filter(F.array(single), F.isnotnull))
-        )
-        until = F.when((i >= acc["until"]) & take_pair, i + 2).otherwise(acc["until"])
-        return F.struct(done.alias("codes"), until.alias("until"))
-
-    start = F.struct(F.array().cast("array<string>").alias("codes"), F.lit(0).alias("until"))
-    steps = F.sequence(F.lit(0), F.size(pieces) - 1)
-    listed = F.aggregate(steps, start, add, lambda acc: F.array_join(acc["codes"], ", "))
-    return F.when(value.isNotNull(), F.nullif(listed, F.lit("")))
+        return _resolved(value, _looked_up(value, codes), keep_unknown, unspecified)
+    pieces = _pieces(value, separator)
+    at = lambda i: F.get(pieces, i)
+    pair = lambda i: F.try_element_at(codes, country_key(F.concat(at(i), F.lit(separator), at(i + 1))))
+    single = lambda i: _resolved(at(i), _looked_up(at(i), codes), keep_unknown, unspecified)
+    return F.when(value.isNotNull(), _joined(F.size(pieces), pair, single, separator == ","))
 
 
 def convert_countries(df: DataFrame, codes: Column, single: str = "country", several: str = "countries_restricted") -> DataFrame:
@@ -137,16 +209,38 @@ def convert_countries(df: DataFrame, codes: Column, single: str = "country", sev
     )
 
 
-def convert_lists_by_join(df: DataFrame, key: str, column: str, dim: DataFrame, separator: str = ",") -> DataFrame:
-    """The same through a join, for a dimension too large to inline.
+def convert_lists_by_join(
+    df: DataFrame,
+    key: str,
+    column: str,
+    dim: DataFrame,
+    separator: str = ",",
+    keep_unknown: bool = True,
+    unspecified: tuple[str, ...] = UNSPECIFIED,
+) -> DataFrame:
+    """The same through joins, for a dimension too large to inline: ``(key, column)``.
 
-    Pieces are grouped back per (key, position); one row's list is small, so the sort of
-    its pieces is too.
+    ``key`` is unique.  Pieces are grouped back per key; one row's list is small, so the sort
+    of its pieces is too.  A NULL list stays NULL.
     """
-    pieces = df.select(key, F.posexplode(F.split(F.col(column), separator)).alias("i", "piece"))
-    coded = pieces.withColumn("key_", country_key(F.col("piece"))).join(
-        dim.select(F.col("key").alias("key_"), "code"), "key_", "left"
+    rows = df.select(F.col(key).alias("_k"), _pieces(F.col(column), separator).alias("_p"))
+    pieces = rows.select("_k", F.posexplode_outer("_p").alias("i", "piece"), F.col("_p")).select(
+        "_k",
+        "i",
+        "piece",
+        country_key(_bare(F.col("piece"))).alias("one"),
+        country_key(F.concat("piece", F.lit(separator), F.get("_p", F.col("i") + 1))).alias("two"),
+    )
+    named = lambda name, code: dim.select(F.col("key").alias(name), F.col("code").alias(code))
+    coded = (
+        pieces.withColumn("short", _short_form(F.col("one")))
+        .join(named("one", "one_code"), "one", "left")
+        .join(named("short", "short_code"), "short", "left")
+        .join(named("two", "two_code"), "two", "left")
     )
-    code = F.coalesce("code", F.nullif(strip(F.col("piece")), F.lit("")))
-    lists = coded.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("i", code.alias("code")))).alias("parts"))
-    return lists.select(key, F.array_join(F.transform("parts", lambda p: p["code"]), ", ").alias(column))
+    entry = F.struct("i", "piece", F.coalesce("one_code", "short_code").alias("code"), F.col("two_code").alias("pair"))
+    lists = coded.groupBy("_k").agg(F.array_sort(F.collect_list(F.when(F.col("i").isNotNull(), entry))).alias("x"))
+    at = lambda i: F.get("x", i)
+    single = lambda i: _resolved(at(i)["piece"], at(i)["code"], keep_unknown, unspecified)
+    value = F.when(F.size("x") > 0, _joined(F.size("x"), lambda i: at(i)["pair"], single, separator == ","))
+    return lists.select(F.col("_k").alias(key), value.alias(column))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from entityloom.functions.urls import thread_base
 from entityloom.operators import enrich
-from entityloom.operators.countries import convert_countries, country_dim, dim_map
+from entityloom.operators.countries import convert_countries, country_table, dim_map
 from entityloom.operators.extract import SourceRules, extract, unmapped_labels
 from entityloom.operators.links import follow_next
 from entityloom.operators.normalize import normalize, profile_texts
@@ -55,9 +55,11 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
     return single.unionByName(both)
 
 
-def typed_profiles(extracted: DataFrame, as_of: Column, packs: tuple[SourceRules, ...] = PACKS) -> DataFrame:
-    """Typed profiles from extracted texts; map-only."""
-    codes = dim_map(country_dim(extracted.sparkSession))
+def typed_profiles(
+    extracted: DataFrame, as_of: Column, packs: tuple[SourceRules, ...] = PACKS, countries: dict[str, str] | None = None
+) -> DataFrame:
+    """Typed profiles from extracted texts; map-only.  ``countries`` replaces the country table."""
+    codes = dim_map(countries or country_table(extracted.sparkSession))
     return convert_countries(normalize(profile_texts(extracted, packs), as_of), codes)
 
 

@@ -2,7 +2,6 @@
 
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from entityloom.operators import countries
@@ -17,7 +16,7 @@ def test_schema_has_52_fields():
 
 
 def test_country_lists(spark):
-    codes = countries.dim_map(countries.country_dim(spark))
+    codes = countries.dim_map(countries.country_table(spark))
     cases = {
         "Russia": "RUS",
         "Korea, Republic of": "KOR",
@@ -29,6 +28,10 @@ def test_country_lists(spark):
         "abc": "abc",
         "Sudan.": "SDN",
         "Dubai": "ARE",
+        "Viet Nam, Cabo Verde, Türkiye": "VNM, CPV, TUR",
+        "Sint Maarten (Dutch part), Hong Kong SAR": "SXM, HKG",
+        "Republic of Peru, Kingdom of Norway, the Kingdom of the Netherlands": "PER, NOR, NLD",
+        "Republic of Korea, Democratic Republic of the Congo, Federal Republic of Germany": "KOR, COD, DEU",
         "Atlantis": "Atlantis",
         "Unspecified": None,
         None: None,
@@ -41,11 +44,21 @@ def test_country_lists(spark):
 
 
 def test_country_join_equals_inline(spark):
-    dim = countries.country_dim(spark)
-    df = spark.createDataFrame([(i, ", ".join(random.Random(i).sample(["Russia", "UK", "Peru", "xyz", "Nowhere"], 3))) for i in range(40)], "k int, c string")
-    joined = countries.convert_lists_by_join(df, "k", "c", dim)
-    inline = df.select("k", countries.to_codes(F.col("c"), countries.dim_map(dim)).alias("c"))
-    assert sorted(joined.collect()) == sorted(inline.collect())
+    table = countries.country_table(spark)
+    words = ["Russia", "UK", "Peru", "xyz", "Nowhere", "Korea, Republic of", "Unspecified", "Kingdom of Norway", "", "Sudan."]
+    rows = [(i, ", ".join(random.Random(i).sample(words, 3))) for i in range(60)] + [(90, None), (91, ""), (92, "Unspecified")]
+    df = spark.createDataFrame(rows, "k int, c string")
+    for separator in (",", "|", "."):
+        for keep in (True, False):
+            joined = countries.convert_lists_by_join(df, "k", "c", countries.country_dim(spark, table), separator, keep)
+            inline = df.select("k", countries.to_codes(F.col("c"), countries.dim_map(table), separator, keep).alias("c"))
+            assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, inline.collect()), key=str)
+
+
+def test_keys_of_constants_equal_those_of_columns(spark):
+    names = [*countries.COUNTRY_ALIASES, " st. Lucia & x.", "Åland  Islands", "Côte d’Ivoire", "ÝŸ,"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    assert [r.k for r in df.select(countries.country_key(F.col("n")).alias("k")).collect()] == list(map(countries.plain_key, names))
 
 
 def test_valid_records(spark):
@@ -105,6 +118,6 @@ def test_missing_keys_match_only_on_request(spark):
     assert consolidate(df, null_matches=True).count() == 1
 
 
-def test_large_dimension_is_not_inlined(spark):
-    with pytest.raises(ValueError):
-        countries.dim_map(spark.range(3000).selectExpr("cast(id as string) as key", "'x' as code"))
+def test_country_table_is_large_enough(spark):
+    table = countries.country_table(spark)
+    assert 450 < len(table) < 1000 and {table["DE"], table["GERMANY"], table["FRENCH REPUBLIC"]} == {"DEU", "FRA"}

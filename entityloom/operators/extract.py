@@ -64,7 +64,7 @@ class Rule:
     ``within`` narrows to the first match of each selector in turn, or with ``in_all`` to
     every match of the only one.  ``first_only`` keeps the first fact of a field (otherwise
     the last), ``all_values`` joins the values of all items, ``count`` asks for that many
-    matches below an item.
+    matches below an item, ``having`` for one at any depth.
     """
 
     item: Sel
@@ -77,6 +77,7 @@ class Rule:
     first_only: bool = False
     all_values: bool = False
     count: tuple[Sel, int] | None = None
+    having: Sel | None = None
 
 
 @dataclass(frozen=True)
@@ -229,6 +230,8 @@ def rule_facts(elements: Column, texts: Column, rule: Rule) -> Column:
     if rule.count is not None:
         sel, n = rule.count
         items = F.filter(items, lambda i: F.size(F.filter(below(elements, i), lambda e: matches(e, texts, sel))) == n)
+    if rule.having is not None:
+        items = F.filter(items, lambda i: F.exists(below(elements, i), lambda e: matches(e, texts, rule.having)))
     if rule.first_only and rule.label is None:
         items = F.slice(items, 1, 1)
     targets = lookup(rule.fields) if rule.fields else None

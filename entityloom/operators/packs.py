@@ -121,7 +121,10 @@ DROPS = SourceRules(
         first("web_page", Sel("div", ("button",), text="WEBSITE"), value=Part((PARENT,), "@href")),
         first("description", div("ico-description")),
         first("logo", div("ico-main-info"), value=Part((PARENT, Move("find", Sel("img"))), "@data-src")),
-        *[Rule(Sel("i", (icon,)), Part((PARENT,), "@href"), to=to, within=(div("soc_links"),)) for icon, to in DROPS_ICONS.items()],
+        *[
+            Rule(Sel("a", attrs={"href": None}), Part(take="@href"), to=to, within=(div("soc_links"),), having=Sel("i", (icon,)))
+            for icon, to in DROPS_ICONS.items()
+        ],
         Rule(
             div("rating-box"),
             Part((Move("find", Sel("p"), 2),)),

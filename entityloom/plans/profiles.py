@@ -7,13 +7,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entityloom.functions import text as tx
 from entityloom.functions.urls import thread_base
 from entityloom.operators import enrich
 from entityloom.operators.countries import convert_countries, country_table, dim_map
 from entityloom.operators.extract import SourceRules, extract, unmapped_labels
 from entityloom.operators.links import follow_next
-from entityloom.operators.normalize import normalize, profile_texts
+from entityloom.operators.normalize import DATES, SCORES, normalize, profile_texts
 from entityloom.operators.packs import PACKS
+from entityloom.operators.quality import is_valid, rejects, unparsed
 from entityloom.operators.shred import shred
 from entityloom.plans.consolidate import consolidate
 from entityloom.schema import FIELDS, SOURCE_ORDER
@@ -24,27 +26,38 @@ from entityloom.sources.pages import decode_pages
 from entityloom.streaming.refresh import latest_pages
 
 
+COUNTRIES = ("country", "countries_restricted")
+CODE_LIST = r"^[A-Za-z]{3}(, [A-Za-z]{3})*$"
+
+
 def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> DataFrame:
     """``source, ico_url, raw, unmapped`` per profile from ``source, url, html``.
 
     Two sources spread a profile over two pages.  Only their rows take part in a join;
     where both pages name a field, the main page wins.
     """
+    return extract_with_orphans(pages, packs)[0]
+
+
+def extract_with_orphans(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> tuple[DataFrame, DataFrame]:
+    """The profiles, and the second pages (``source, ico_url, url``) whose main page is missing."""
     endings = {p.source: p.sub_page for p in packs if p.sub_page}
     is_sub, main_url = F.lit(False), F.col("url")
     for source, ending in endings.items():
         hit = (F.col("source") == source) & F.endswith(F.col("url"), F.lit(ending))
         is_sub = is_sub | hit
         main_url = F.when(hit, F.substring(F.col("url"), F.lit(1), F.length("url") - len(ending))).otherwise(main_url)
-    marked = pages.withColumn("ico_url", main_url).withColumn("is_sub", is_sub).drop("url")
-    found = extract(shred(marked.select("source", "ico_url", "is_sub", "html")), packs).select("source", "ico_url", "is_sub", "raw", "unmapped")
+    marked = pages.withColumn("ico_url", main_url).withColumn("is_sub", F.coalesce(is_sub, F.lit(False)))
+    found = extract(shred(marked.select("source", "ico_url", "url", "is_sub", "html")), packs)
     # Both sides of the join below read these rows: shred every page once, and let each side
     # read its own folders.
+    found = found.select("source", "ico_url", "url", "is_sub", "raw", "unmapped")
     found, _ = staged(found, "extracted", partition_by=("source", "is_sub"))
     two_paged = F.coalesce(F.col("source").isin(*endings), F.lit(False)) if endings else F.lit(False)
-    single = found.where(~two_paged).drop("is_sub")
-    main = found.where(two_paged & ~F.col("is_sub")).drop("is_sub")
-    sub = found.where("is_sub").select("source", "ico_url", F.col("raw").alias("raw2"), F.col("unmapped").alias("unmapped2"))
+    single = found.where(~two_paged).drop("is_sub", "url")
+    main = found.where(two_paged & ~F.col("is_sub")).drop("is_sub", "url")
+    sub_pages = found.where("is_sub")
+    sub = sub_pages.select("source", "ico_url", F.col("raw").alias("raw2"), F.col("unmapped").alias("unmapped2"))
     extra = F.map_filter(F.col("raw2"), lambda k, v: ~F.map_contains_key(F.col("raw"), k))
     both = main.join(sub, ["source", "ico_url"], "left").select(
         "source",
@@ -52,7 +65,8 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
         F.when(F.col("raw2").isNull(), F.col("raw")).otherwise(F.map_concat("raw", extra)).alias("raw"),
         F.when(F.col("unmapped2").isNull(), F.col("unmapped")).otherwise(F.concat("unmapped", "unmapped2")).alias("unmapped"),
     )
-    return single.unionByName(both)
+    orphans = sub_pages.join(main, ["source", "ico_url"], "left_anti").select("source", "ico_url", "url")
+    return single.unionByName(both), orphans
 
 
 def typed_profiles(
@@ -76,18 +90,48 @@ def merge_order(profiles: DataFrame, order: tuple[str, ...] = SOURCE_ORDER) -> D
     return number_rows(placed, "_turn", "source", "ico_url", name="rank").drop("_turn")
 
 
-def run_rejects(decoded: DataFrame, extracted: DataFrame) -> DataFrame:
-    """What a run could not use: ``source, url, field, raw, reason``."""
-    bodies = decoded.where("html is null").select(
-        "source", "url", F.lit("body").alias("field"), F.lit(None).cast("string").alias("raw"), F.lit("body does not fit its charset").alias("reason")
-    )
-    pages = extracted.where("raw is null").select(
-        "source", F.col("ico_url").alias("url"), F.lit("page").alias("field"), F.lit(None).cast("string").alias("raw"), F.lit("page not readable or source unknown").alias("reason")
-    )
+REJECT_COLUMNS = ("source", "url", "field", "raw", "reason")
+
+
+def _reject(df: DataFrame, url: str, field: str, reason: str) -> DataFrame:
+    """Rejected pages as rows of the rejects table."""
+    text = lambda v: F.lit(v).cast("string")
+    return df.select("source", F.col(url).alias("url"), text(field).alias("field"), text(None).alias("raw"), text(reason).alias("reason"))
+
+
+def page_rejects(decoded: DataFrame, extracted: DataFrame, orphans: DataFrame) -> DataFrame:
+    """What could not be used of the pages: ``source, url, field, raw, reason``."""
     labels = unmapped_labels(extracted, "source", "ico_url").select(
         "source", F.col("ico_url").alias("url"), F.col("label").alias("field"), F.col("value").alias("raw"), F.lit("label feeds no field").alias("reason")
     )
-    return bodies.unionByName(pages).unionByName(labels)
+    return (
+        _reject(decoded.where("html is null"), "url", "body", "body does not fit its charset")
+        .unionByName(_reject(extracted.where("raw is null"), "ico_url", "page", "page not readable or source unknown"))
+        .unionByName(_reject(orphans, "url", "page", "second page without its main page"))
+        .unionByName(labels)
+    )
+
+
+def value_rejects(texts: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Dates and scores that fit no form, and countries that have no code.
+
+    ``texts`` and ``profiles`` are the same records, before and after typing; both have one row
+    for each (source, ico_url).
+    """
+    raw = {f: tx.known_text(F.col(f"t.{f}")) for f in (*DATES, *SCORES, *COUNTRIES)}
+    checks = {d: (raw[d], unparsed(raw[d], F.col(f"p.{d}")), "date fits no form") for d in DATES}
+    checks |= {s: (raw[s], raw[s].isNotNull() & F.col(f"p.{s}").isNull(), "score fits no scale") for s in SCORES}
+    codes = {c: F.col(f"p.{c}") for c in COUNTRIES}
+    strange = lambda c: F.coalesce(~c.cast("string").rlike(CODE_LIST), F.lit(False))
+    checks |= {c: (codes[c].cast("string"), strange(codes[c]), "country has no code") for c in COUNTRIES}
+    both = texts.alias("t").join(profiles.alias("p"), ["source", "ico_url"])
+    found = rejects(both.withColumn("_key", F.struct("source", "ico_url")), "_key", **checks)
+    return found.select(F.col("_key.source").alias("source"), F.col("_key.ico_url").alias("url"), "field", "raw", "reason")
+
+
+def record_rejects(ranked: DataFrame) -> DataFrame:
+    """Records that take no part in the consolidation."""
+    return _reject(ranked.where(~is_valid(FIELDS)), "ico_url", "record", "a required field is missing or too few are known")
 
 
 @dataclass
@@ -154,20 +198,40 @@ def full_run(
     As in a run that writes early and again, a stage is written before the next one starts.
     ``snapshots`` is the format of the stage snapshots, ``csv`` or ``parquet``.
     """
-    pages = latest_pages(pages)
+    spark = pages.sparkSession
+    given, pages = pages, latest_pages(pages)
     community = Community(*(latest_pages(p) for p in vars(community).values()))
     html = decode_pages(pages) if "body" in pages.columns else pages
-    extracted = extract_pages(html.where("html is not null"), packs)
-    run_rejects(html, extracted).write.parquet(f"{out_dir}/rejects/run_ts={run_ts}")
-    profiles, _ = staged(typed_profiles(extracted, as_of, packs), "profiles")
+    html, n_pages = staged(html, "decoded")
+    extracted, orphans = extract_with_orphans(html.where("html is not null"), packs)
+    extracted, n_found = staged(extracted, "found")
+    known = extracted.where("raw is not null")
+    texts, _ = staged(profile_texts(known, packs), "texts")
+    profiles, n_profiles = staged(typed_profiles(known, as_of, packs), "profiles")
     write_by_source(profiles, f"{out_dir}/by_source", run_ts)
-    ranked = merge_order(profiles)
-    merged, _ = staged(consolidate(ranked).select("entity", *FIELDS), "merged")
-    with_members, _ = staged(add_members(merged, community.member_pages), "members")
-    write_stage(with_members, out_dir, "members", run_ts, snapshots)
-    with_posts, _ = staged(add_communities(with_members, community.post_pages, community.author_pages), "posts")
-    write_stage(with_posts, out_dir, "posts", run_ts, snapshots)
-    with_threads = add_threads(with_posts, community.thread_pages)
-    numbered = number_rows(with_threads, "entity")
-    write_stage(numbered, out_dir, "threads", run_ts, snapshots)
-    return reload_folder(fan_out(numbered, F.lit(run_ts)), f"{out_dir}/tables")
+    ranked, n_valid = staged(merge_order(profiles), "ranked", {"n_valid": F.count_if(is_valid(FIELDS))})
+    refused = page_rejects(html, extracted, orphans).unionByName(value_rejects(texts, profiles)).unionByName(record_rejects(ranked))
+    refused.write.parquet(f"{out_dir}/rejects/run_ts={run_ts}")
+    merged, n_merged = staged(consolidate(ranked).select("entity", *FIELDS), "merged")
+    numbered = number_rows(merged, "entity")
+
+    def load(stage: str, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+        """A stage is written, and the tables are loaded anew from it, before the next one starts."""
+        df, _ = staged(df, stage)
+        write_stage(df, out_dir, stage, run_ts, snapshots)
+        return df, reload_folder(fan_out(df, F.lit(run_ts)), f"{out_dir}/tables")
+
+    with_members, _ = load("members", add_members(numbered, community.member_pages))
+    with_posts, _ = load("posts", add_communities(with_members, community.post_pages, community.author_pages))
+    _, paths = load("threads", add_threads(with_posts, community.thread_pages))
+    counts = {
+        "pages_given": given.count(),
+        "pages": n_pages["n_rows"],
+        "pages_extracted": n_found["n_rows"],
+        "profiles": n_profiles["n_rows"],
+        "profiles_valid": n_valid["n_valid"],
+        "entities": n_merged["n_rows"],
+    }
+    rows = [(stage, int(n)) for stage, n in counts.items()]
+    spark.createDataFrame(rows, "stage string, n_rows long").write.parquet(f"{out_dir}/counts/run_ts={run_ts}")
+    return paths

@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -49,7 +50,7 @@ def refresh(stream: DataFrame, key: str, order: tuple[str, ...], target: str, ch
     query.awaitTermination()
 
 
-def current(spark: SparkSession, target: str, schema: str, key: str, order: tuple[str, ...]) -> DataFrame:
+def current(spark: SparkSession, target: str, schema: str | T.StructType, key: str, order: tuple[str, ...]) -> DataFrame:
     """The present state: the latest row per key over all batches."""
     deltas = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(target)
     return latest_per_key(deltas, key, *order)

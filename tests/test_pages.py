@@ -12,6 +12,7 @@ from entityloom.operators.packs import PACKS
 from entityloom.operators import shred as shredder
 from entityloom.operators.shred import element_table, own_text_of, shred, text_of
 from entityloom.plans.profiles import Community, build_profiles, full_run
+from entityloom.plans.refresh import refresh_run
 from entityloom.schema import CSV_FIELDS, FIELDS
 from entityloom.sinks.files import EmptyOutput, write_stage
 from entityloom.sources.pages import PAGE_BYTES_SCHEMA
@@ -21,7 +22,7 @@ AS_OF = F.lit("2018-06-15").cast("date")
 DROPS = """<div><img data-src="/logo.png"><div class="ico-main-info"><h3> Foo Coin </h3></div></div>
 <a href="https://foo.io/wp.pdf"><div class="button">WHITEPAPER</div></a><a href="https://foo.io"><div class="button">WEBSITE</div></a>
 <div class="ico-description">All about <b>foo</b>.</div>
-<div class="soc_links"><a href="http://t.me/foo chat"><i class="fab fa-telegram"></i></a><a><i class="fa-github"></i></a></div>
+<div class="soc_links"><a href="http://t.me/foo chat"><span><i class="fab fa-telegram"></i></span></a><a><i class="fa-github"></i></a></div>
 <div class="rating-field"><div class="rating-box"><p>Hype rate\nmore</p><p> High </p></div><div class="rating-box"><p>Risk rate</p></div>
 <div class="rating-box"><p>ICO Drps score</p><p>Very High Interest</p></div></div>
 <div class="token-sale"><strong>Token sale ended</strong></div><h4>Token Sale: 2 Aug – 5 Sep</h4>
@@ -274,6 +275,8 @@ def test_full_run(spark, pages, tmp_path):
     )
     broken = spark.createDataFrame([("icomarks", "https://m/bad", "text/html", bytearray(b"\xff\xfe\x80")), ("nobody", "https://n/x", None, bytearray(b"<p>"))], PAGE_BYTES_SCHEMA)
     crawled = crawled.unionByName(broken)
+    orphan = spark.createDataFrame([("icoratings", "https://i/lost/details", "text/html", bytearray(b"<p>x"))], PAGE_BYTES_SCHEMA)
+    crawled = crawled.unionByName(orphan)
     paths = full_run(crawled, community, AS_OF, str(tmp_path), "r1")
     read = {name: spark.read.parquet(path).collect() for name, path in paths.items()}
     assert [len(v) for v in read.values()] == [1] * 6
@@ -281,11 +284,31 @@ def test_full_run(spark, pages, tmp_path):
     assert read["social_pages"][0].teleg_subs_count == 12345
     assert read["subreddits"][0].rdt_usr_avg_karma == 1234 and read["subreddits"][0].rdt_comment_count == 8
     assert (read["bitcointalk"][0].btc_avg_activ, read["bitcointalk"][0].btc_num_comments) == (3, 3)
-    assert spark.read.parquet(str(tmp_path / "by_source")).count() == 8
-    rejected = {(r.source, r.field): r.reason for r in spark.read.parquet(str(tmp_path / "rejects")).collect()}
-    assert set(rejected) == {
-        ("icomarks", "body"), ("nobody", "page"), ("icodrops", "ODD:"), ("icobazaar", "odd"), ("icobazaar", "zzz"),
-    }
+    n_profiles = spark.read.parquet(str(tmp_path / "by_source")).count()
+    assert n_profiles == 7
+    refused = spark.read.parquet(str(tmp_path / "rejects")).collect()
+    rejected = {(r.source, r.field): r.reason for r in refused}
+    assert {
+        ("icomarks", "body"), ("nobody", "page"), ("icoratings", "page"), ("icodrops", "ODD:"), ("icobazaar", "odd"), ("icobazaar", "zzz"),
+    } <= set(rejected)
+    counts = {r.stage: r.n_rows for r in spark.read.parquet(str(tmp_path / "counts")).collect()}
+    assert counts["pages"] == crawled.count() and counts["profiles"] == n_profiles
+    n_records = sum(r.field == "record" for r in refused)
+    assert counts["profiles"] == counts["profiles_valid"] + n_records
+    # Every page is in a profile, or the second page of one, or rejected.
+    n_pages = sum(r.field in ("body", "page") for r in refused)
+    n_second = crawled.where("endswith(url, '/details') or endswith(url, '/community')").count() - 1
+    assert counts["pages"] == n_profiles + n_second + n_pages
+    # The same crawl twice, as batches of a stream, gives the same tables.
+    times = crawled.withColumn("fetched_at", F.lit("2018-06-01").cast("timestamp"))
+    old = times.withColumn("body", F.encode(F.lit("<p>old"), "utf-8")).withColumn("fetched_at", F.lit("2018-05-01").cast("timestamp"))
+    files, state = str(tmp_path / "files"), str(tmp_path / "state")
+    twice = Community(*(p.unionByName(p) for p in vars(community).values()))
+    for k, batch in enumerate((old.unionByName(times), times)):
+        batch.write.mode("append").parquet(files)
+        stream = spark.readStream.schema(times.schema).parquet(files)
+        again = refresh_run(stream, state, str(tmp_path / "check"), twice, AS_OF, str(tmp_path / f"again{k}"), "r1")
+    assert {n: spark.read.parquet(p).collect() for n, p in again.items()} == read
     snapshot = tmp_path / "stage=threads" / "run_ts=r1"
     row = spark.read.option("header", True).csv(str(snapshot)).first()
     assert row.__fields__ == list(CSV_FIELDS)

@@ -151,9 +151,10 @@ def page_count(t: Tables) -> DataFrame:
 )
 def page_urls(t: Tables) -> DataFrame:
     """The root page and pages 2..ceil(n / 24)."""
-    last = links.pages_needed(F.length("html"), 24)
-    more = F.transform(links.page_numbers(last, 2), lambda i: F.concat("url", F.lit("/"), i.cast("string"), F.lit("/")))
-    return t.pages.select("page_id", F.explode(F.concat(F.array("url"), more)).alias("page_url"))
+    roots = t.pages.select("page_id", "url", links.pages_needed(F.length("html"), 24).alias("last"))
+    more = links.numbers_exploded(roots, "i", 2, "last", block=16)
+    numbered = more.select("page_id", F.concat("url", F.lit("/"), F.col("i").cast("string"), F.lit("/")).alias("page_url"))
+    return roots.select("page_id", F.col("url").alias("page_url")).unionByName(numbered)
 
 
 @query(f"""select regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) as host, unnest({_HREFS}) as href from pages""")

@@ -9,6 +9,8 @@ from entityloom.functions import text as tx
 from entityloom.functions import urls
 from entityloom.operators.extract import Move, Part, Sel, find_all, read_part
 from entityloom.operators.links import numbers_exploded
+from entityloom.operators.resolve import join_facts
+from entityloom.session import staged
 
 
 def eligible_community(url: Column) -> Column:
@@ -104,7 +106,11 @@ def community_authors(posts: DataFrame) -> DataFrame:
 
 def mean_reputation(authors: DataFrame, karma: DataFrame) -> DataFrame:
     """Floor-mean reputation per community over its distinct authors with a non-zero figure."""
-    rated = authors.join(karma.where("karma <> 0"), "author")
+    # A bot or a deleted-user name writes nearly everywhere: such names are joined apart.
+    authors, seen = staged(authors, "authors")
+    sizes = authors.groupBy("author").agg(F.count(F.lit(1)).alias("n_rows"))
+    figures = karma.where("karma <> 0").join(sizes, "author")
+    rated = join_facts(authors, figures, ["author"], int(seen["n_rows"]))
     means = rated.groupBy("url").agg(F.sum("karma").alias("total"), F.count(F.lit(1)).alias("n"))
     return means.select("url", floor_mean(F.col("total"), F.col("n")).alias("rdt_usr_avg_karma"))
 

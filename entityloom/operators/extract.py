@@ -136,9 +136,7 @@ def matches(e: Column, texts: Column, sel: Sel) -> Column:
     if sel.tag is not None:
         tags = (sel.tag,) if isinstance(sel.tag, str) else sel.tag
         tests.append(e["tag"].isin(*tags))
-    if sel.cls:
-        words = F.split(F.try_element_at(e["attrs"], F.lit("class")), r"\s+")
-        tests += [F.array_contains(words, c) for c in sel.cls]
+    tests += [F.array_contains(e["classes"], c) for c in sel.cls]
     for name, wanted in sel.attrs.items():
         have = F.try_element_at(e["attrs"], F.lit(name))
         tests.append(have.isNotNull() if wanted is None else have == wanted)
@@ -285,7 +283,7 @@ def extract(shredded: DataFrame, packs: tuple[SourceRules, ...], source: str = "
     facts = F.when(*branches[0])
     for branch in branches[1:]:
         facts = facts.when(*branch)
-    with_facts = shredded.withColumn("facts", facts)
+    with_facts = shredded.select(*[c for c in shredded.columns if c not in ("elements", "texts")], facts.alias("facts"))
     # An item may be read by several rules; its label is unknown if none of them maps it.
     mapped = F.transform(F.filter(F.col("facts"), lambda f: f["field"].isNotNull()), lambda f: f["label"])
     unknown = bind(
@@ -295,11 +293,8 @@ def extract(shredded: DataFrame, packs: tuple[SourceRules, ...], source: str = "
             lambda f: f["field"].isNull() & f["label"].isNotNull() & ~F.coalesce(F.array_contains(known, f["label"]), F.lit(False)),
         ),
     )
-    return (
-        with_facts.withColumn("raw", _last_per_field(F.col("facts")))
-        .withColumn("unmapped", unknown)
-        .drop("elements", "texts", "facts")
-    )
+    carried = [F.col(c) for c in shredded.columns if c not in ("elements", "texts")]
+    return with_facts.select(*carried, _last_per_field(F.col("facts")).alias("raw"), unknown.alias("unmapped"))
 
 
 def unmapped_labels(extracted: DataFrame, *keys: str) -> DataFrame:

@@ -45,12 +45,6 @@ def largest_suffix(links: Column) -> Column:
     return F.coalesce(F.array_max(numbers), F.lit(0))
 
 
-def page_numbers(last: Column, start: int = 1, step: int = 1) -> Column:
-    """``start .. last`` as an array, empty where ``last`` lies before ``start``."""
-    none = F.array().cast("array<int>")
-    return F.when(last >= start, F.sequence(F.lit(start), last.cast("int"), F.lit(step))).otherwise(none)
-
-
 def numbers_exploded(df: DataFrame, name: str, start: int, last: str, step: int = 1, block: int = 4096) -> DataFrame:
     """One row for each of ``start, start + step .. last`` (a column of ``df``) in the new column ``name``.
 

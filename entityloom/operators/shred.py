@@ -29,7 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ELEMENTS_TYPE = (
     "array<struct<pos:int,parent:int,next:int,last:int,depth:int,tag:string,"
-    "attrs:map<string,string>,text_from:int,text_to:int>>"
+    "attrs:map<string,string>,text_from:int,text_to:int,classes:array<string>>>"
 )
 TEXTS_TYPE = "array<struct<owner:int,piece:string>>"
 
@@ -152,8 +152,11 @@ def _arrow_columns(pages: list[Page | None]) -> list[pa.Array]:
         pa.array([k for e in flat for k in e[6]], pa.string()),
         pa.array([v for e in flat for v in e[6].values()], pa.string()),
     )
-    names = ["pos", "parent", "next", "last", "depth", "tag", "attrs", "text_from", "text_to"]
-    parts = [ints(0), ints(1), ints(2), ints(3), ints(4), pa.array([e[5] for e in flat], pa.string()), attrs, ints(7), ints(8)]
+    # Class words are split here, once for each element, and not by each rule that asks for one.
+    words = [(e[6].get("class") or "").split() for e in flat]
+    classes = pa.ListArray.from_arrays(_map_offsets([len(w) for w in words]), pa.array([c for w in words for c in w], pa.string()))
+    names = ["pos", "parent", "next", "last", "depth", "tag", "attrs", "text_from", "text_to", "classes"]
+    parts = [ints(0), ints(1), ints(2), ints(3), ints(4), pa.array([e[5] for e in flat], pa.string()), attrs, ints(7), ints(8), classes]
     elements = pa.ListArray.from_arrays(_lists(pages, 0), pa.StructArray.from_arrays(parts, names=names))
     pieces = [t for _, texts in readable for t in texts]
     owners = pa.array([t[0] for t in pieces], pa.int32())

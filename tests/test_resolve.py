@@ -129,3 +129,33 @@ def test_follow_next(spark):
     pages = spark.createDataFrame(chain, "url string, next string")
     got = {(r.start, r.url, r.hop) for r in follow_next(pages, "url", "next", pages.where("url in ('p0', 'z1', 's')")).collect()}
     assert got == {("p0", f"p{i}", i) for i in range(7)} | {("z1", "z1", 0), ("z1", "z2", 1), ("s", "s", 0)}
+
+
+def test_chain_crawled_twice_keeps_its_rows(spark, monkeypatch):
+    from entityloom.operators import links
+
+    sizes = []
+    plain = links.staged
+
+    def counting(df, label, *more):
+        out, seen = plain(df, label, *more)
+        sizes.append((label, seen["n_rows"]))
+        return out, seen
+
+    monkeypatch.setattr(links, "staged", counting)
+    chain = [(f"p{i}", f"p{i + 1}") for i in range(9)] + [("p9", None)]
+    pages = spark.createDataFrame(chain + chain, "url string, next_url string")
+    got = follow_next(pages, "url", "next_url", pages.where("url = 'p0'")).collect()
+    assert sorted((r.url, r.hop) for r in got) == [(f"p{i}", i) for i in range(10)]
+    assert [n for label, n in sizes if label == "jump"] == [9, 8, 6, 2, 0][: sum(label == "jump" for label, _ in sizes)]
+
+
+def test_numbers_in_blocks(spark):
+    from entityloom.operators.links import numbers_exploded
+
+    df = spark.createDataFrame([(1, 45), (2, 4), (3, None), (4, 3), (5, 100)], "k int, last int")
+    for block in (1, 2, 3, 4096):
+        got = sorted((r.k, r.n) for r in numbers_exploded(df, "n", 4, "last", 7, block).collect())
+        assert got == sorted((k, n) for k, last in ((1, 45), (2, 4), (5, 100)) for n in range(4, last + 1, 7))
+    big = spark.createDataFrame([(1, 30_000_000)], "k int, last int")
+    assert numbers_exploded(big, "n", 0, "last", 20).count() == 1_500_001

@@ -6,6 +6,7 @@ import pytest
 from parity import compare, connect
 
 from entityloom.catalog import CATALOG
+from entityloom.schema import SOURCE_ORDER
 
 FOLDER = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
@@ -31,7 +32,7 @@ def test_entry_file(spark):
 def test_entities_from_pages_model(spark):
     """Greedy clusters and priority merge of the whole chain against plain Python."""
     profiles = CATALOG["profiles_from_pages"].run(spark, FOLDER).collect()
-    rows = sorted((r.asDict() for r in profiles), key=lambda r: (r["source"], r["ico_url"]))
+    rows = sorted((r.asDict() for r in profiles), key=lambda r: (-SOURCE_ORDER.index(r["source"]), r["ico_url"]))
     priority = {"icomarks": 0, "icoratings": 3, "icobench": 5}
     want, left = {}, list(enumerate(rows, 1))
     while left:

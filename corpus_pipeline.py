@@ -17,6 +17,8 @@ from entityloom.llm import exact_dedup, language, mixing, packing, simhash
 from entityloom.llm.common import staged_rows, word_count
 
 ORACLE_SQL: str | None = None
+#: Workers go from stage to stage with what they hold, so the encoder keeps fewer words than alone.
+WORKER_WORDS = 100_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids and their places in sequences."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.packed(packing.token_pieces(docs, path, end_id=0))
+    return packing.packed(packing.token_pieces(docs, path, end_id=0, words=WORKER_WORDS))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

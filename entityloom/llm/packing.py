@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.common import staged_rows, with_uid
 from entityloom.llm.mixing import on_a_line
-from entityloom.llm.tokens import encoded
+from entityloom.llm.tokens import MEMORY_WORDS, encoded
 
 LENGTH = 2048
 
@@ -145,12 +145,12 @@ def plan_sequences(counts: np.ndarray, length: int = LENGTH) -> dict[str, np.nda
     return {"size": table[:, 0], "rank": table[:, 1], "sequence": table[:, 2], "offset": table[:, 3], "n": np.array([sequence])}
 
 
-def _pieces(tokenizer: str, end_id: int, length: int):
+def _pieces(tokenizer: str, end_id: int, length: int, words: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("doc_id")
             rows, pieces, starts, sizes, crcs = [], [], [], [], []
-            for row, ids in encoded(batch.column("text"), tokenizer):
+            for row, ids in encoded(batch.column("text"), tokenizer, words):
                 raw = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(raw), length)):
                     part = raw[start : start + length]
@@ -173,12 +173,17 @@ def _pieces(tokenizer: str, end_id: int, length: int):
     return cut
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): documents cut where they are longer than a sequence."""
+def token_pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, words: int = MEMORY_WORDS
+) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32): documents cut where they are longer than a sequence.
+
+    ``words`` bounds the memory of the encoder in a worker.
+    """
     narrow = docs.select("doc_id", "text")
     kind = dict(narrow.dtypes)["doc_id"]
     return narrow.mapInArrow(
-        _pieces(tokenizer, end_id, length), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
+        _pieces(tokenizer, end_id, length, words), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     )
 
 

@@ -32,7 +32,7 @@ SEED = 42
 BUDGET = 3
 WORDS = 3
 #: Texts are hashed in pieces of about this many bytes, which bounds the memory of a task.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 #: Fingerprints in a node of the top level, about; more of them give a deeper top level.
 NODE_SIZE = 12_000
 #: Node pairs of at most this many pairs of fingerprints are compared directly.

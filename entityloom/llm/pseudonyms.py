@@ -31,6 +31,14 @@ PHONE = r"(?<![0-9A-Za-z(])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
 SECRET = r"(?<![0-9A-Za-z])(?:[0-9a-fA-F]{64}|[0-9a-fA-F]{40}|[0-9a-fA-F]{32})(?![0-9A-Za-z])"
 ANY = "|".join((EMAIL, IPV4, DATE, SSN, PHONE, CARD, SECRET))
+#: What may lie beside a card, or share digits with one.
+_OTHER = "|".join((EMAIL, IPV4, DATE, SSN, PHONE))
+#: Groupings of cards; what has one of them goes before other groups of three and more digits.
+_FOURS = r"[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+_LAYOUTS = rf"[0-9]{{13,19}}|{_FOURS}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}[ -][0-9]{{3}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{2}}[ -][0-9]"
+_GROUPS = r"[0-9]{3,19}(?:[ -][0-9]{3,16}){0,5}(?:[ -][0-9]{1,16})?"
+#: A run of digits with no others beside it.
+_ALONE = rf"(?<![0-9][ ./-]){CARD}(?![ ./-][0-9])"
 
 #: 400 years of the calendar are 146,097 days, 189 times 773: a domain without rejection.
 FIRST_DAY, DAYS_LOW, DAYS_HIGH = "1800-01-01", 189, 773
@@ -106,6 +114,61 @@ def luhn_digit(payload: Column) -> Column:
     return F.pmod(F.lit(10) - total % 10, F.lit(10)).cast("string")
 
 
+def _valid_card(m: Column) -> Column:
+    return let(
+        _digits(m),
+        lambda d: luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1)),
+    )
+
+
+def _cards_at_groups(text: Column, shape: str) -> Column:
+    """The valid cards of ``shape`` that start and end with any group of digits; they may overlap."""
+    size = lambda n: rf"(?=[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9A-Za-z]))"
+    # The shape is tested on what has n digits, since it must not decide where the digits end.
+    found = [
+        F.regexp_extract_all(text, F.lit(rf"(?<![0-9A-Za-z]){size(n)}(?=([0-9](?:[ -]?[0-9]){{{n - 1}}}))[0-9]"), F.lit(1))
+        for n in range(19, 12, -1)
+    ]
+    shaped = F.filter(F.array_distinct(F.concat(*found)), lambda m: m.rlike(f"^(?:{shape})$"))
+    return F.filter(shaped, _valid_card)
+
+
+def _one_of(cards: Column) -> Column:
+    """A pattern of these cards and no others; with none, one that matches nothing."""
+    return F.concat(F.lit("(?<![0-9A-Za-z])(?:"), F.array_join(cards, "|"), F.lit("|(?!))(?![0-9A-Za-z])"))
+
+
+def _search_pattern(text: Column) -> Column:
+    """``ANY`` with the valid cards of ``text`` in place of all runs of digits.
+
+    A run of 13 to 19 digits may hold a card and its neighbours, so cards are looked for from
+    group to group first; what is no card is left to the other patterns.
+    """
+    without = lambda t, cards: F.regexp_replace(t, _one_of(cards), F.lit("\n"))
+    cleared = lambda t: F.regexp_replace(t, F.lit(_OTHER), F.lit("\n"))
+    # Short groups (single digits) count as a card only if the longest run of them is one.
+    runs = lambda t, shape: F.filter(F.array_distinct(F.regexp_extract_all(t, F.lit(shape), F.lit(0))), _valid_card)
+
+    def pattern(usual: Column) -> Column:
+        # A card after two groups of digits, the first of which would pass for the end of a phone number.
+        return let(without(text, usual), lambda t: let(_cards_at_groups(t, _FOURS), lambda late: joined(usual, late, t)))
+
+    def joined(usual: Column, late: Column, text: Column) -> Column:
+        odd = let(
+            without(text, late),
+            lambda t: F.concat(
+                let(cleared(t), lambda c: F.concat(_cards_at_groups(c, _GROUPS), runs(c, CARD))), runs(t, _ALONE)
+            ),
+        )
+        free = F.concat(F.lit("(?!"), _one_of(late), F.lit(")[0-9]{4}"))
+        last = lambda shape: shape.rpartition("[0-9]{4}")
+        guarded = [x for shape in (SSN, PHONE) for x in (F.lit("|" + last(shape)[0]), free, F.lit(last(shape)[2]))]
+        cards = _one_of(F.array_distinct(F.concat(usual, late, odd)))
+        return F.concat(F.lit("|".join((EMAIL, IPV4, DATE))), *guarded, F.lit("|"), cards, F.lit("|" + SECRET))
+
+    return F.when(text.rlike(CARD), let(_cards_at_groups(cleared(text), _LAYOUTS), pattern)).otherwise(F.lit(ANY))
+
+
 def _card(key: str, m: Column) -> Column:
     """The first digit names the network and stays; the check digit is computed anew."""
 
@@ -224,14 +287,14 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count_as: str =
     """``docs`` with pseudonyms in ``text``, and their number in the new column ``count_as``."""
     if count_as.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"the input already has a column {count_as}")
-    own = columns_named(docs, "pii_", "gaps", "found", "fresh")
-    gaps, found, fresh = own["gaps"], own["found"], own["fresh"]
+    own = columns_named(docs, "pii_", "pattern", "gaps", "found", "fresh")
+    pattern, gaps, found, fresh = own["pattern"], own["gaps"], own["found"], own["fresh"]
     # Only texts with a digit or an @ are searched; all others pass untouched.
     may = F.col(text).rlike("[0-9@]")
-    found_in = docs.withColumns(
+    found_in = docs.withColumn(pattern, F.when(may, _search_pattern(F.col(text)))).withColumns(
         {
-            found: F.when(may, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))),
-            gaps: F.when(may, F.split(text, ANY, -1)),
+            found: F.when(may, F.regexp_extract_all(text, F.col(pattern), F.lit(0))),
+            gaps: F.when(may, F.split(text, F.col(pattern), -1)),
         }
     )
     changed = found_in.withColumn(
@@ -248,4 +311,4 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count_as: str =
             text: F.when(F.col(fresh).isNotNull(), F.array_join(pieces, "")).otherwise(F.col(text)),
         }
     )
-    return out.drop(gaps, found, fresh)
+    return out.drop(pattern, gaps, found, fresh)

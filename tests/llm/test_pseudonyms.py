@@ -153,3 +153,33 @@ def test_empty_and_clashes(docs):
         assert ps.pseudonymised(df, KEY, count_as="n").first()["n"] == 0
     else:
         raise AssertionError
+
+
+CARDS = ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "3782 822463 10005", "41111 11111 11111 1"]
+NEIGHBOURS = ["97.51.17.173", "123-45-6789", "555-123-4567", "2001-02-03"]
+
+
+def test_cards_beside_other_digits(docs):
+    cases = [(f"{a}{c}{b}", c, None) for c in CARDS for a, b in (("", " 12/25"), ("", " 737"), ("No 12 ", ""), ("", " 12 25 7"), ("1234 ", " 1234"))]
+    cases += [(text, c, n) for c in CARDS for n in NEIGHBOURS for text in (f"{c} {n}", f"{n} {c}", f"{c} {c} {n} 12")]
+    out = {r.doc_id: r for r in ps.pseudonymised(docs([(i, c[0]) for i, c in enumerate(cases)]), KEY).collect()}
+    for i, (text, card, neighbour) in enumerate(cases):
+        want = text.replace(card, pseudonym(card))
+        n = text.count(card)
+        if neighbour:
+            want, n = want.replace(neighbour, pseudonym(neighbour)), n + 1
+        assert (out[i].text, out[i].n_pseudonyms) == (want, n), text
+
+
+def test_cards_after_groups_like_a_phone_number(docs):
+    texts = ["123 456 4111 1111 1111 1111", "4111 111 111 1111 11", "555-123-4567 4111 1111 1111 1111"]
+    out = {r.doc_id: r.text for r in ps.pseudonymised(docs(list(enumerate(texts))), KEY).collect()}
+    card = pseudonym(CARDS[0])
+    assert out == {0: f"123 456 {card}", 1: laid_out(texts[1], re.sub("[^0-9]", "", card)), 2: f"{pseudonym('555-123-4567')} {card}"}
+
+
+def test_runs_without_a_card_leave_their_neighbours(docs):
+    texts = ["4111111111111112 97.51.17.173", "1 2 3 4 5 6 7 8 9 0 1 2 123-45-6789", "4111 1111 1111 1112 555-123-4567"]
+    for r in ps.pseudonymised(docs(list(enumerate(texts))), KEY).collect():
+        head, last = texts[r.doc_id].rsplit(" ", 1)
+        assert r.text == f"{head} {pseudonym(last)}" and r.n_pseudonyms == 1

@@ -21,7 +21,7 @@ independent hashes and their anchor's place.
 
 Defined results: a NULL text is empty; texts below ``LENGTH`` bytes stay whole; rows that repeat
 a doc_id are documents of their own, in the order of their address; a NULL doc_id comes after
-all others; an empty table gives an empty result; only doc_id and text are read.
+all others; no two rows share a key, however often a doc_id repeats; an empty table gives an empty result; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows
+from entityloom.llm.common import SENDER_ROWS, addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows
 from entityloom.llm.suffix_array import Segments, kasai, larsson_sadakane
 
 LENGTH = 100
@@ -116,8 +116,8 @@ def _schema(text: str) -> pa.Schema:
     return pa.schema([(f.split()[0], kinds[f.split()[1]]) for f in text.split(", ")])
 
 
-_SEGMENT = "h long, g long, doc_id long, uid int, first int, count int, again boolean"
-_FOUND = "h long, doc_id long, uid int, first int, count int, open boolean"
+_SEGMENT = "h long, g long, doc_id long, uid long, first int, count int, again boolean"
+_FOUND = "h long, doc_id long, uid long, first int, count int, open boolean"
 
 
 def _runs(doc: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -200,7 +200,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_h, last_g = h[-1], g[-1]
 
 
-_SHARD = "h long, part int, salt int, doc_id long, uid int, first int, count int, string binary"
+_SHARD = "h long, part int, salt int, doc_id long, uid long, first int, count int, string binary"
 
 
 def _search_shard(table: pa.Table) -> pa.Table:
@@ -290,7 +290,7 @@ def _merge_strings(table: pa.Table) -> pa.Table:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of each segment that is asked for."""
-    schema = _schema("shard long, salt int, salts int, h long, doc_id long, uid int, first int, bytes binary")
+    schema = _schema("shard long, salt int, salts int, h long, doc_id long, uid long, first int, bytes binary")
     for batch in batches:
         for row in range(batch.num_rows):
             raw, wanted = batch.column("text")[row].as_buffer().to_pybytes(), batch.column("wanted")[row].as_py()
@@ -336,19 +336,38 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _block_bits(file: Column, block: Column, salt: int) -> Column:
+    """The upper bits of a row's uid, by its block of a file; the place in the block has the lower 16."""
+    return F.shiftleft(F.xxhash64(F.lit(salt), file, block), SENDER_ROWS.bit_length() - 1)
+
+
+def _blocks(blocks: DataFrame, bits=_block_bits) -> tuple[int, int]:
+    """The number of rows, and a salt under which no two of the ``blocks`` (file, block, count) share their bits."""
+    salt = 0
+    while True:
+        upper = bits(F.col("file"), F.col("block"), salt)
+        row = blocks.agg(
+            F.sum("count").alias("rows"), F.count(F.lit(1)).alias("blocks"), F.count_distinct(upper).alias("different")
+        ).first()
+        if row["blocks"] == row["different"]:
+            return row["rows"] or 0, salt
+        salt += 1
+
+
 class _Source:
     """Texts under the key (doc_id, uid), and the few of them that a table of keys names."""
 
     def __init__(self, docs: DataFrame):
         placed, file, at = addressed(docs)
+        block = F.floor(F.col(at) / SENDER_ROWS)
+        self.n, salt = _blocks(placed.groupBy(F.col(file).alias("file"), block.alias("block")).count())
         self.texts = placed.select(
             F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"),
-            F.hash(file, at).alias("uid"),
+            (_block_bits(F.col(file), block, salt) + place_of(at)).alias("uid"),
             sender_of(file, at).alias("sender"),
             place_of(at).alias("place"),
             F.coalesce("text", F.lit("")).alias("text"),
         )
-        self.n = self.texts.count()
 
     def bitmaps(self, keys: DataFrame) -> DataFrame:
         """(sender, words): a bit for each row that ``keys`` (doc_id, uid) names."""
@@ -395,12 +414,12 @@ def repeated_strings(docs: DataFrame) -> tuple[_Source, DataFrame]:
         F.collect_list(F.struct("shard", "salt", "salts", "h", "first", "count")).alias("wanted")
     )
     cut = texts.join(wanted, keys).mapInArrow(
-        _cut, "shard long, salt int, salts int, h long, doc_id long, uid int, first int, bytes binary"
+        _cut, "shard long, salt int, salts int, h long, doc_id long, uid long, first int, bytes binary"
     )
     searched = staged_rows(cut.groupBy("shard", "salt").applyInArrow(_search_shard, _SHARD), "repeats-searched")
     merged = (
         searched.filter("string is not null").groupBy("h", "part")
-        .applyInArrow(_merge_strings, "doc_id long, uid int, first int, count int")
+        .applyInArrow(_merge_strings, "doc_id long, uid long, first int, count int")
     )
     columns = ["doc_id", "uid", "first", "count"]
     stretches = (

@@ -108,3 +108,37 @@ def test_merge_by_binary_search():
 
 def test_empty(docs):
     assert repeats.without_repeats(docs([])).collect() == []
+
+
+def test_rows_without_doc_id_in_two_files_keep_their_own_texts(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    n, names = 200_000, [f"{x}.parquet" for x in "abcdefgh"]
+    pq.write_table(pa.table({"x": [1]}), f"{tmp_path}/a.parquet")
+    folder = spark.read.parquet(f"{tmp_path}/a.parquet").select("_metadata.file_path").first()[0].removesuffix("a.parquet")
+    rows = spark.range(n).select(F.explode(F.array(*map(F.lit, names))).alias("name"), "id")
+    met = rows.groupBy(F.hash(F.concat(F.lit(folder), "name"), "id")).agg(F.sort_array(F.collect_list(F.struct("name", "id"))).alias("x"))
+    (one, a), (two, b) = met.filter("size(x) > 1").orderBy("x").first()["x"][:2]  # equal under 32 bits
+    paths = [f"{tmp_path}/{x}" for x in (one, two)]
+    rng = random.Random(8)
+    passage, clean = ("".join(rng.choice("abcdefgh ") for _ in range(400)) for _ in range(2))
+    texts = {(0, a): "left " + passage, (1, b): clean + " right", (0, (a + 1) % n): passage}
+    for k, path in enumerate(paths):
+        filler = lambda i: "".join(rng.choices("jklmnopq ", k=150)) if i % 1000 == 0 else ""
+        column = [texts.get((k, i)) or filler(i) for i in range(n)]
+        pq.write_table(pa.table({"doc_id": pa.array([None] * n, pa.int64()), "text": column}), path)
+    out = repeats.without_repeats(spark.read.parquet(*paths), with_bytes=True).filter("n_bytes > 150").collect()
+    removed = {bytes(r.kept).decode() if r.n_removed == 0 else "": r.n_removed for r in out}
+    assert len(out) == 3 and removed[clean + " right"] == 0 and removed[""] in (400, 401)
+    assert sum(r.n_removed > 0 for r in out) == 1
+
+
+def test_blocks_get_different_keys(spark):
+    from pyspark.sql import functions as F
+
+    blocks = spark.createDataFrame([("f", 0, 3), ("f", 1, 4), ("g", 0, 5)], "file string, block long, count long")
+    meeting = lambda file, block, salt: F.col("block") if salt < 2 else F.xxhash64(F.lit(salt), file, block)
+    assert repeats._blocks(blocks, meeting) == (12, 2)
+    assert repeats._blocks(blocks.limit(0)) == (0, 0)

@@ -4,9 +4,9 @@ Documents are summed by the set of sources that they belong to.  A small network
 set's tokens to the quotas of its sources: the first use of a set costs nothing, each further
 one costs more than the one before (convex costs), so documents repeat only where a quota
 cannot be met otherwise.  Within a set, documents lie on a line in a seeded order; each stretch
-of the flow takes the documents that lie wholly inside it, and what a stretch lacks is filled
-with the largest documents that still fit, at most one for each size class.  Documents are
-taken whole.
+of the flow takes the documents that lie wholly inside it.  What is lacking then is routed over the
+idle documents that still fit, in the same order, and the largest of each size class close the
+gap, again and again until no idle document fits.  Documents are taken whole.
 
 The driver holds one row for each set of sources (and for each of its size classes), a number
 that the configuration of the mix bounds, not the number of documents.
@@ -93,8 +93,13 @@ def min_cost_flow(n_nodes: int, arcs: list[tuple[int, int, int, int]], source: i
     return [arcs[i][2] - graph[a][k].room for i, (a, k) in enumerate(places)]
 
 
-def route(patterns: dict[str, int], quotas: dict, repeats: int) -> list[tuple[str, int, object, int, int]]:
-    """(pattern, use, source, start, end) stretches of each pattern's line; uses count from 1."""
+def route(
+    patterns: dict[str, int], quotas: dict, repeats: int, idle: dict[tuple[str, int], int] | None = None
+) -> list[tuple[str, int, object, int, int]]:
+    """(pattern, use, source, start, end) stretches of each pattern's line; uses count from 1.
+
+    ``idle`` has what is left of each use, where that is not the whole pattern.
+    """
     names, sources = list(patterns), list(quotas)
     members = {p: json.loads(p) for p in names}
     first_source = 1 + len(names) * (repeats + 1)
@@ -103,11 +108,12 @@ def route(patterns: dict[str, int], quotas: dict, repeats: int) -> list[tuple[st
     for i, p in enumerate(names):
         entry = 1 + i * (repeats + 1)
         for use in range(1, repeats + 1):
-            arcs.append((0, entry + use, patterns[p], use * (use - 1) // 2))
+            room = patterns[p] if idle is None else idle.get((p, use), 0)
+            arcs.append((0, entry + use, room, use * (use - 1) // 2))
             meaning.append(None)
             for k, s in enumerate(sources):
                 if s in members[p]:
-                    arcs.append((entry + use, first_source + k, patterns[p], 0))
+                    arcs.append((entry + use, first_source + k, room, 0))
                     meaning.append((p, use, s))
     for k, s in enumerate(sources):
         arcs.append((first_source + k, sink, quotas[s], 0))
@@ -127,21 +133,21 @@ def _seeded(seed: int) -> Column:
     return F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size")).bitwiseAND(F.lit(2**63 - 1))
 
 
-def on_a_line(rows: DataFrame, seed: int) -> DataFrame:
-    """Adds ``at``: the tokens of the same pattern that lie before the row in the seeded order.
+def on_a_line(rows: DataFrame, seed: int, line: tuple[str, ...] = ("pattern",)) -> DataFrame:
+    """Adds ``at``: the tokens of the same ``line`` that lie before the row in the seeded order.
 
     The order is cut into buckets; their sums are accumulated in one short window for each
     pattern, and the rows of a bucket in another, so no pattern is ever sorted as a whole.
     """
     keyed = rows.withColumn("place", _seeded(seed)).withColumn("bucket", F.shiftright("place", 63 - BUCKET_BITS))
-    sums = keyed.groupBy("pattern", "bucket").agg(F.sum("size").alias("bucket_size"))
-    up_to = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("pattern", "bucket", F.coalesce(F.sum("bucket_size").over(up_to), F.lit(0)).alias("base"))
+    sums = keyed.groupBy(*line, "bucket").agg(F.sum("size").alias("bucket_size"))
+    up_to = Window.partitionBy(*line).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*line, "bucket", F.coalesce(F.sum("bucket_size").over(up_to), F.lit(0)).alias("base"))
     within = (
-        Window.partitionBy("pattern", "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*line, "bucket").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        keyed.join(starts, ["pattern", "bucket"])
+        keyed.join(starts, [*line, "bucket"])
         .withColumn("at", F.col("base") + F.coalesce(F.sum("size").over(within), F.lit(0)))
         .drop("base", "bucket")
     )
@@ -191,32 +197,65 @@ def draw(rows: DataFrame, quotas: dict, repeats: int = 2, seed: int = 7, totals:
         ),
         "mix-draws",
     )
-    got = (
-        placed.select("size", F.explode("drawn").alias("d")).groupBy("d.source").agg(F.sum("size").alias("n")).collect()
-    )
     lacks = {s: int(q) for s, q in quotas.items()}
-    for r in got:
-        lacks[r["source"]] -= r["n"]
+    _take(lacks, placed.select("size", F.explode("drawn").alias("d")).select("size", "d.source"))
     uses = F.array(*[F.lit(u) for u in range(1, repeats + 1)])
     idle = placed.filter("size > 0").select(
-        "uid", "size", "pattern", "place", F.explode(F.array_except(uses, F.transform("drawn", lambda x: x["use"]))).alias("use")
+        "uid", "doc_id", "size", "pattern", F.explode(F.array_except(uses, F.transform("drawn", lambda x: x["use"]))).alias("use")
     )
-    candidates = (
-        idle.groupBy("pattern", "use", F.floor(F.log2("size")).alias("class"))
-        .agg(F.min(F.struct("place", "uid", "size")).alias("x"))
-        .select("pattern", "use", "x.*")
-        .collect()
-    )
-    chosen = _fill(candidates, lacks)
-    more = spark.createDataFrame(
-        [(u, s) for _, _, u, s in sorted(chosen, key=str)], "uid long, source string"
-    ).groupBy("uid").agg(F.collect_list("source").alias("more"))
+    more = _closed(idle, lacks, list(totals), repeats, seed).groupBy("uid").agg(F.collect_list("source").alias("more"))
     drawn = F.transform("drawn", lambda x: x["source"])
     return placed.join(more, "uid", "left").select(
         "uid", "doc_id", "size", "pattern", F.concat(drawn, F.coalesce("more", F.array().cast("array<string>"))).alias("draws")
     )
 
 
+def _take(lacks: dict, drawn: DataFrame) -> None:
+    """Takes the sums of ``drawn`` (size, source) off ``lacks``."""
+    for r in drawn.groupBy("source").agg(F.sum("size").alias("n")).collect():
+        lacks[r["source"]] -= r["n"]
+
+
+def _fitting(idle: DataFrame, lacks: dict, patterns: list[str]) -> DataFrame:
+    """The rows that one of their sources lacks room for."""
+    most = [(p, max((lacks.get(s, 0) for s in json.loads(p)), default=0)) for p in patterns]
+    limits = idle.sparkSession.createDataFrame(most, "pattern string, most long")
+    return idle.join(limits, "pattern").filter("size <= most").select(*idle.columns)
+
+
+def _closed(idle: DataFrame, lacks: dict, patterns: list[str], repeats: int, seed: int) -> DataFrame:
+    """(uid, use, source) of the ``idle`` uses that are taken until none of them fits what is lacking.
+
+    What fits only shrinks, so each round goes on from the rows of the one before.
+    """
+    spark = idle.sparkSession
+    taken = spark.createDataFrame([], "uid long, use int, source string")
+    while True:
+        idle = staged_rows(_fitting(idle, lacks, patterns), "mix-idle")
+        sums = {(r["pattern"], r["use"]): int(r["n"]) for r in idle.groupBy("pattern", "use").agg(F.sum("size").alias("n")).collect()}
+        if not sums:
+            return taken
+        stretches = route({p: 0 for p in sorted({p for p, _ in sums})}, {s: max(0, n) for s, n in lacks.items()}, repeats, sums)
+        table = spark.createDataFrame(stretches, "pattern string, use int, source string, start long, end long")
+        inside = (F.col("at") >= F.col("start")) & (F.col("at") + F.col("size") <= F.col("end"))
+        placed = on_a_line(idle, seed, ("pattern", "use")).join(table, ["pattern", "use"]).filter(inside)
+        placed = staged_rows(placed.select("uid", "use", "source", "size"), "mix-more")
+        _take(lacks, placed)
+        taken = taken.unionByName(placed.drop("size"))
+        idle = idle.join(placed.select("uid", "use"), ["uid", "use"], "left_anti")
+        candidates = (
+            _fitting(idle, lacks, patterns).withColumn("place", _seeded(seed))
+            .groupBy("pattern", "use", F.floor(F.log2("size")).alias("class"))
+            .agg(F.min(F.struct("place", "uid", "size")).alias("x"))
+            .select("pattern", "use", "x.*")
+            .collect()
+        )
+        chosen = [(u, use, s) for _, use, u, s in sorted(_fill(candidates, lacks), key=str)]
+        filled = spark.createDataFrame(chosen, taken.schema)
+        taken = taken.unionByName(filled)
+        idle = idle.join(filled.select("uid", "use"), ["uid", "use"], "left_anti")
+
+
 def pattern_totals(rows: DataFrame) -> dict[str, int]:
     sums = rows.groupBy("pattern").agg(F.sum("size").alias("n")).collect()
     return {r["pattern"]: int(r["n"]) for r in sorted(sums, key=lambda r: r["pattern"])}

@@ -89,3 +89,15 @@ def test_empty(spark, docs, tmp_path):
     docs([]).write.parquet(f"{tmp_path}/documents.parquet")
     assert queries.op4_mix_sources(spark, str(tmp_path)).collect() == []
     assert mixing.pattern_totals(spark.createDataFrame([], "pattern string, size long").withColumn("n", F.lit(1))) == {}
+
+
+def test_gap_beside_a_very_long_document_is_filled(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.randint(300, 500), '["a"]') for i in range(2000)] + [(9000 + i, 200_000, '["a"]') for i in range(30)]
+    df = staged_rows(with_uid(spark.createDataFrame(rows, "doc_id long, size long, pattern string")), "t")
+    quota = int(1.5 * sum(r[1] for r in rows))
+    out = mixing.draw(df, {"a": quota}).collect()
+    assert len(out) == len(rows) and all(len(r.draws) <= 2 for r in out)
+    lacking = quota - sum(r["size"] * len(r.draws) for r in out)
+    idle = [r["size"] for r in out if len(r.draws) < 2]
+    assert 0 <= lacking < min(idle)

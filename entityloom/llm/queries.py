@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.llm import dac, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, repeats, simhash
+from entityloom.llm import dac, decontamination, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, repeats, simhash
 from entityloom.llm.common import addressed, read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -74,6 +74,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contamination(read_documents(spark, sf_dir), items).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
@@ -85,6 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_decontamination": op11_decontamination,
 }
 
-SQL: dict[str, str] = {"op2_line_frequency": line_frequency.sql(), "op7_exact_dedup": exact_dedup.SQL}
+SQL: dict[str, str] = {
+    "op2_line_frequency": line_frequency.sql(),
+    "op7_exact_dedup": exact_dedup.SQL,
+    "op11_decontamination": decontamination.SQL,
+}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.llm import dac, decontamination, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, repeats, simhash
+from entityloom.llm import alignment, conversations, dac, decontamination, exact_dedup, language, line_frequency, mixing, packing, pseudonyms, quality, repeats, simhash
 from entityloom.llm.common import addressed, read_documents, staged_rows, with_uid, word_count
 
 #: For trials on synthetic data only; a caller passes a key of its own from a secret store.
@@ -79,6 +79,16 @@ def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(read_documents(spark, sf_dir), items).drop("spans")
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(read_documents(spark, sf_dir), *paths)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversations.repairs_with_digest(rows)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_line_frequency": op2_line_frequency,
@@ -91,6 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
     "op11_decontamination": op11_decontamination,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {

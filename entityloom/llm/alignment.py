@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityloom.llm.common import staged_rows, with_uid
+from entityloom.llm.tokens import WordMemory, split_units, spread
 from entityloom.session import scratch_path
 
 #: Documents of more bytes are cut into chunks of so many.
@@ -47,7 +48,10 @@ FAN = 64
 BROADCAST_PAIRS = 2_000_000
 #: Texts are tokenized and aligned together up to so many bytes.
 PIECE = 1 << 20
+#: Words whose ids a worker remembers.
+MEMORY_WORDS = 300_000
 _SPACE = "▁"
+_EMPTY = np.empty(0, np.uint32)
 
 
 def byte_level() -> dict[str, int]:
@@ -76,17 +80,59 @@ class Tokenizers:
         self.bytes_b = [
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)
         ]
-        #: No token of B may hold a blank behind something else, or cuts before blanks were not safe.
-        self.cuts = not any(_SPACE in p.lstrip(_SPACE) for p in pieces)
+        #: No token of B may hold a blank behind something else, or a newline, or cuts there were not safe.
+        self.cuts = not any(_SPACE in p.lstrip(_SPACE) or "\n" in p for p in pieces)
+        self.blank = self.b.piece_to_id(_SPACE)
+        self.sizes = tuple(np.array([len(t) for t in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        self.memory = WordMemory([self._units_a, self._units_b], MEMORY_WORDS)
+
+    def _a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _checked(self, raw: list[bytes], coded: list[list[int]], table: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in one array and their numbers; none for a unit that their bytes differ from."""
+        good = [ids if b"".join(map(table.__getitem__, ids)) == unit else [] for unit, ids in zip(raw, coded, strict=True)]
+        return np.fromiter((i for ids in good for i in ids), np.uint32), np.fromiter(map(len, good), np.int64, len(good))
+
+    def _units_a(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return self._checked(raw, self._a([u.decode() for u in raw]), self.bytes_a)
+
+    def _units_b(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        # The library puts a blank before each unit; a unit that starts with a newline has none of its own.
+        own = self.b.encode([u.decode() if u[:1] == b"\n" else u[1:].decode() for u in raw], num_threads=1)
+        coded = [ids[1:] if u[:1] == b"\n" and ids[:1] == [self.blank] else ids for u, ids in zip(raw, own, strict=True)]
+        return self._checked(raw, coded, self.bytes_b)
+
+    def encode(self, stretches: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+        """Ids of both for each stretch (a space, then text), and whether their bytes are the stretch.
+
+        Where single blanks or newlines part all words, a word is encoded once and remembered.
+        """
+        out: list[tuple[np.ndarray, np.ndarray, bool]] = [(_EMPTY, _EMPTY, True)] * len(stretches)
+        texts = [s[1:].decode() for s in stretches]
+        sure = [i for i, t in enumerate(texts) if _has_single_blanks(t)]
+        if sure:
+            units, at, n = split_units([texts[i].replace("\n", " \n") for i in sure])
+            found = self.memory.look_up([u.encode() if u[:1] == "\n" else b" " + u.encode() for u in units.to_pylist()])
+            spans = [spread(side, at, n) for side in found]
+            for k, i in enumerate(sure):
+                ids = [flat[ends[k - 1] if k else 0 : ends[k]] for flat, ends in spans]
+                same = all(int(size[x].sum()) == len(stretches[i]) for size, x in zip(self.sizes, ids, strict=True))
+                out[i] = (*ids, same)
+        whole = [i for i, t in enumerate(texts) if t and not _has_single_blanks(t)]
+        if whole:
+            both = self._a([" " + texts[i] for i in whole]), self.b.encode([texts[i] for i in whole], num_threads=1)
+            for i, a, b in zip(whole, *both, strict=True):
+                same = all(b"".join(map(t.__getitem__, x)) == stretches[i] for t, x in ((self.bytes_a, a), (self.bytes_b, b)))
+                out[i] = (np.array(a, np.uint32), np.array(b, np.uint32), same)
+        return out
+
 
-    def encode(self, stretches: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-        """Ids of both for each stretch (a space, then text), and whether their bytes are the stretch."""
-        texts = [s.decode() for s in stretches]
-        of_a = self.a.encode_batch_fast(texts, add_special_tokens=False)
-        of_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        for raw, a, b in zip(stretches, of_a, of_b, strict=True):
-            same = all(b"".join(map(t.__getitem__, ids)) == raw for t, ids in ((self.bytes_a, a.ids), (self.bytes_b, b)))
-            yield np.array(a.ids, np.uint32), np.array(b, np.uint32), same
+def _has_single_blanks(text: str) -> bool:
+    """Words, each followed by one space or newline and another word; no other white space or control character."""
+    if not text.replace("\n", " ").isprintable() or _SPACE in text or not text:
+        return False
+    return text[0] not in " \n" and text[-1] not in " \n" and not any(x in text for x in ("  ", "\n\n", " \n", "\n "))
 
 
 @lru_cache(maxsize=1)
@@ -171,9 +217,9 @@ def _encode(path_a: str, path_b: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokenizers(path_a, path_b)
-        sizes = [np.array([len(t) for t in table], np.int64) for table in (both.bytes_a, both.bytes_b)]
+        kinds = [_kind(size) for size in both.sizes]
         for batch in batches:
-            stretches = batch.column("stretch").to_pylist()
+            stretches, lows, highs = (batch.column(c).to_pylist() for c in ("stretch", "low", "high"))
             start = 0
             while start < len(stretches):
                 stop, size = start, 0
@@ -181,16 +227,13 @@ def _encode(path_a: str, path_b: str):
                     size += len(stretches[stop])
                     stop += 1
                 same, ids, froms = [], ([], []), ([], [])
-                part = [s for s in stretches[start:stop]]
-                coded = both.encode([s for s in part if len(s) > 1])
-                for row, stretch in zip(range(start, stop), part, strict=True):
-                    *tokens, ok = next(coded) if len(stretch) > 1 else (np.empty(0, np.uint32), np.empty(0, np.uint32), True)
+                coded = both.encode(stretches[start:stop])
+                for low, high, (*tokens, ok) in zip(lows[start:stop], highs[start:stop], coded, strict=True):
                     same.append(ok)
-                    low, high = (batch.column(c)[row].as_py() for c in ("low", "high"))
                     for side in (0, 1):
-                        ends = np.cumsum(sizes[side][tokens[side]])
+                        ends = np.cumsum(both.sizes[side][tokens[side]])
                         first, last = np.searchsorted(ends, [low, high], side="right")
-                        ids[side].append(tokens[side][first:last].astype("<u4").tobytes() if ok else b"")
+                        ids[side].append(tokens[side][first:last].astype(kinds[side]).tobytes() if ok else b"")
                         froms[side].append(int(ends[first - 1]) - low if first and ok else -low)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -215,7 +258,7 @@ def _staged_small(df: DataFrame, label: str) -> DataFrame:
 
 
 def tokens_of(docs: DataFrame, path_a: str, path_b: str, chunk: int = CHUNK) -> DataFrame:
-    """Tokens of each chunk (uid, doc_id, k, n_chunks, same, a, b, a_from, b_from), ids as 32-bit integers.
+    """Tokens of each chunk (uid, doc_id, k, n_chunks, same, a, b, a_from, b_from), ids as 16 or 32-bit integers.
 
     Short documents (even uid) are tokenized where they are read; the chunks of long ones (odd) are dealt out.
     """
@@ -259,7 +302,7 @@ class Aligned:
         before_a = np.cumsum(at_a, dtype=np.int64)[self.links] - at_a[self.links]
         before_b = np.cumsum(at_b, dtype=np.int64)[self.links] - at_b[self.links]
         #: The id pair of each link.
-        self.pairs = self.a[before_a].astype(np.int64) << 32 | self.b[before_b]
+        self.pairs = self.a[before_a].astype(np.int64) << 32 | self.b[before_b].astype(np.int64)
 
     def codes(self, n_a: int, n_b: int) -> np.ndarray:
         """Each token in the order of the groups' text, as its row in ``texts``."""
@@ -294,7 +337,7 @@ class Fragment:
     suffix: tuple[np.ndarray, np.ndarray]
 
 
-_NONE = (np.empty(0, np.uint32), np.empty(0, np.uint32))
+_NONE = (_EMPTY, _EMPTY)
 EMPTY = Fragment(-1, _NONE, _NONE)
 
 
@@ -323,8 +366,17 @@ def split(a: np.ndarray, b: np.ndarray, a_from: int, b_from: int, sizes) -> tupl
     return tuple(slice(*(int(i) + 1 for i in np.searchsorted(e, common[[0, -1]]))) for e in (ends_a, ends_b))
 
 
-def _ids(cell) -> np.ndarray:
-    return np.frombuffer(cell.as_buffer(), "<u4") if cell.is_valid else np.empty(0, np.uint32)
+def _kind(size: np.ndarray) -> str:
+    """How ids of a vocabulary are stored: in 16 bits where they fit."""
+    return "<u2" if len(size) <= 1 << 16 else "<u4"
+
+
+def _ids(cell, size: np.ndarray) -> np.ndarray:
+    return np.frombuffer(cell.as_buffer(), _kind(size)) if cell.is_valid else _EMPTY
+
+
+def _bytes(ids: np.ndarray, size: np.ndarray) -> bytes:
+    return ids.astype(_kind(size)).tobytes()
 
 
 _FRAGMENT = "uid long, k long, closed boolean, at long, prefix_a binary, prefix_b binary, suffix_a binary, suffix_b binary"
@@ -337,8 +389,8 @@ def _fragment_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], _FRAGMENT_NAMES)
 
 
-def _row(uid: int, k: int, closed: bool, at: int, prefix, suffix) -> tuple:
-    return (uid, k, closed, at, *(x.astype("<u4").tobytes() for x in (*prefix, *suffix)))
+def _row(sizes, uid: int, k: int, closed: bool, at: int, prefix, suffix) -> tuple:
+    return (uid, k, closed, at, *(_bytes(x, size) for part in (prefix, suffix) for x, size in zip(part, sizes, strict=True)))
 
 
 def _fragments(sizes):
@@ -349,19 +401,19 @@ def _fragments(sizes):
             out = []
             for row in range(batch.num_rows):
                 uid, k, a_from, b_from = (batch.column(c)[row].as_py() for c in ("uid", "k", "a_from", "b_from"))
-                a, b = (_ids(batch.column(c)[row]) for c in ("a", "b"))
+                a, b = (_ids(batch.column(c)[row], size) for c, size in zip(("a", "b"), sizes, strict=True))
                 parts = split(a, b, a_from, b_from, sizes)
                 if parts is None:
-                    out.append(_row(uid, k, False, -1, (a, b), _NONE))
+                    out.append(_row(sizes, uid, k, False, -1, (a, b), _NONE))
                 else:
                     in_a, in_b = parts
-                    out.append(_row(uid, k, False, k, (a[: in_a.start], b[: in_b.start]), (a[in_a.stop :], b[in_b.stop :])))
+                    out.append(_row(sizes, uid, k, False, k, (a[: in_a.start], b[: in_b.start]), (a[in_a.stop :], b[in_b.stop :])))
             yield _fragment_rows(out)
 
     return run
 
 
-def _composed(fan: int):
+def _composed(sizes, fan: int):
     """Neighbouring fragments composed ``fan`` at a time; rows are sorted by uid and k.  Closed groups come as rows too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -370,19 +422,19 @@ def _composed(fan: int):
             out: list[tuple] = []
             for row in range(batch.num_rows):
                 uid, k, at = (batch.column(c)[row].as_py() for c in ("uid", "k", "at"))
-                ids = [_ids(batch.column(c)[row]) for c in _FRAGMENT_NAMES[4:]]
+                ids = [_ids(batch.column(c)[row], size) for c, size in zip(_FRAGMENT_NAMES[4:], (*sizes, *sizes), strict=True)]
                 if (uid, k // fan) != key:
                     if key:
-                        out.append(_row(*key, False, held.at, held.prefix, held.suffix))
+                        out.append(_row(sizes, *key, False, held.at, held.prefix, held.suffix))
                     key, held = (uid, k // fan), EMPTY
                 held = compose(
                     held,
                     Fragment(at, tuple(ids[:2]), tuple(ids[2:])),
-                    lambda at, group, uid=uid, out=out: out.append(_row(uid, at, True, at, group, _NONE)),
+                    lambda at, group, uid=uid, out=out: out.append(_row(sizes, uid, at, True, at, group, _NONE)),
                 )
             yield _fragment_rows(out)
         if key:
-            yield _fragment_rows([_row(*key, False, held.at, held.prefix, held.suffix)])
+            yield _fragment_rows([_row(sizes, *key, False, held.at, held.prefix, held.suffix)])
 
     return run
 
@@ -394,7 +446,7 @@ def crossing_groups(chunks: DataFrame, sizes, fan: int = FAN) -> DataFrame:
     most = chunks.agg(F.max("n_chunks")).head()[0] or 0
     while most:
         dealt = level.repartition("uid", F.floor(F.col("k") / fan)).sortWithinPartitions("uid", "k")
-        done = staged_rows(dealt.mapInArrow(_composed(fan), _FRAGMENT), "fragments")
+        done = staged_rows(dealt.mapInArrow(_composed(sizes, fan), _FRAGMENT), "fragments")
         found.append(done.filter("closed"))
         level = done.filter("not closed")
         most = 0 if most <= fan else -(-most // fan)
@@ -411,11 +463,12 @@ def _whole(sizes):
         for batch in batches:
             columns = ([], [])
             for row in range(batch.num_rows):
-                a, b, crossing_a, crossing_b = (_ids(batch.column(c)[row]) for c in ("a", "b", "group_a", "group_b"))
+                held = zip(("a", "b", "group_a", "group_b"), (*sizes, *sizes), strict=True)
+                a, b, crossing_a, crossing_b = (_ids(batch.column(c)[row], size) for c, size in held)
                 parts = split(a, b, *(batch.column(c)[row].as_py() for c in ("a_from", "b_from")), sizes)
                 in_a, in_b = parts or (slice(0, 0), slice(0, 0))
                 for side, x, y in ((0, crossing_a, a[in_a]), (1, crossing_b, b[in_b])):
-                    columns[side].append(np.concatenate((x, y)).astype("<u4").tobytes())
+                    columns[side].append(_bytes(np.concatenate((x, y)), sizes[side]))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("uid", "doc_id", "k")), *(pa.array(c, pa.binary()) for c in columns)],
                 ["uid", "doc_id", "k", "a", "b"],
@@ -444,14 +497,14 @@ def whole_chunks(tokens: DataFrame, sizes, fan: int = FAN) -> tuple[DataFrame, D
 
 def _parts(batch: pa.RecordBatch, sizes) -> Iterator[tuple[int, int, Aligned, np.ndarray, np.ndarray]]:
     """Rows taken together up to a bound: (first, one past the last, alignment, ids of each row in both)."""
-    raw = [[_ids(x) for x in batch.column(c)] for c in ("a", "b")]
+    raw = [[_ids(x, size) for x in batch.column(c)] for c, size in zip(("a", "b"), sizes, strict=True)]
     start = 0
     while start < batch.num_rows:
         stop, size = start, 0
         while stop < batch.num_rows and size < PIECE // 4:
             size += len(raw[0][stop])
             stop += 1
-        a, b = (np.concatenate(r[start:stop]) for r in raw)
+        a, b = (np.concatenate(r[start:stop]).astype(np.uint32) for r in raw)
         counts = [np.array([len(x) for x in r[start:stop]], np.int64) for r in raw]
         yield start, stop, Aligned(a, b, sizes), *counts
         start = stop
@@ -585,7 +638,7 @@ def _row_pairs(sizes):
         for batch in batches:
             uids = batch.column("uid").to_numpy()
             for row in range(batch.num_rows):
-                x = Aligned(*(_ids(batch.column(c)[row]) for c in ("a", "b")), sizes)
+                x = Aligned(*(_ids(batch.column(c)[row], size) for c, size in zip(("a", "b"), sizes, strict=True)), sizes)
                 pairs, n = np.unique(x.pairs, return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(pairs), uids[row])), pa.array(pairs), pa.array(n)], ["uid", "pair", "n"]
@@ -609,7 +662,7 @@ def aligned(
     both = Tokenizers(path_a, path_b)
     if not both.cuts:
         raise ValueError("tokens of the second tokenizer hold blanks behind other characters")
-    sizes = tuple(np.array([len(t) for t in table], np.int64) for table in (both.bytes_a, both.bytes_b))
+    sizes = both.sizes
     tokens = tokens_of(docs, path_a, path_b, chunk)
     kind = dict(tokens.dtypes)["doc_id"]
     short, long = whole_chunks(tokens, sizes, fan)

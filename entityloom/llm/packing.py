@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.common import staged_rows, with_uid
 from entityloom.llm.mixing import on_a_line
-from entityloom.llm.tokens import MEMORY_WORDS, encoded
+from entityloom.llm.tokens import encoded
 
 LENGTH = 2048
 
@@ -49,45 +49,48 @@ class _Plan:
         return min(int(self.left[n]) // lengths.count(n) for n in lengths)
 
 
-def _single(plan: _Plan, gap: int) -> list[list[int]]:
-    return [[gap]]
+def _single(plan: _Plan, gap: int) -> Iterator[list[int]]:
+    if plan.left[gap]:
+        yield [gap]
 
 
-def _pairs(plan: _Plan, gap: int) -> list[list[int]]:
-    """Pairs that fill the gap, the most unequal first."""
+def _pairs(plan: _Plan, gap: int) -> Iterator[list[int]]:
+    """All pairs that fill the gap, the most unequal first, as long as both lengths are left."""
     small = np.arange(1, gap // 2 + 1)
-    ok = (plan.left[small] > 0) & (plan.left[gap - small] > 0)
-    return [[int(gap - s), int(s)] for s in small[ok][:64]]
+    for s in small[(plan.left[small] > 0) & (plan.left[gap - small] > 0)].tolist():
+        if plan.left[s] and plan.left[gap - s]:
+            yield [gap - s, s]
 
 
-def _triples(plan: _Plan, gap: int) -> list[list[int]]:
-    """For each available first piece, large ones first, the pairs that its rest is a sum of."""
+def _triples(plan: _Plan, gap: int) -> Iterator[list[int]]:
+    """For each available first piece, large ones first, all pairs that its rest is a sum of."""
     have = (plan.left[: gap + 1] > 0).astype(np.float64)
     have[0] = 0
     size = 1 << (2 * gap + 1).bit_length()
     spectrum = np.fft.rfft(have, size)
     pair_sums = np.rint(np.fft.irfft(spectrum * spectrum, size)[: gap + 1])
-    firsts = np.flatnonzero((have > 0) & (pair_sums[gap - np.arange(gap + 1)] > 0))[::-1]
-    return [[int(a), *pair] for a in firsts[:64] for pair in _pairs(plan, gap - int(a))[:8]]
+    for a in np.flatnonzero((have > 0) & (pair_sums[gap - np.arange(gap + 1)] > 0))[::-1].tolist():
+        if plan.left[a]:
+            for pair in _pairs(plan, gap - a):
+                yield [a, *pair]
 
 
 def _complements(plan: _Plan, length: int, most: int) -> None:
     """Pieces below the full length, long ones first, with one to ``most`` exact complements.
 
     Single complements go first for all pieces, since combinations of short pieces could
-    otherwise take the only partner of another piece.
+    otherwise take the only partner of another piece.  Combinations are walked until the piece is
+    used up or none is left; what can still be combined then needs a length more often than it is there.
     """
     for combos in (_single, _pairs, _triples)[:most]:
         for base in range(length - 1, 0, -1):
-            while plan.left[base]:
-                done = False
+            if plan.left[base]:
                 for combo in combos(plan, length - base):
                     times = plan.most([base, *combo])
                     if times:
                         plan.use([base, *combo], times)
-                        done = True
-                if not done:
-                    break
+                    if not plan.left[base]:
+                        break
 
 
 def _best_fit(plan: _Plan, length: int) -> None:
@@ -145,12 +148,12 @@ def plan_sequences(counts: np.ndarray, length: int = LENGTH) -> dict[str, np.nda
     return {"size": table[:, 0], "rank": table[:, 1], "sequence": table[:, 2], "offset": table[:, 3], "n": np.array([sequence])}
 
 
-def _pieces(tokenizer: str, end_id: int, length: int, words: int):
+def _pieces(tokenizer: str, end_id: int, length: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("doc_id")
             rows, pieces, starts, sizes, crcs = [], [], [], [], []
-            for row, ids in encoded(batch.column("text"), tokenizer, words):
+            for row, ids in encoded(batch.column("text"), tokenizer):
                 raw = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(raw), length)):
                     part = raw[start : start + length]
@@ -173,17 +176,12 @@ def _pieces(tokenizer: str, end_id: int, length: int, words: int):
     return cut
 
 
-def token_pieces(
-    docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, words: int = MEMORY_WORDS
-) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): documents cut where they are longer than a sequence.
-
-    ``words`` bounds the memory of the encoder in a worker.
-    """
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32): documents cut where they are longer than a sequence."""
     narrow = docs.select("doc_id", "text")
     kind = dict(narrow.dtypes)["doc_id"]
     return narrow.mapInArrow(
-        _pieces(tokenizer, end_id, length, words), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
+        _pieces(tokenizer, end_id, length), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     )
 
 

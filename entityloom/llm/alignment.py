@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import staged_rows, with_uid
+from entityloom.llm.common import give_back, staged_rows, with_uid
 from entityloom.llm.tokens import WordMemory, split_units, spread
 from entityloom.session import scratch_path
 
@@ -245,7 +245,7 @@ def _encode(path_a: str, path_b: str):
                     ["uid", "doc_id", "k", "n_chunks", "same", "a", "b", "a_from", "b_from"],
                 )
                 start = stop
-        pa.default_memory_pool().release_unused()
+            give_back()
 
     return run
 

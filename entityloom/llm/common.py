@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from entityloom.session import scratch_path
 
@@ -24,6 +29,24 @@ def staged_rows(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """Driver-made rows as a frame, handed over as Arrow: rows handed over as Python objects would be
+    converted by Python workers on executors, a pool of their own that then stays."""
+    fields = to_arrow_schema(T.DataType.fromDDL(schema) if isinstance(schema, str) else schema)
+    columns = list(zip(*rows, strict=True)) or [()] * len(fields)
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=fields), schema)
+
+
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system, since its worker process stays for later tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def with_uid(df: DataFrame) -> DataFrame:
     """A unique number for each row, in ``uid``; it is fixed once the result is staged."""
     return df.withColumn("uid", F.monotonically_increasing_id())

@@ -5,7 +5,7 @@ documents.  A text is cut into short frames; each frame is compressed with every
 the language with the smallest total wins.  Where the two best are close, the answer is rejected.
 
 The sample is at most about 2 x ``SAMPLE_DOCS`` documents of each language, chosen by a hash of
-the doc_id, of which ``SAMPLE_CHARS`` characters are used, and ``DICT_BYTES`` in all.  The
+the doc_id (one text of each), of which ``SAMPLE_CHARS`` characters are used, and ``DICT_BYTES`` in all.  The
 number of languages must be one that a driver can hold dictionaries for.
 
 Defined results: a NULL text, or one without a letter, is ``und`` with score 0, and not accepted;
@@ -16,16 +16,18 @@ repeated rows need no rule; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entityloom.llm.common import give_back
+
 SAMPLE_DOCS, SAMPLE_CHARS, DICT_BYTES = 100, 1_200, 64_000
 FRAME_BYTES = 4_096
 LEVEL = 6
@@ -36,7 +38,7 @@ MIN_MARGIN = 0.003
 #: Relative distance that counts as one natural unit in the score.
 SCALE = 0.02
 UNKNOWN = "und"
-_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_LETTER = regex.compile(r"\P{L}+")
 
 
 def plain_letters(text: str) -> bytes:
@@ -60,6 +62,9 @@ def dictionaries(docs: DataFrame, usable: Column) -> dict[str, bytes]:
         rows.filter(share < F.element_at(limits, F.col("lang")))
         .select("lang", "doc_id", share.alias("share"), F.substring("text", 1, 8 * SAMPLE_CHARS).alias("text"))
         .filter("text is not null")
+        # One text for each doc_id: a doc_id that many rows repeat is one document of the sample.
+        .groupBy("lang", "doc_id", "share")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     out: dict[str, list[bytes]] = {}
@@ -116,10 +121,17 @@ def _judged(content: dict[str, bytes]):
             columns = [pa.array(x, t) for x, t in zip(zip(*found, strict=True), _TYPES, strict=True)] if found else [pa.array([], t) for t in _TYPES]
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*kept, *columns], [*batch.schema.names[:-1], "lang_pred", "score", "margin"])
+        _release()
 
     return run
 
 
+def _release() -> None:
+    """A worker goes on to other work: it does not keep dictionaries."""
+    _compressors.cache_clear()
+    give_back()
+
+
 _TYPES = (pa.string(), pa.float64(), pa.float64())
 
 
@@ -140,5 +152,6 @@ def accepted_rows(docs: DataFrame, content: dict[str, bytes]) -> DataFrame:
             text = batch.column(at)
             found = [judge(text[i].as_py(), names, raws) for i in range(batch.num_rows)]
             yield batch.filter(pa.array([x[0] != UNKNOWN and x[2] >= MIN_MARGIN for x in found], pa.bool_()))
+        _release()
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,9 +1,10 @@
 """Quality rules from the frequency of lines across the documents of a host.
 
 Normalised lines are hashed; for each host and hash the documents that hold the line are
-counted.  A line in more than ``max_docs`` documents and more than ``max_share`` of its host's
-documents is removed; a document of which too little is left is rejected.  DataFrame functions
-only: no Python runs on executors.
+counted.  A line in more than ``max_docs`` documents of its host is removed, however large the host
+is; a document of which too little is left is rejected.  DataFrame functions only: no Python runs
+on executors.  (A caller may ask for ``max_share`` of the host's documents besides; the bar then grows with
+the host, and boilerplate of large hosts stays.)
 
 Defined results: a NULL text has no words; a NULL source is a host of its own; each row is a
 document of its own, also when rows or doc_ids repeat; an empty table gives an empty result;
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import BLANK, WORD, staged_rows, with_uid, words_of
+from entityloom.llm.common import BLANK, WORD, addressed, columns_named, staged_rows, with_uid, words_of
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -25,10 +26,10 @@ WINDOW = 5
 
 @dataclass(frozen=True)
 class Limits:
-    """Lines above both limits go; documents below either of the last two are rejected."""
+    """Lines above the first limit (and the second, if given) go; documents below either of the last two are rejected."""
 
     max_docs: int = 10
-    max_share: float = 0.01
+    max_share: float = 0.0
     min_left_words: int = 10
     min_left_share: float = 0.5
 
@@ -101,13 +102,15 @@ def base_counts(docs: DataFrame) -> DataFrame:
 
 def frequent_lines(counts: DataFrame, limits: Limits) -> DataFrame:
     """(host, line) of the lines above the limits; counted with partial sums before the shuffle."""
-    sizes = counts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     seen = (
         counts.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line"))
         .groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .filter(F.col("n_docs") > limits.max_docs)
     )
+    if not limits.max_share:
+        return seen.select("host", "line")
+    sizes = counts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
     return (
         seen.alias("s")
         .join(sizes.alias("h"), F.col("s.host").eqNullSafe(F.col("h.host")))
@@ -157,18 +160,26 @@ def line_rules(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def without_frequent_lines(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """``docs`` with the lines above the limits taken out of ``text``; other columns as they are."""
-    frequent = staged_rows(frequent_lines(with_uid(base_counts(docs)), limits), "frequent-lines")
-    by_host = frequent.groupBy("host").agg(F.collect_set("line").alias("lines"))
-    plain = lambda x: F.trim(F.regexp_replace(F.lower(x), BLANK, " "))
-    kept = F.filter(
-        F.split(F.col("d.text"), "\n"),
-        lambda x: ~F.coalesce(F.array_contains(F.col("f.lines"), F.xxhash64(plain(x))), F.lit(False)),
-    )
-    joined = docs.alias("d").join(by_host.alias("f"), F.col("d.source").eqNullSafe(F.col("f.host")), "left")
-    return joined.select(
-        *[F.array_join(kept, "\n").alias("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns]
+    """``docs`` with the lines above the limits taken out of ``text``; other columns as they are.
+
+    Lines meet as hashes; what comes back to a document is the list of its own frequent lines.
+    """
+    rows, file, at = addressed(docs)
+    own = columns_named(rows, "line_", "gone", "file", "at")
+    plain = lambda x: F.xxhash64(F.trim(F.regexp_replace(F.lower(x), BLANK, " ")))
+    held = F.array_distinct(F.transform(F.split("text", "\n"), plain))
+    lines = rows.select(F.col(file).alias("f"), F.col(at).alias("a"), F.col("source").alias("host"), F.explode(held).alias("line"))
+    frequent = staged_rows(frequent_lines(base_counts(docs), limits), "frequent-lines")
+    gone = (
+        lines.alias("l")
+        .join(frequent.alias("q"), F.col("l.host").eqNullSafe(F.col("q.host")) & (F.col("l.line") == F.col("q.line")))
+        .groupBy(F.col("f").alias(own["file"]), F.col("a").alias(own["at"]))
+        .agg(F.collect_set("l.line").alias(own["gone"]))
     )
+    joined = rows.join(gone, (F.col(file) == F.col(own["file"])) & (F.col(at) == F.col(own["at"])), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x: ~F.array_contains(F.col(own["gone"]), plain(x)))
+    text = F.when(F.col(own["gone"]).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return joined.withColumn("text", text).select(*docs.columns)
 
 
 def sql(limits: Limits = Limits()) -> str:

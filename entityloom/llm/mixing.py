@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows, with_uid
+from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, small_frame, staged_rows, with_uid
 
 #: Stretches of the seeded order whose sums are accumulated first; a window then orders one of them.
 BUCKET_BITS = 12
@@ -176,7 +176,8 @@ def draw(rows: DataFrame, quotas: dict, repeats: int = 2, seed: int = 7, totals:
     per_pattern: dict[str, list] = {p: [] for p in totals}
     for p, use, source, start, end in stretches:
         per_pattern[p].append((use, source, start, end))
-    table = spark.createDataFrame(
+    table = small_frame(
+        spark,
         list(per_pattern.items()),
         "pattern string, stretches array<struct<use: int, source: string, start: long, end: long>>",
     )
@@ -219,7 +220,7 @@ def _take(lacks: dict, drawn: DataFrame) -> None:
 def _fitting(idle: DataFrame, lacks: dict, patterns: list[str]) -> DataFrame:
     """The rows that one of their sources lacks room for."""
     most = [(p, max((lacks.get(s, 0) for s in json.loads(p)), default=0)) for p in patterns]
-    limits = idle.sparkSession.createDataFrame(most, "pattern string, most long")
+    limits = small_frame(idle.sparkSession, most, "pattern string, most long")
     return idle.join(limits, "pattern").filter("size <= most").select(*idle.columns)
 
 
@@ -229,14 +230,14 @@ def _closed(idle: DataFrame, lacks: dict, patterns: list[str], repeats: int, see
     What fits only shrinks, so each round goes on from the rows of the one before.
     """
     spark = idle.sparkSession
-    taken = spark.createDataFrame([], "uid long, use int, source string")
+    taken = small_frame(spark, [], "uid long, use int, source string")
     while True:
         idle = staged_rows(_fitting(idle, lacks, patterns), "mix-idle")
         sums = {(r["pattern"], r["use"]): int(r["n"]) for r in idle.groupBy("pattern", "use").agg(F.sum("size").alias("n")).collect()}
         if not sums:
             return taken
         stretches = route({p: 0 for p in sorted({p for p, _ in sums})}, {s: max(0, n) for s, n in lacks.items()}, repeats, sums)
-        table = spark.createDataFrame(stretches, "pattern string, use int, source string, start long, end long")
+        table = small_frame(spark, stretches, "pattern string, use int, source string, start long, end long")
         inside = (F.col("at") >= F.col("start")) & (F.col("at") + F.col("size") <= F.col("end"))
         placed = on_a_line(idle, seed, ("pattern", "use")).join(table, ["pattern", "use"]).filter(inside)
         placed = staged_rows(placed.select("uid", "use", "source", "size"), "mix-more")
@@ -251,7 +252,7 @@ def _closed(idle: DataFrame, lacks: dict, patterns: list[str], repeats: int, see
             .collect()
         )
         chosen = [(u, use, s) for _, use, u, s in sorted(_fill(candidates, lacks), key=str)]
-        filled = spark.createDataFrame(chosen, taken.schema)
+        filled = small_frame(spark, chosen, taken.schema)
         taken = taken.unionByName(filled)
         idle = idle.join(filled.select("uid", "use"), ["uid", "use"], "left_anti")
 
@@ -287,8 +288,8 @@ def standard_mix(rows: DataFrame, repeats: int = 2) -> tuple[DataFrame, DataFram
     sizes = source_sizes(totals)
     targets = standard_targets(sizes, most=float(repeats))
     quotas = {s: round(t) for s, t in targets.items()}
-    facts = rows.sparkSession.createDataFrame(
-        [(s, sizes[s], float(targets[s])) for s in sizes], "source string, source_size long, target double"
+    facts = small_frame(
+        rows.sparkSession, [(s, sizes[s], float(targets[s])) for s in sizes], "source string, source_size long, target double"
     )
     return draw(rows, quotas, repeats, totals=totals), facts
 

@@ -21,7 +21,9 @@ independent hashes and their anchor's place.
 
 Defined results: a NULL text is empty; texts below ``LENGTH`` bytes stay whole; rows that repeat
 a doc_id are documents of their own, in the order of their address; a NULL doc_id comes after
-all others; no two rows share a key, however often a doc_id repeats; an empty table gives an empty result; only doc_id and text are read.
+all others; no two rows share a key, however often a doc_id repeats; an empty table gives an empty result; a
+very long text is searched in overlapping pieces (``PIECE_BYTES``), so its length costs time and no more than
+a few times its own size in memory; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -133,30 +135,45 @@ def _read_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     """Segments of each text; of those that are equal in a piece only the first, the others as repeated."""
     schema = _schema(_SEGMENT)
     for batch in batches:
-        texts, start = batch.column("text"), 0
         ids, uids = batch.column("doc_id").to_numpy(), batch.column("uid").to_numpy()
-        while start < batch.num_rows:
-            part, size, stop = [], 0, start
-            while stop < batch.num_rows and size < PIECE_BYTES:
-                part.append(texts[stop].as_buffer() or b"")
-                size += len(part[-1])
-                stop += 1
-            sizes = np.fromiter(map(len, part), np.int64, len(part))
-            doc, first, count, h, g = segments_of(np.frombuffer(b"".join(part), np.uint8), sizes)
-            rank = np.empty(len(part), np.int64)
-            rank[np.lexsort((uids[start:stop], ids[start:stop]))] = np.arange(len(part))
-            by_h = np.argsort(h, kind="stable")
-            same = h[by_h][1:] == h[by_h][:-1]
-            twice = by_h[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-            twice = twice[np.lexsort((first[twice], rank[doc[twice]], g[twice], h[twice]))]
-            later = np.zeros(len(h), bool)
-            later[twice[1:][(h[twice][1:] == h[twice][:-1]) & (g[twice][1:] == g[twice][:-1])]] = True
-            rows = [h, g, doc, first, count]
-            yield _table(_named(ids, uids, start, *(x[~later] for x in rows)) + [np.zeros((~later).sum(), bool)], schema)
-            rd, rf, rc = _runs(doc[later], first[later], count[later])
-            spread = _mixed((ids[start + rd].view(np.uint64) + rf.astype(np.uint64)) * np.uint64(_BASE)).view(np.int64)
-            yield _table(_named(ids, uids, start, spread, np.zeros(len(rd)), rd, rf, rc) + [np.ones(len(rd), bool)], schema)
-            start = stop
+        row_rank = np.empty(batch.num_rows, np.int64)
+        row_rank[np.lexsort((uids, ids))] = np.arange(batch.num_rows)
+        part, size = [], 0
+        for piece in _text_pieces(batch.column("text")):
+            part.append(piece)
+            size += len(piece[2])
+            if size >= PIECE_BYTES:
+                yield from _part_segments(part, ids, uids, row_rank, schema)
+                part, size = [], 0
+        if part:
+            yield from _part_segments(part, ids, uids, row_rank, schema)
+
+
+def _text_pieces(texts: pa.Array) -> Iterator[tuple[int, int, memoryview]]:
+    """(row, place, bytes): pieces of texts that overlap by what a string needs, so that each starts in one."""
+    for row, text in enumerate(texts):
+        raw = memoryview(text.as_buffer() or b"")
+        for place in range(0, max(len(raw) - LENGTH + 1, 1), PIECE_BYTES):
+            yield row, place, raw[place : place + PIECE_BYTES + LENGTH - 1]
+
+
+def _part_segments(part: list, ids: np.ndarray, uids: np.ndarray, row_rank: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Segments of some pieces, repeated ones apart.  A segment cut by the end of a piece is two, which meet later."""
+    row_of, place_of_piece = (np.array([p[i] for p in part], np.int64) for i in (0, 1))
+    sizes = np.fromiter((len(p[2]) for p in part), np.int64, len(part))
+    piece, first, count, h, g = segments_of(np.frombuffer(b"".join(p[2] for p in part), np.uint8), sizes)
+    doc, first = row_of[piece], first + place_of_piece[piece]
+    by_h = np.argsort(h, kind="stable")
+    same = h[by_h][1:] == h[by_h][:-1]
+    twice = by_h[np.concatenate(([False], same)) | np.concatenate((same, [False]))] if len(h) else by_h
+    twice = twice[np.lexsort((first[twice], row_rank[doc[twice]], g[twice], h[twice]))]
+    later = np.zeros(len(h), bool)
+    later[twice[1:][(h[twice][1:] == h[twice][:-1]) & (g[twice][1:] == g[twice][:-1])]] = True
+    rows = [h, g, doc, first, count]
+    yield _table(_named(ids, uids, 0, *(x[~later] for x in rows)) + [np.zeros((~later).sum(), bool)], schema)
+    rd, rf, rc = _runs(doc[later], first[later], count[later])
+    spread = _mixed((ids[rd].view(np.uint64) + rf.astype(np.uint64)) * np.uint64(_BASE)).view(np.int64)
+    yield _table(_named(ids, uids, 0, spread, np.zeros(len(rd)), rd, rf, rc) + [np.ones(len(rd), bool)], schema)
 
 
 def _named(ids, uids, start, h, g, doc, first, count) -> list:

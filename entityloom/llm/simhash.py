@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -181,17 +180,20 @@ def trie_links(x: np.ndarray, split: int | None, depth: int, budget: int = BUDGE
     return groups.root
 
 
-def _links_of_group(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    low, high, depth = (int(k) for k in key)
-    x = np.sort(pdf["fp"].to_numpy().view(np.uint64))
+_LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def _links_of_group(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    low, high, depth = (k.as_py() for k in key)
+    x = np.sort(table.column("fp").to_numpy().view(np.uint64))
     split = None
     if low != high:
         split = int(np.searchsorted(x, np.uint64(high << (64 - depth))))
         if split in (0, len(x)):
-            return pd.DataFrame({"u": np.empty(0, np.int64), "v": np.empty(0, np.int64)})
+            return _LINKS.empty_table()
     root = trie_links(x, split, depth)
     child = np.flatnonzero(root != np.arange(len(x)))
-    return pd.DataFrame({"u": x[child].view(np.int64), "v": x[root[child]].view(np.int64)})
+    return pa.Table.from_arrays([pa.array(x[child].view(np.int64)), pa.array(x[root[child]].view(np.int64))], schema=_LINKS)
 
 
 def hamming_links(fps: DataFrame, budget_bits: int = BUDGET) -> DataFrame:
@@ -208,7 +210,7 @@ def hamming_links(fps: DataFrame, budget_bits: int = BUDGET) -> DataFrame:
         F.greatest("node", other).alias("high"),
         F.lit(depth).alias("depth"),
     )
-    return dealt.groupBy("low", "high", "depth").applyInPandas(_links_of_group, "u long, v long")
+    return dealt.groupBy("low", "high", "depth").applyInArrow(_links_of_group, "u long, v long")
 
 
 def near_duplicates(placed: DataFrame, file: str, at: str) -> DataFrame:

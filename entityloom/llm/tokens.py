@@ -8,6 +8,7 @@ special tokens) is handed over whole.  The ids equal those of the whole text in
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable
 from functools import lru_cache
 
@@ -17,8 +18,13 @@ import pyarrow.compute as pc
 import xxhash
 from tokenizers import Tokenizer
 
+from entityloom.llm.common import give_back
+
+# A task has one core; threads of the library would only hold memory of their own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 #: Texts are taken together up to so many bytes.
-PIECE = 3_000_000
+PIECE = 1_500_000
 #: Words remembered by a worker process, about 60 bytes each; above it those not met of late are forgotten.
 MEMORY_WORDS = 700_000
 _MARK = "\u241e"
@@ -241,4 +247,4 @@ def encoded(texts: pa.Array, path: str, words: int = MEMORY_WORDS) -> Iterable[t
             at += 1
         yield from zip(range(start, at), enc.encode(part), strict=True)
         start = at
-    pa.default_memory_pool().release_unused()
+    give_back()

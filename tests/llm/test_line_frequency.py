@@ -44,6 +44,15 @@ def test_equal_to_sql(docs):
     compare(docs(sample()), lf.Limits(max_docs=1, max_share=0.0, min_left_words=3, min_left_share=0.9))
 
 
+def test_the_limit_does_not_grow_with_the_host(docs):
+    """A line on 15 of 2,500 documents of a host goes; one on 10 of them stays."""
+    rows = [(i, f"body {i} of its own\n" + ("fifteen times the same" if i < 15 else "ten times the same" if i < 25 else "x y"), "h", "en") for i in range(2500)]
+    rows = [(*r[:1], r[1] if r[0] < 25 else f"body {r[0]} a b c d e f g h i j", *r[2:]) for r in rows]
+    got = {r[0]: r[8] for r in compare(docs(rows))}
+    assert [got[i] for i in (0, 14, 15, 24, 25)] == [4, 4, 0, 0, 0]
+    compare(docs(rows[:300]), lf.Limits(max_share=0.05))
+
+
 def test_repeated_windows(docs):
     text = "a b c d e f a b c d e g a b c d e"
     (row,) = compare(docs([(1, text, "h", "en")]))

@@ -142,3 +142,15 @@ def test_blocks_get_different_keys(spark):
     meeting = lambda file, block, salt: F.col("block") if salt < 2 else F.xxhash64(F.lit(salt), file, block)
     assert repeats._blocks(blocks, meeting) == (12, 2)
     assert repeats._blocks(blocks.limit(0)) == (0, 0)
+
+
+def test_very_long_text_in_pieces(spark, docs):
+    """A text of several pieces; copies of what lies across their ends are found, and nothing else."""
+    rng = np.random.default_rng(2)
+    text = rng.integers(97, 123, 2 * repeats.PIECE_BYTES + 300_000).astype(np.uint8).tobytes().decode()
+    end = repeats.PIECE_BYTES
+    rows = [(1, text)] + [(10 + k, text[end - 500 + k : end + 500 + k]) for k in (0, 450, 499, 550)]
+    rows += [(30, "x" * 40 + text[2 * end - 1000 : 2 * end + 30] + "y" * 40), (40, text[end - 99 : end])]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.without_repeats(docs(rows)).collect()}
+    assert got[1] == (0, 0) and got[30] == (1030, 1) and got[40] == (0, 0)
+    assert {got[10 + k] for k in (0, 450, 499, 550)} == {(1000, 1)}

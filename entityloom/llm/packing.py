@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from entityloom.llm.common import staged_rows, with_uid
 from entityloom.llm.mixing import on_a_line
-from entityloom.llm.tokens import encoded
+from entityloom.llm.tokens import encoded, forget
 
 LENGTH = 2048
 
@@ -148,7 +148,7 @@ def plan_sequences(counts: np.ndarray, length: int = LENGTH) -> dict[str, np.nda
     return {"size": table[:, 0], "rank": table[:, 1], "sequence": table[:, 2], "offset": table[:, 3], "n": np.array([sequence])}
 
 
-def _pieces(tokenizer: str, end_id: int, length: int):
+def _pieces(tokenizer: str, end_id: int, length: int, keep: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("doc_id")
@@ -172,16 +172,22 @@ def _pieces(tokenizer: str, end_id: int, length: int):
                 ],
                 ["doc_id", "piece", "start", "length", "ids_crc32"],
             )
+        if not keep:
+            forget()
 
     return cut
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): documents cut where they are longer than a sequence."""
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, length: int = LENGTH, keep: bool = True) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32): documents cut where they are longer than a sequence.
+
+    Without ``keep`` a worker drops its encoder at the end of a task: tasks start slower, and the worker
+    is small when other stages follow.
+    """
     narrow = docs.select("doc_id", "text")
     kind = dict(narrow.dtypes)["doc_id"]
     return narrow.mapInArrow(
-        _pieces(tokenizer, end_id, length), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
+        _pieces(tokenizer, end_id, length, keep), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long"
     )
 
 

@@ -1,10 +1,10 @@
 """A quality classifier on learned subword embeddings.
 
-The features of a text are its words, pairs of adjacent words and runs of three and four bytes,
-hashed into buckets.  Each bucket has a learned vector; the mean of a document's vectors goes
+The features of a text are its words, pairs of adjacent words and runs of three and four characters
+(code points), hashed into buckets.  Each bucket has a learned vector; the mean of a document's vectors goes
 through a softmax over the two labels.  Vectors and output are trained together by stochastic
 gradient descent in numpy, on a bounded sample: about ``SAMPLE_DOCS`` labelled documents chosen by
-a hash of the doc_id, of each of which ``SAMPLE_BYTES`` are used.
+a hash of the doc_id (one text of each), of each of which ``SAMPLE_CHARS`` characters are used.
 
 Since the mean and the output are linear up to the softmax, a bucket enters a score by one
 number; scoring whole texts is one table look-up for each feature.
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 BUCKET_BITS = 17
 DIMENSION = 8
 EPOCHS, RATE = 6, 0.5
-SAMPLE_DOCS, SAMPLE_BYTES = 3_000, 2_000
-#: Texts are scored in pieces of about this many bytes.
-PIECE_BYTES = 2_000_000
+SAMPLE_DOCS, SAMPLE_CHARS = 3_000, 2_000
+#: Texts are scored in pieces of about this many characters.
+PIECE_CHARS = 2_000_000
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 #: A word followed by itself is one feature, whatever the word.
 _SELF_PAIR = np.uint64(0x5EED)
@@ -48,10 +48,10 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def features(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, document) of each feature; ``raw`` holds the texts' bytes, each behind one blank.
+    """(bucket, document) of each feature; ``raw`` holds the texts' code points, each behind one blank.
 
     ``starts`` are the places of those blanks.  No feature spans two documents, since words and
-    byte runs are cut at them.
+    runs are cut at them.
     """
     n = len(raw)
     doc_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
@@ -85,10 +85,10 @@ def features(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of texts, each behind one blank, and where they start."""
-    parts = [b" " + (t or "").encode("utf-8", "replace") for t in texts]
+    """The code points of texts, each behind one blank, and where they start."""
+    parts = [f" {t or ''}" for t in texts]
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes
+    return np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32), np.cumsum(sizes) - sizes
 
 
 @dataclass
@@ -147,9 +147,12 @@ def learned(docs: DataFrame, labels: DataFrame, usable: Column) -> Model:
     share = F.xxhash64(F.lit("quality"), "doc_id").bitwiseAND(F.lit(2**31 - 1)) / float(2**31)
     sample = known.filter(share < min(1.0, SAMPLE_DOCS / max(1, known.count())))
     rows = (
-        docs.select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+        docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
         .join(sample, "doc_id")
         .filter("text is not null")
+        # One text for each doc_id, however many rows repeat it.
+        .groupBy("doc_id", "quality")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
@@ -164,7 +167,7 @@ def _scorer(model: Model):
             text, start, found = batch.column(batch.num_columns - 1), 0, []
             while start < batch.num_rows:
                 part, size, at = [], 0, start
-                while at < batch.num_rows and size < PIECE_BYTES:
+                while at < batch.num_rows and size < PIECE_CHARS:
                     part.append(text[at].as_py())
                     size += len(part[-1] or "")
                     at += 1

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, place_of, sender_of, staged_rows
+from entityloom.llm.common import addressed, bitmaps_of, by_bitmap, give_back, place_of, sender_of, staged_rows
 from entityloom.llm.components import components
 
 SEED = 42
@@ -93,6 +93,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             start = at
         kept = [batch.column(c) for c in ("doc_id", "sender", "place")]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(fps.view(np.int64))], ["doc_id", "sender", "place", "fp"])
+    give_back()
 
 
 def fingerprints(placed: DataFrame, file: str, at: str) -> DataFrame:

@@ -236,6 +236,12 @@ def encoder(path: str, words: int) -> Encoder:
     return Encoder(path, words)
 
 
+def forget() -> None:
+    """Drop the encoder of this worker, for tasks after which the worker goes on to other work."""
+    encoder.cache_clear()
+    give_back()
+
+
 def encoded(texts: pa.Array, path: str, words: int = MEMORY_WORDS) -> Iterable[tuple[int, np.ndarray]]:
     """(row, ids) for each text of an Arrow array, NULL as empty; a bounded piece is held at a time."""
     enc, start = encoder(path, words), 0

@@ -1,10 +1,12 @@
 import os
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from entityloom.llm import language, quality, queries
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.01"
 needs_data = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
@@ -35,9 +37,9 @@ def test_quality_accuracy_on_held_out(spark):
 
 
 def brute_features(text):
-    """Buckets by plain integers, byte by byte."""
+    """Buckets by plain integers, character by character."""
     mask, base, mix = 2**64 - 1, quality._BASE, quality._MIX
-    raw = b" " + text.encode()
+    raw = [ord(c) for c in " " + text]
     bucket = lambda h: (((h ^ h >> 29) * mix) & mask) >> 64 - quality.BUCKET_BITS
     out = []
     for width in (3, 4):
@@ -46,7 +48,7 @@ def brute_features(text):
             for c in raw[i : i + width]:
                 h = (h * base + c + 1) & mask
             out.append(bucket((h + width) & mask))
-    words = [sum((c + 1) * pow(base, k, 2**64) for k, c in enumerate(w)) & mask for w in raw.split()]
+    words = [sum((c + 1) * pow(base, k, 2**64) for k, c in enumerate(map(ord, w))) & mask for w in re.findall("[^ \t-\r]+", text)]
     out += map(bucket, words)
     for a, b in zip(words, words[1:], strict=False):
         out.append(bucket(int(quality._SELF_PAIR) if a == b else (a * base + b * mix) & mask))
@@ -94,6 +96,16 @@ def test_odd_rows_and_empty_tables(spark, docs, tmp_path):
     assert queries.op10_quality(spark, f"{tmp_path}/b").collect() == []
 
 
+def test_numbers_are_no_letters_and_repeated_ids_one_document(spark, docs):
+    content = {"en": b"the cat sat on the mat and the dog", "de": b"die Katze und der Hund gingen heim"}
+    assert [language.judge(t, list(content), tuple(content.values()))[0] for t in ("²½ Ⅷ 3", "…", "x²")][:2] == ["und", "und"]
+    rows = [(1, f"text {i} the dog", "s", "en") for i in range(300)] + [(2, "der Hund und die Katze", "s", "de")]
+    got = language.dictionaries(docs(rows), F.lit(True))
+    assert len(got["en"]) < 40
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert quality.learned(docs(rows), labels, F.lit(True)).weight.any()
+
+
 def test_without_labels(spark, docs, tmp_path):
     docs([(1, "some text", "s", None)]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")

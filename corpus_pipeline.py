@@ -3,6 +3,11 @@
 Each stage reads the documents that its predecessor kept and hands on their columns; the last
 one returns packed pieces.  SQL can express neither the compressor nor the tokenizer; the chain
 is tested against a plain Python version.
+
+Defined results: NULL, empty and letterless texts go in the first stage; of equal texts and of a group of
+near ones a single row stays, chosen by length, then doc_id, then address; rows that repeat a doc_id
+are else rows of their own; an empty table gives an empty result; columns of any other name come through
+as they are up to the last stage; texts are taken whole, however long.
 """
 
 from __future__ import annotations
@@ -42,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids and their places in sequences."""
     path = public_tokenizers.path("word_bpe_49k.json")
-    return packing.packed(packing.token_pieces(docs, path, end_id=0))
+    return packing.packed(packing.token_pieces(docs, path, end_id=0, keep=False))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

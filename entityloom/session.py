@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,9 +49,51 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[context.applicationId]
 
 
+#: Scratch paths made in the innermost open scope; None outside any.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+#: Where staged frames lie, for as long as the frames are held.
+_STAGED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder; never reused, so reruns cannot mix results."""
-    return os.path.join(shared_dir(spark), "entityloom", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), "entityloom", f"{label}-{uuid.uuid4().hex}")
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever file system its path names; False if it is not there."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables staged inside are deleted at the end, also after an error.
+
+    Frames that read them must have been written elsewhere by then.  Threads started inside belong to
+    the scope if they run in a copy of the context (``contextvars.copy_context``).
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            delete_path(spark, path)
+
+
+def discard(*frames: DataFrame | None) -> None:
+    """Delete staged tables that no later step reads, as those of the round before last."""
+    for df in frames:
+        path = _STAGED.pop(df, None) if df is not None else None
+        if path is not None:
+            delete_path(df.sparkSession, path)
 
 
 def staged(
@@ -66,4 +112,6 @@ def staged(
     observed = df.observe(seen, *[expr.alias(name) for name, expr in wanted.items()])
     writer = observed.write.partitionBy(*partition_by) if partition_by else observed.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns), seen.get
+    read = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    _STAGED[read] = path
+    return read, seen.get

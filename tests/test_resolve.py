@@ -103,6 +103,39 @@ def test_chain(spark):
     assert set(result(resolve.transitive_clusters(df, "rank", keys)).values()) == {0}
 
 
+def counted_stages(monkeypatch):
+    """Labels of the tables that resolve stages from here on."""
+    labels, plain = [], resolve.staged
+
+    def counting(df, label, *more):
+        labels.append(label)
+        return plain(df, label, *more)
+
+    monkeypatch.setattr(resolve, "staged", counting)
+    return labels
+
+
+def test_long_chain_in_few_rounds(spark, monkeypatch):
+    """Each record waits for the one before: what is open after some rounds is walked by component."""
+    labels = counted_stages(monkeypatch)
+    rows = [(i, f"a{i // 2}", f"b{(i + 1) // 2}", None) for i in range(1000)]
+    df, keys = frame(spark, rows)
+    assert result(resolve.greedy_clusters(df, "rank", keys)) == greedy_model(rows)
+    assert labels.count("blocks") + labels.count("large") < 12 and labels.count("walked") == 1
+
+
+def test_large_components_go_on_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "SMALL_COMPONENT", 30)
+    monkeypatch.setattr(resolve, "FIRST_ROUNDS", 1)
+    labels = counted_stages(monkeypatch)
+    rows = [(i, f"a{i // 2}", f"b{(i + 1) // 2}", None) for i in range(24)]
+    rows += [(100 + i, f"c{i // 2}", f"d{(i + 1) // 2}", None) for i in range(10)]
+    rows += [(r[0] + 1000, *r[1:]) for r in sample(9, 60, 40)]
+    df, keys = frame(spark, rows)
+    assert result(resolve.greedy_clusters(df, "rank", keys)) == greedy_model(rows)
+    assert labels.count("walked") > 1 and labels.count("blocks") > 2
+
+
 def test_no_keys_and_no_rows(spark):
     df, keys = frame(spark, [(1, None, None, None), (2, " ", None, None)])
     assert result(resolve.greedy_clusters(df, "rank", keys)) == {1: 1, 2: 2}
@@ -147,7 +180,54 @@ def test_chain_crawled_twice_keeps_its_rows(spark, monkeypatch):
     pages = spark.createDataFrame(chain + chain, "url string, next_url string")
     got = follow_next(pages, "url", "next_url", pages.where("url = 'p0'")).collect()
     assert sorted((r.url, r.hop) for r in got) == [(f"p{i}", i) for i in range(10)]
-    assert [n for label, n in sizes if label == "jump"] == [9, 8, 6, 2, 0][: sum(label == "jump" for label, _ in sizes)]
+    # Every table has at most a row for each page: in each round fewer pages are left to rank.
+    assert max(n for _, n in sizes) == 10
+    left = [n for label, n in sizes if label == "active"]
+    assert left[0] == 9 and left == sorted(set(left), reverse=True) and left[-1] == 0
+
+
+def test_chains_with_many_starts_stay_linear(spark, monkeypatch):
+    from entityloom.operators import links
+
+    sizes, plain = [], links.staged
+
+    def counting(df, label, *more):
+        out, seen = plain(df, label, *more)
+        sizes.append(seen["n_rows"])
+        return out, seen
+
+    monkeypatch.setattr(links, "staged", counting)
+    n = 200
+    pages = spark.createDataFrame([(f"p{i:03}", f"p{i + 1:03}" if i + 1 < n else None) for i in range(n)], "url string, next string")
+    got = follow_next(pages, "url", "next", pages.where("url in ('p000', 'p050', 'p120')"))
+    want = {(f"p{s:03}", f"p{i:03}", i - s) for s in (0, 50, 120) for i in range(s, n)}
+    assert {tuple(r) for r in got.collect()} == want
+    assert max(sizes) <= n and len(sizes) < 30
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_follow_next_equals_a_walk(spark, seed):
+    """Branches, merges, cycles, pages crawled twice with different links, links to unknown pages."""
+    rnd = random.Random(seed)
+    n = 40
+    rows = [(f"p{i:02}", rnd.choice([f"p{i + 1:02}", f"p{i + 1:02}", f"p{rnd.randrange(n):02}", None, "gone", f"p{i:02}"])) for i in range(n)]
+    rows += [(f"p{i:02}", f"p{rnd.randrange(n):02}") for i in rnd.sample(range(n), 5 * (seed % 2))]
+    rows += [(f"c{i}", f"c{(i + 1) % 7}") for i in range(7)] + [("d1", "d0"), ("d0", "d1")]
+    starts = {r[0] for r in rnd.sample(rows, 8)} | {"c3", "d1", "nowhere"}
+    nexts = {}
+    for at, to in rows:
+        nexts.setdefault(at, set()).add(to)
+    want = set()
+    for start in starts & set(nexts):
+        seen, front, hop = {}, {start}, 0
+        while front:
+            seen |= {u: hop for u in front}
+            front = {t for u in front for t in nexts[u] if t in nexts and t not in seen}
+            hop += 1
+        want |= {(start, u, h) for u, h in seen.items()}
+    pages = spark.createDataFrame(rows, "url string, next string")
+    begin = spark.createDataFrame([(s,) for s in starts], "url string")
+    assert {tuple(r) for r in follow_next(pages, "url", "next", begin).collect()} == want
 
 
 def test_numbers_in_blocks(spark):

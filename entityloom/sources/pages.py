@@ -47,21 +47,32 @@ def _decode_other(body: pd.Series, charset: pd.Series) -> pd.Series:
     return pd.Series([one(r, n) for r, n in zip(body, charset)], dtype=object)
 
 
-def decode_body(body: Column, content_type: Column, other_charsets: bool = True) -> Column:
-    """Text of a page body.  NULL marks a body that its charset cannot read (a reject).
+def _native(charset: Column) -> tuple[Column, Column]:
+    """Whether a charset is UTF-8, and whether it is Latin-1."""
+    return charset.isin("utf-8", "utf8"), charset.isin("iso-8859-1", "latin-1", "latin1")
 
-    UTF-8 and Latin-1 stay in the JVM.  The Python function sees only the other rows:
-    for the rest its input is NULL.  With ``other_charsets`` off, unknown names read as UTF-8.
+
+def decode_native(body: Column, content_type: Column) -> Column:
+    """Text of a UTF-8 or Latin-1 body by the JVM's functions; other names read as UTF-8.
+
+    NULL marks a body that its charset cannot read (a reject).
     """
-    charset = charset_of(content_type)
-    utf8 = charset.isin("utf-8", "utf8")
-    latin1 = charset.isin("iso-8859-1", "latin-1", "latin1")
+    _, latin1 = _native(charset_of(content_type))
     as_utf8 = F.when(F.is_valid_utf8(body.cast("string")), F.decode(body, "UTF-8"))
-    as_latin1 = F.decode(body, "ISO-8859-1")
-    rest = _decode_other(F.when(~(utf8 | latin1), body), charset) if other_charsets else as_utf8
-    return F.when(utf8, as_utf8).when(latin1, as_latin1).otherwise(rest)
+    return F.when(latin1, F.decode(body, "ISO-8859-1")).otherwise(as_utf8)
 
 
 def decode_pages(pages: DataFrame, other_charsets: bool = True) -> DataFrame:
-    """Add ``html``; a page whose body cannot be read keeps a NULL there."""
-    return pages.withColumn("html", decode_body(F.col("body"), F.col("content_type"), other_charsets)).drop("body")
+    """Add ``html``; a page whose body cannot be read keeps a NULL there.
+
+    Rows are divided by charset: UTF-8 and Latin-1 never reach Python, and the plan has a Python step, for
+    the rest alone, only where there is a rest.  Whether there is one is looked up in the content types.
+    """
+    native = pages.withColumn("html", decode_native(F.col("body"), F.col("content_type"))).drop("body")
+    charset = charset_of(F.col("content_type"))
+    utf8, latin1 = _native(charset)
+    is_rare = ~(utf8 | latin1)
+    if not other_charsets or pages.select("content_type").where(is_rare).isEmpty():
+        return native
+    rare = pages.where(is_rare).withColumn("html", _decode_other(F.col("body"), charset)).drop("body")
+    return native.where(~is_rare).unionByName(rare)

@@ -1,9 +1,9 @@
 """Rules as data, and their evaluation as Spark expressions over shredded pages.
 
 A ``Rule`` says where labelled items stand on a page, how to read the label and the
-value of one item, and which field each label feeds.  ``extract`` turns the rules of all
-sources into one expression per source: the work is map-only, whatever their number.
-A new source is a new ``SourceRules`` value; no code.
+value of one item, and which field each label feeds.  ``extract`` hands the rules of all
+sources as a literal to one evaluator (``rules``): the work is map-only, and the plan does not grow
+with their number.  A new source is a new ``SourceRules`` value; no code.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from entityloom.functions import text as tx
 from entityloom.functions import urls
+from entityloom.operators.rules import Evaluator, compiled, rules_literal
 from entityloom.operators.shred import first_piece_of, text_of
 
 
@@ -126,11 +127,6 @@ STEPS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once per row, also inside a lambda."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def matches(e: Column, texts: Column, sel: Sel) -> Column:
     tests = []
     if sel.tag is not None:
@@ -170,8 +166,8 @@ def find_all(elements: Column, texts: Column, sel: Sel, within: tuple[Sel, ...]
         if not outer:
             return F.filter(part, lambda e: matches(e, texts, sel))
         scope = F.get(F.filter(part, lambda e: matches(e, texts, outer[0])), F.lit(0))
-        inner = bind(scope, lambda s: F.when(s["pos"].isNotNull(), below(elements, s)).otherwise(none))
-        return bind(inner, lambda sub: narrow(sub, outer[1:]))
+        inner = tx.let(scope, lambda s: F.when(s["pos"].isNotNull(), below(elements, s)).otherwise(none))
+        return tx.let(inner, lambda sub: narrow(sub, outer[1:]))
 
     return narrow(elements, within)
 
@@ -204,7 +200,7 @@ def go(elements: Column, texts: Column, e: Column, move: Move) -> Column:
             return F.get(F.filter(F.slice(elements, e["last"] + 2, last - e["last"]), near), F.lit(0))
         return F.try_element_at(F.filter(F.slice(elements, first + 2, e["pos"] - first - 1), near), F.lit(-1))
 
-    return bind(F.get(elements, e["parent"]), sibling)
+    return tx.let(F.get(elements, e["parent"]), sibling)
 
 
 def read_part(elements: Column, texts: Column, item: Column, part: Part) -> Column:
@@ -217,48 +213,11 @@ def read_part(elements: Column, texts: Column, item: Column, part: Part) -> Colu
     def walk(e: Column, moves: tuple[Move, ...]) -> Column:
         if not moves:
             return finish(e)
-        return bind(go(elements, texts, e, moves[0]), lambda there: walk(there, moves[1:]))
+        return tx.let(go(elements, texts, e, moves[0]), lambda there: walk(there, moves[1:]))
 
     return walk(item, part.moves)
 
 
-def rule_facts(elements: Column, texts: Column, rule: Rule) -> Column:
-    """What a rule reads on a page: ``array<struct<field,label,value>>`` in page order."""
-    items = find_all(elements, texts, rule.item, rule.within, rule.in_all)
-    if rule.count is not None:
-        sel, n = rule.count
-        items = F.filter(items, lambda i: F.size(F.filter(below(elements, i), lambda e: matches(e, texts, sel))) == n)
-    if rule.having is not None:
-        items = F.filter(items, lambda i: F.exists(below(elements, i), lambda e: matches(e, texts, rule.having)))
-    if rule.first_only and rule.label is None:
-        items = F.slice(items, 1, 1)
-    targets = lookup(rule.fields) if rule.fields else None
-
-    def fact(item: Column) -> Column:
-        value = tx.blank_to_null(read_part(elements, texts, item, rule.value))
-        if rule.label is None:
-            return F.struct(F.lit(rule.to).alias("field"), F.lit(None).cast("string").alias("label"), value.alias("value"))
-        return bind(
-            read_part(elements, texts, item, rule.label),
-            lambda lab: F.struct(F.try_element_at(targets, lab).alias("field"), lab.alias("label"), value.alias("value")),
-        )
-
-    if rule.all_values:
-        values = F.transform(items, lambda i: read_part(elements, texts, i, rule.value))
-        joined = tx.blank_to_null(F.array_join(values, ","))
-        none = F.lit(None).cast("string")
-        return F.array(F.struct(F.lit(rule.to).alias("field"), none.alias("label"), joined.alias("value")))
-    facts = F.transform(items, fact)
-    if rule.first_only and rule.label is not None:
-        # Reversed, so that "the last fact of a field wins" keeps the first match.
-        facts = F.reverse(facts)
-    return facts
-
-
-def _facts_of(elements: Column, texts: Column, rules: tuple[Rule, ...]) -> Column:
-    return F.concat(*[rule_facts(elements, texts, r) for r in rules])
-
-
 def _last_per_field(facts: Column) -> Column:
     """``map<field,value>``; a later fact replaces an earlier one."""
     usable = F.filter(facts, lambda f: f["field"].isNotNull() & f["value"].isNotNull())
@@ -270,30 +229,30 @@ def _last_per_field(facts: Column) -> Column:
         )
         return F.map_from_entries(F.transform(names, pair))
 
-    return bind(usable, collapse)
+    return tx.let(usable, collapse)
+
+
+_PARTS = ("elements", "texts", "index")
 
 
 def extract(shredded: DataFrame, packs: tuple[SourceRules, ...], source: str = "source") -> DataFrame:
-    """Replace ``elements`` and ``texts`` by ``raw`` (field -> text) and ``unmapped`` facts.
+    """Replace the parts of pages shredded with an index by ``raw`` (field -> text) and ``unmapped`` facts.
 
     ``unmapped`` holds labelled values no rule knows a field for; they go to the rejects.
     """
-    elements, texts = F.col("elements"), F.col("texts")
-    branches = [(F.col(source) == p.source, _facts_of(elements, texts, p.rules)) for p in packs]
-    facts = F.when(*branches[0])
-    for branch in branches[1:]:
-        facts = facts.when(*branch)
-    with_facts = shredded.select(*[c for c in shredded.columns if c not in ("elements", "texts")], facts.alias("facts"))
+    page = Evaluator(F.col("elements"), F.col("texts"), F.col("index"), STEPS)
+    rules = rules_literal({p.source: compiled(p.rules, STEPS) for p in packs}, F.col(source))
+    carried = [c for c in shredded.columns if c not in _PARTS]
+    with_facts = shredded.select(*carried, page.facts(rules).alias("facts"))
     # An item may be read by several rules; its label is unknown if none of them maps it.
     mapped = F.transform(F.filter(F.col("facts"), lambda f: f["field"].isNotNull()), lambda f: f["label"])
-    unknown = bind(
+    unknown = tx.let(
         mapped,
         lambda known: F.filter(
             F.col("facts"),
             lambda f: f["field"].isNull() & f["label"].isNotNull() & ~F.coalesce(F.array_contains(known, f["label"]), F.lit(False)),
         ),
     )
-    carried = [F.col(c) for c in shredded.columns if c not in ("elements", "texts")]
     return with_facts.select(*carried, _last_per_field(F.col("facts")).alias("raw"), unknown.alias("unmapped"))
 
 

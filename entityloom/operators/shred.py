@@ -32,6 +32,7 @@ ELEMENTS_TYPE = (
     "attrs:map<string,string>,text_from:int,text_to:int,classes:array<string>>>"
 )
 TEXTS_TYPE = "array<struct<owner:int,piece:string>>"
+INDEX_TYPE = "map<string,array<int>>"
 
 # Fixed values from the HTML standard.
 VOID_TAGS = frozenset(
@@ -167,16 +168,36 @@ def _arrow_columns(pages: list[Page | None]) -> list[pa.Array]:
     return [elements, texts]
 
 
-def shred(pages: DataFrame, html: str = "html", drop_html: bool = True) -> DataFrame:
+def _index_column(pages: list[Page | None]) -> pa.Array:
+    """For each page its keys (tag, ``.class``, ``@attribute``) with the positions of their elements."""
+    offsets, keys, sizes, places = [], [], [], []
+    for page in pages:
+        offsets.append(None if page is None else len(keys))
+        found: defaultdict[str, list[int]] = defaultdict(list)
+        for e in page[0] if page else ():
+            found[e[5]].append(e[0])
+            for name in e[6]:
+                found[f"@{name}"].append(e[0])
+            for word in set((e[6].get("class") or "").split()):
+                found[f".{word}"].append(e[0])
+        keys += found
+        for at in found.values():
+            sizes.append(len(at))
+            places += at
+    lists = pa.ListArray.from_arrays(_map_offsets(sizes), pa.array(places, pa.int32()))
+    return pa.MapArray.from_arrays(pa.array([*offsets, len(keys)], pa.int32()), pa.array(keys, pa.string()), lists)
+
+
+def shred(pages: DataFrame, html: str = "html", drop_html: bool = True, index: bool = False) -> DataFrame:
     """Add ``elements`` and ``texts`` to a page table (Arrow batches, map only).
 
-    Both are empty for a page without text, and NULL for one that cannot be read.
+    Both are empty for a page without text, and NULL for one that cannot be read.  With ``index`` also the
+    positions of elements by tag, class word and attribute, which rules look up.
     """
     kept = [f for f in pages.schema.fields if not (drop_html and f.name == html)]
     schema = T.StructType(kept)
-    out = T.StructType(
-        kept + [T.StructField("elements", T.DataType.fromDDL(ELEMENTS_TYPE)), T.StructField("texts", T.DataType.fromDDL(TEXTS_TYPE))]
-    )
+    parts = {"elements": ELEMENTS_TYPE, "texts": TEXTS_TYPE, **({"index": INDEX_TYPE} if index else {})}
+    out = T.StructType(kept + [T.StructField(n, T.DataType.fromDDL(t)) for n, t in parts.items()])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +211,8 @@ def shred(pages: DataFrame, html: str = "html", drop_html: bool = True) -> DataF
                 # Output batches are cut by the number of elements, not of pages.
                 if size >= _FLUSH_ELEMENTS or i == batch.num_rows - 1:
                     part = carried.slice(start, len(done))
-                    yield pa.RecordBatch.from_arrays(list(part.columns) + _arrow_columns(done), names=names + ["elements", "texts"])
+                    made = _arrow_columns(done) + ([_index_column(done)] if index else [])
+                    yield pa.RecordBatch.from_arrays(list(part.columns) + made, names=[*names, *parts])
                     start, done, size = i + 1, [], 0
 
     return pages.mapInArrow(run, out)
@@ -232,18 +254,41 @@ def element_table(shredded: DataFrame, *keys: str) -> DataFrame:
 
 
 class _PageElements:
-    """Table function: the elements of one page."""
-
-    def eval(self, html: str):
-        elements, texts = _PageReader().read(html) or ([], [])
-        own: dict[int | None, list[str]] = {}
-        for owner, piece in texts:
-            own.setdefault(owner, []).append(piece)
-        for pos, parent, _, _, depth, tag, attrs, _, _ in elements:
-            yield pos, parent, depth, tag, attrs, "".join(own.get(pos, []))
-
-
-def register_page_elements(spark: SparkSession, name: str = "page_elements") -> None:
-    """Make ``select … from pages, lateral page_elements(html)`` available to SQL."""
-    columns = "pos int, parent_pos int, depth int, tag string, attrs map<string,string>, own_text string"
-    spark.udtf.register(name, F.udtf(_PageElements, returnType=columns, useArrow=True))
+    """Table function: the elements of a batch of pages, given as (key, html)."""
+
+    def eval(self, pages: pa.RecordBatch):
+        read, start, size = [], 0, 0
+        for row, html in enumerate(pages.column(1)):
+            read.append(_PageReader().read(html.as_py()) or ([], []))
+            size += len(read[-1][0])
+            # Output is cut by the number of elements, not of pages.
+            if size >= _FLUSH_ELEMENTS or row == pages.num_rows - 1:
+                yield self._table(pages.column(0).slice(start, len(read)), read)
+                read, start, size = [], row + 1, 0
+
+    @staticmethod
+    def _table(keys: pa.Array, read: list[Page]) -> pa.Table:
+        flat = [e for elements, _ in read for e in elements]
+        owners = [row for row, (elements, _) in enumerate(read) for _ in elements]
+        texts = []
+        for elements, pieces in read:
+            own: defaultdict[int | None, list[str]] = defaultdict(list)
+            for owner, piece in pieces:
+                own[owner].append(piece)
+            texts += ["".join(own[e[0]]) for e in elements]
+        ints = lambda i: pa.array([e[i] for e in flat], pa.int32())
+        attrs = pa.array([list(e[6].items()) for e in flat], pa.map_(pa.string(), pa.string()))
+        tags = pa.array([e[5] for e in flat], pa.string())
+        return pa.Table.from_arrays(
+            [keys.take(pa.array(owners, pa.int64())), ints(0), ints(1), ints(4), tags, attrs, pa.array(texts, pa.string())],
+            ["key", "pos", "parent_pos", "depth", "tag", "attrs", "own_text"],
+        )
+
+
+def register_page_elements(spark: SparkSession, name: str = "page_elements", key: str = "bigint") -> None:
+    """Make ``select … from page_elements(table(select key, html from pages))`` available to SQL.
+
+    Pages come in Arrow batches, from each task its own; ``key`` is the type of what names a page.
+    """
+    columns = f"key {key}, pos int, parent_pos int, depth int, tag string, attrs map<string,string>, own_text string"
+    spark.udtf.register(name, F.arrow_udtf(_PageElements, returnType=columns))

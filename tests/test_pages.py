@@ -157,7 +157,7 @@ def test_bazaar_on_two_pages(profiles):
 
 
 def test_unmapped_labels(pages):
-    found = extract(shred(pages.where("source in ('icodrops', 'icobazaar')")), PACKS)
+    found = extract(shred(pages.where("source in ('icodrops', 'icobazaar')"), index=True), PACKS)
     assert {r.label for r in unmapped_labels(found, "source").collect()} == {"ODD:", "odd", "zzz"}
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from entityloom.functions.text import strip
+from entityloom.functions.text import let, strip
 
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -60,8 +60,7 @@ def is_number(c: Column) -> Column:
 
 
 def to_number(c: Column) -> Column:
-    text = strip(c.cast("string"))
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return let(strip(c.cast("string")), lambda text: F.when(text.rlike(NUMBER), text.try_cast("double")))
 
 
 def rounded(c: Column, decimals: int = 1) -> Column:
@@ -70,12 +69,16 @@ def rounded(c: Column, decimals: int = 1) -> Column:
     (0.35 is stored a little below 0.35 and gives 0.3; ``bround`` would see a tie.)
     """
     layout = "0." + "0" * decimals if decimals else "0"
-    exact = F.call_function("format_number", c, F.lit(layout)).try_cast("double")
-    # Away from a tie, and where doubles resolve a millionth, the printed value is the nearest one.
     scale = float(10**decimals)
-    moved = c * scale
-    near_tie = F.abs(moved - F.floor(moved) - 0.5) < 1e-6
-    return F.when((F.abs(c) < 1e9) & ~near_tie, F.rint(moved) / scale).otherwise(exact) + F.lit(0.0)
+
+    def shown(v: Column) -> Column:
+        # Away from a tie, and where doubles resolve a millionth, the printed value is the nearest one.
+        moved = v * scale
+        near_tie = F.abs(moved - F.floor(moved) - 0.5) < 1e-6
+        exact = F.call_function("format_number", v, F.lit(layout)).try_cast("double")
+        return F.when((F.abs(v) < 1e9) & ~near_tie, F.rint(moved) / scale).otherwise(exact) + F.lit(0.0)
+
+    return let(c, shown)
 
 
 def rescale(c: Column, lo, hi, to_lo=TARGET_SCALE[0], to_hi=TARGET_SCALE[1], decimals: int = 1) -> Column:

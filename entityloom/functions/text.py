@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,11 @@ from entityloom.schema import ACTIVE, ENDED, MISSING, UPCOMING
 BLANKS = " \t\n\r\f\v\u00a0"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once for each row, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(BLANKS))
 

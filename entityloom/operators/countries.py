@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entityloom.functions.text import squash, strip
+from entityloom.functions.text import let, squash, strip
 
 # Names the sources use that are neither English display names nor codes.
 COUNTRY_ALIASES = {
@@ -134,9 +136,20 @@ def country_dim(spark: SparkSession, table: dict[str, str] | None = None) -> Dat
     return spark.createDataFrame(sorted((table or country_table(spark)).items()), "key string, code string")
 
 
+_BUCKETS = 256
+
+
 def dim_map(table: dict[str, str]) -> Column:
-    """A table of constants as one literal map, for look-ups inside a row."""
-    return F.create_map(*[F.lit(v) for pair in sorted(table.items()) for v in pair])
+    """A table of constants for look-ups inside a row: an array of small maps, chosen by the key's CRC-32."""
+    buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    for key, code in table.items():
+        buckets[zlib.crc32(key.encode()) % _BUCKETS][key] = code
+    return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), "array<map<string,string>>")
+
+
+def code_at(codes: Column, key: Column) -> Column:
+    """The code of a key in a ``dim_map``, NULL where it has none."""
+    return let(key, lambda k: F.try_element_at(F.get(codes, (F.crc32(k) % _BUCKETS).cast("int")), k))
 
 
 def _short_form(key: Column) -> Column:
@@ -147,17 +160,19 @@ def _bare(name: Column) -> Column:
     return F.regexp_replace(strip(name), r"^[.,]+|[.,]+$", "")
 
 
-def _resolved(name: Column, found: Column, keep_unknown: bool, unspecified: tuple[str, ...]) -> Column:
-    """The code of one name, given what the table holds for it."""
-    bare = _bare(name)
+def _resolved(bare: Column, found: Column, keep_unknown: bool, unspecified: tuple[str, ...]) -> Column:
+    """The code of one bare name, given what the table holds for it."""
     known = F.coalesce(found, F.when(F.length(bare) == 3, bare))
     other = F.nullif(bare, F.lit("")) if keep_unknown else F.lit(None).cast("string")
     return F.when(~F.upper(bare).isin(*[u.upper() for u in unspecified]), F.coalesce(known, other))
 
 
-def _looked_up(name: Column, codes: Column) -> Column:
-    key = country_key(_bare(name))
-    return F.coalesce(F.try_element_at(codes, key), F.try_element_at(codes, _short_form(key)))
+def _one_code(name: Column, codes: Column, keep_unknown: bool, unspecified: tuple[str, ...]) -> Column:
+    """The code of one name; each spelling of it is made once."""
+    found = lambda bare: let(
+        country_key(bare), lambda key: F.coalesce(code_at(codes, key), code_at(codes, _short_form(key)))
+    )
+    return let(_bare(name), lambda bare: _resolved(bare, found(bare), keep_unknown, unspecified))
 
 
 def _joined(n: Column, pair_at, single_at, comma: bool) -> Column:
@@ -194,12 +209,20 @@ def to_codes(
     are tried first: each piece together with the one after it.
     """
     if separator is None:
-        return _resolved(value, _looked_up(value, codes), keep_unknown, unspecified)
-    pieces = _pieces(value, separator)
-    at = lambda i: F.get(pieces, i)
-    pair = lambda i: F.try_element_at(codes, country_key(F.concat(at(i), F.lit(separator), at(i + 1))))
-    single = lambda i: _resolved(at(i), _looked_up(at(i), codes), keep_unknown, unspecified)
-    return F.when(value.isNotNull(), _joined(F.size(pieces), pair, single, separator == ","))
+        return _one_code(value, codes, keep_unknown, unspecified)
+
+    def coded(pieces: Column) -> Column:
+        def entry(piece: Column, i: Column) -> Column:
+            both = F.concat(piece, F.lit(separator), F.get(pieces, i + 1))
+            pair = code_at(codes, country_key(both)) if separator == "," else F.lit(None).cast("string")
+            return F.struct(_one_code(piece, codes, keep_unknown, unspecified).alias("single"), pair.alias("pair"))
+
+        return F.transform(pieces, entry)
+
+    def listed(x: Column) -> Column:
+        return _joined(F.size(x), lambda i: F.get(x, i)["pair"], lambda i: F.get(x, i)["single"], separator == ",")
+
+    return F.when(value.isNotNull(), let(let(_pieces(value, separator), coded), listed))
 
 
 def convert_countries(df: DataFrame, codes: Column, single: str = "country", several: str = "countries_restricted") -> DataFrame:
@@ -227,20 +250,21 @@ def convert_lists_by_join(
     pieces = rows.select("_k", F.posexplode_outer("_p").alias("i", "piece"), F.col("_p")).select(
         "_k",
         "i",
-        "piece",
-        country_key(_bare(F.col("piece"))).alias("one"),
+        _bare(F.col("piece")).alias("bare"),
         country_key(F.concat("piece", F.lit(separator), F.get("_p", F.col("i") + 1))).alias("two"),
     )
     named = lambda name, code: dim.select(F.col("key").alias(name), F.col("code").alias(code))
+    keyed = pieces.withColumn("one", country_key(F.col("bare")))
     coded = (
-        pieces.withColumn("short", _short_form(F.col("one")))
+        keyed.withColumn("short", _short_form(F.col("one")))
         .join(named("one", "one_code"), "one", "left")
         .join(named("short", "short_code"), "short", "left")
         .join(named("two", "two_code"), "two", "left")
     )
-    entry = F.struct("i", "piece", F.coalesce("one_code", "short_code").alias("code"), F.col("two_code").alias("pair"))
+    # Names are resolved before they meet in a list, each once.
+    single = _resolved(F.col("bare"), F.coalesce("one_code", "short_code"), keep_unknown, unspecified)
+    entry = F.struct("i", single.alias("single"), F.col("two_code").alias("pair"))
     lists = coded.groupBy("_k").agg(F.array_sort(F.collect_list(F.when(F.col("i").isNotNull(), entry))).alias("x"))
     at = lambda i: F.get("x", i)
-    single = lambda i: _resolved(at(i)["piece"], at(i)["code"], keep_unknown, unspecified)
-    value = F.when(F.size("x") > 0, _joined(F.size("x"), lambda i: at(i)["pair"], single, separator == ","))
+    value = F.when(F.size("x") > 0, _joined(F.size("x"), lambda i: at(i)["pair"], lambda i: at(i)["single"], separator == ","))
     return lists.select(F.col("_k").alias(key), value.alias(column))

@@ -29,8 +29,9 @@ def consolidate(
 
     ``records`` carry a unique long ``rank`` (merge order, lowest first) next to the fields.
     """
-    valid = keep_valid(records.withColumn("_priority", source_priority(F.col("source"), priority)), required, fields, minimum)
-    valid, _ = staged(valid.select(rank, "_priority", *fields), "valid")
+    # Written before it is filtered: a filter on computed fields would compute them a second time.
+    given, _ = staged(records.select(rank, source_priority(F.col("source"), priority).alias("_priority"), *fields), "records")
+    valid = keep_valid(given, required, fields, minimum)
     form = transitive_clusters if transitive else greedy_clusters
     entities = form(valid, rank, {k: F.col(k) for k in match_keys}, null_matches)
     joined = valid.join(entities.withColumnRenamed("rank", rank), rank)

@@ -14,6 +14,8 @@ from entityloom.operators.links import union_sources as union_frames
 from entityloom.operators.merge import merge_by_priority
 from entityloom.operators.quality import completeness, keep_valid
 from entityloom.plans.consolidate import consolidate
+from entityloom.plans.incremental import EntityState, apply_changes, current_entities
+from entityloom.session import scratch_path, staged
 from entityloom.sources.tables import project_to_target, read_row
 
 URGENCY = {"1-URGENT": 1, "2-HIGH": 2, "3-MEDIUM": 3, "5-LOW": 5}
@@ -148,7 +150,7 @@ _DOC_CASE = "case source " + " ".join(f"when '{s}' then {p}" for s, p in _DOC_PR
 _TEXT_BLANKS = "E' \\t\\n\\r\\f\\x0b' || chr(160)"
 
 
-@query(
+_MERGE_SQL = (
     f"""with recursive r as (select 1000000000 - doc_id as rank, {_DOC_CASE} as prio, source, text as name, lang as ticker, n_chars,
             nullif(quality, 0) as quality, nullif(toxic, 0) as toxic from documents left join labels using (doc_id)),
          v as (select *, ['n=' || md5(upper(trim(name, {_TEXT_BLANKS}))),
@@ -159,22 +161,56 @@ _TEXT_BLANKS = "E' \\t\\n\\r\\f\\x0b' || chr(160)"
          md5(arg_min(trim(replace(name, '"', ''), {_TEXT_BLANKS}), (prio, rank))) as name_md5
        from v join e using (rank) group by entity"""
 )
-def merge_full(t: Tables) -> DataFrame:
-    """Whole consolidation of documents that match by their text or by source and length."""
+
+
+def document_records(t: Tables) -> DataFrame:
+    """Documents with their labels as records that match by their text or by source and length."""
     grades = t.labels.select("doc_id", tx.zero_to_null(F.col("quality")).alias("quality"), tx.zero_to_null(F.col("toxic")).alias("toxic"))
-    records = (
+    return (
         t.documents.join(grades, "doc_id", "left")
         .withColumn("rank", F.lit(1000000000).cast("bigint") - F.col("doc_id"))
         .withColumnRenamed("text", "name")
         .withColumnRenamed("lang", "ticker")
         .withColumn("shape", F.concat_ws("/", F.col("n_chars").cast("string"), "source"))
     )
-    fields = (*_DOC_FIELDS, "shape")
-    # The shape is a key and no field of its own: the minimum counts it.
-    merged = consolidate(records, "rank", fields, ("name", "ticker"), 5, ("name", "shape"), priority=_DOC_PRIORITY)
+
+
+def _shown(merged: DataFrame) -> DataFrame:
     return merged.withColumn("name_md5", F.md5(F.col("name").cast("binary"))).drop("name", "shape")
 
 
+# The shape is a key and no field of its own: the minimum counts it.
+_RECORD_FIELDS = (*_DOC_FIELDS, "shape")
+
+
+@query(_MERGE_SQL)
+def merge_full(t: Tables) -> DataFrame:
+    """Whole consolidation of documents that match by their text or by source and length."""
+    return _shown(consolidate(document_records(t), "rank", _RECORD_FIELDS, ("name", "ticker"), 5, ("name", "shape"), priority=_DOC_PRIORITY))
+
+
+@query(_MERGE_SQL)
+def merge_in_batches(t: Tables) -> DataFrame:
+    """The same in three batches: half of the sources in a first state, then their changes, then the rest.
+
+    A batch recomputes the entities it touches; after the last one all are as in one run.
+    """
+    state = EntityState(
+        scratch_path(t.spark, "entity-state"), ("doc_id",), ("rank", "doc_id"), _RECORD_FIELDS, ("name", "ticker"), 5, ("name", "shape"),
+        tuple(_DOC_PRIORITY.items()),
+    )
+    records, _ = staged(document_records(t), "records")
+    early = F.pmod(F.crc32("source"), F.lit(2)) == 0
+    changes = F.col("quality").isNotNull()
+    # At first, records that change later have another text, and some of them are not valid.
+    stale = records.where(early).withColumn("name", F.when(changes, F.concat("name", F.lit(" (draft)"))).otherwise(F.col("name")))
+    apply_changes(state, stale.withColumn("ticker", F.when(F.col("toxic").isNull(), F.col("ticker"))))
+    apply_changes(state, records.where(early & (changes | F.col("toxic").isNotNull())))
+    apply_changes(state, records.where(~early))
+    merged = current_entities(t.spark, state)
+    return _shown(merged.select(F.col("seed.rank").alias("entity"), *_RECORD_FIELDS))
+
+
 # --- joins with dimensions and figures ------------------------------------
 
 

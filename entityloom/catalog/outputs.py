@@ -14,6 +14,7 @@ from entityloom.schema import RAW_SCHEMA, conform
 from entityloom.session import scratch_path
 from entityloom.sinks.files import read_csv, write_by_source, write_csv, write_json, write_stage
 from entityloom.sinks.tables import TARGET_TABLES, fan_out, number_rows, reload_folder
+from entityloom.sinks.versions import table_paths
 from entityloom.sources.tables import TABLE_SCHEMAS
 from entityloom.streaming.refresh import current, refresh
 
@@ -54,11 +55,11 @@ def json_roundtrip(t: Tables) -> DataFrame:
 
 @query("""select s_suppkey, s_name from supplier""")
 def reload_tables(t: Tables) -> DataFrame:
-    """A second load replaces the first."""
+    """A second load replaces the first; readers ask for the version that was committed last."""
     folder = scratch_path(t.spark, "reload")
     reload_folder({"suppliers": t.customer.select(F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"))}, folder)
-    paths = reload_folder({"suppliers": t.supplier.select("s_suppkey", "s_name")}, folder)
-    return t.spark.read.schema("s_suppkey bigint, s_name string").parquet(paths["suppliers"])
+    reload_folder({"suppliers": t.supplier.select("s_suppkey", "s_name")}, folder)
+    return t.spark.read.schema("s_suppkey bigint, s_name string").parquet(table_paths(t.spark, folder)["suppliers"])
 
 
 @query("""select row_number() over (order by c_name) as token_id, c_custkey, c_name from customer""")

@@ -25,11 +25,13 @@ from entityloom.operators.extract import (
     take,
     unmapped_labels,
 )
-from entityloom.operators.packs import BAZAAR_ICONS, BENCH, MARKS, RATING, TRACK_TOKENS
+from entityloom.operators.packs import BAZAAR_ICONS, BENCH, MARKS, PACKS, RATING, TRACK_TOKENS
 from entityloom.operators.shred import element_table, own_text_of, register_page_elements, shred
 from entityloom.plans.consolidate import consolidate
-from entityloom.plans.profiles import build_profiles, merge_order
+from entityloom.plans.profiles import OUTCOME_SCHEMA, build_profiles, extract_sources, merge_order
+from entityloom.session import staged
 from entityloom.sources.pages import decode_pages
+from entityloom.streaming.refresh import latest_pages
 
 TOPICS = {"THE": "topic_the", "AND": "topic_and", "LE": "topic_le", "DE": "topic_de", "LA": "topic_la", "EN": "topic_en", "OF": "topic_of"}
 NAV = Sel("nav")
@@ -246,8 +248,8 @@ def elements_in_sql(t: Tables) -> DataFrame:
     """The shredder as a table function in SQL."""
     register_page_elements(t.spark)
     links_ = t.spark.sql(
-        """select page_id, pos, e.attrs['href'] as href, e.own_text as word
-           from {pages}, lateral page_elements(html) e where e.tag = 'a'""",
+        """select key as page_id, pos, attrs['href'] as href, own_text as word
+           from page_elements(table(select page_id, html from {pages})) where tag = 'a'""",
         pages=t.pages,
     )
     number = F.row_number().over(Window.partitionBy("page_id").orderBy("pos")) - 1
@@ -310,7 +312,7 @@ _TOPIC_SQL = ", ".join(
 def labelled_fields(t: Tables) -> DataFrame:
     """Rules as data over whole pages: labels, first matches, attributes and siblings."""
     pages = t.pages.select("page_id", F.lit("page").alias("source"), "html")
-    raw = extract(shred(pages), (PAGE_RULES,))
+    raw = extract(shred(pages, index=True), (PAGE_RULES,))
     names = ["title", "first_link", "ad", "lang", *TOPICS.values()]
     return raw.select("page_id", *[F.try_element_at("raw", F.lit(n)).alias(n) for n in names])
 
@@ -323,7 +325,7 @@ def labelled_fields(t: Tables) -> DataFrame:
 def unknown_labels(t: Tables) -> DataFrame:
     """Labelled values that feed no field: the rejects of an extraction."""
     pages = t.pages.select("page_id", F.lit("page").alias("source"), "html")
-    return unmapped_labels(extract(shred(pages), (PAGE_RULES,)), "page_id")
+    return unmapped_labels(extract(shred(pages, index=True), (PAGE_RULES,)), "page_id")
 
 
 @query(
@@ -333,7 +335,7 @@ def unknown_labels(t: Tables) -> DataFrame:
 def fallback(t: Tables) -> DataFrame:
     """Candidate labels in order, then the first link."""
     pages = t.pages.select("page_id", F.lit("page").alias("source"), "html")
-    raw = extract(shred(pages), (PAGE_RULES,))
+    raw = extract(shred(pages, index=True), (PAGE_RULES,))
     candidates = [F.try_element_at("raw", F.lit(n)) for n in ("topic_the", "topic_le", "topic_de", "first_link")]
     return raw.select("page_id", F.coalesce(*candidates, F.lit("-")).alias("link"))
 
@@ -396,68 +398,155 @@ def classify_token(t: Tables) -> DataFrame:
 # --- whole profiles -------------------------------------------------------
 
 
-def part_profile_pages(t: Tables) -> DataFrame:
-    """Profile pages in the layouts of three sources, written from the part table."""
+def part_profile_pages(t: Tables, sources: int = 3) -> DataFrame:
+    """Profile pages in the layouts of three or all seven sources, written from the part table."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size")
     day = F.date_add(F.lit("1998-06-01").cast("date"), size)
     score = (size / 10).cast("string")
-    row = lambda label, value: F.concat(F.lit("<tr><td>"), F.lit(label), F.lit("</td><td> "), value, F.lit(" </td></tr>"))
-    rating_main = F.concat(
-        F.lit("<div class=h1><h1>"), "p_name", F.lit(" ("), "p_brand", F.lit(")</h1></div><p><span class=title>Risk score</span>"),
-        F.lit("<span class=score>"), score, F.lit(" / 5</span></p><a target=_blank href='http://t.me/p"), key, F.lit("'>Telegram</a>"),
+    shown = lambda d, layout: F.date_format(d, layout)
+    end = F.date_add(day, 30)
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    row = lambda label, value: text("<tr><td>", label, "</td><td> ", value, " </td></tr>")
+    name = F.col("p_name")
+    rating_main = text(
+        "<div class=h1><h1>", name, " (", F.col("p_brand"), ")</h1></div><p><span class=title>Risk score</span>",
+        "<span class=score>", score, " / 5</span></p><a target=_blank href='http://t.me/p", key, "'>Telegram</a>",
     )
-    rating_details = F.concat(
-        F.lit("<table>"), row("Ticker:", F.concat(F.lit("T"), key)), row("ICO start date:", F.date_format(day, "dd.MM.yyyy")),
-        row("ICO end date:", F.date_format(F.date_add(day, 30), "dd.MM.yyyy")), row("Odd row:", key), F.lit("</table>"),
+    rating_details = text(
+        "<table>", row("Ticker:", text("T", key)), row("ICO start date:", shown(day, "dd.MM.yyyy")),
+        row("ICO end date:", shown(end, "dd.MM.yyyy")), row("Odd row:", key), "</table>",
     )
-    marks = F.concat(
-        F.lit("<h1 itemprop=name>"), "p_name", F.lit("</h1><div class=ico-rating-overall> "), score, F.lit(" </div><div class=icoinfo>"),
-        F.lit("<div class=icoinfo-block__item><span>Ticker:</span> T"), key, F.lit("</div><div class=icoinfo-block__item><span>ICO Time:</span> "),
-        F.date_format(day, "d MMM yyyy"), F.lit(" - "), F.date_format(F.date_add(day, 30), "d MMM yyyy"), F.lit("</div>"),
-        F.lit("<div class=icoinfo-block__item><span>Country:</span> Germany</div>"),
-        F.lit("<a class=icoinfo-block__view href='http://www.t.me/p"), key, F.lit("'>x</a></div>"),
+    marks = text(
+        "<h1 itemprop=name>", name, "</h1><div class=ico-rating-overall> ", score, " </div><div class=icoinfo>",
+        "<div class=icoinfo-block__item><span>Ticker:</span> T", key, "</div><div class=icoinfo-block__item><span>ICO Time:</span> ",
+        shown(day, "d MMM yyyy"), " - ", shown(end, "d MMM yyyy"), "</div>",
+        "<div class=icoinfo-block__item><span>Country:</span> Germany</div>",
+        "<a class=icoinfo-block__view href='http://www.t.me/p", key, "'>x</a></div>",
     )
-    bench = F.concat(
-        F.lit("<div class=name><h1>"), "p_name", F.lit("</h1><h2>"), "p_type", F.lit("</h2></div><div class=rating><div class=distribution>"),
-        F.lit("<div>"), score, F.lit("<label>Team</label></div></div></div><div itemprop=ratingValue content='"), score, F.lit("'></div>"),
-        F.lit("<div class=financial_data><label>Time</label><div class=number>5 days</div><small>"), F.date_format(day, "yyyy-MM-dd"),
-        F.lit(" - "), F.date_format(F.date_add(day, 30), "yyyy-MM-dd"), F.lit("</small><div class=data_row><div>Token</div><div>T"), key,
-        F.lit("</div></div><div class=data_row><div>Country</div><div>UK</div></div></div>"),
-        F.lit("<div class=socials><a title=t href='http://t.me/p"), key, F.lit(" '>Telegram</a></div>"),
+    bench = text(
+        "<div class=name><h1>", name, "</h1><h2>", F.col("p_type"), "</h2></div><div class=rating><div class=distribution>",
+        "<div>", score, "<label>Team</label></div></div></div><div itemprop=ratingValue content='", score, "'></div>",
+        "<div class=financial_data><label>Time</label><div class=number>5 days</div><small>", shown(day, "yyyy-MM-dd"),
+        " - ", shown(end, "yyyy-MM-dd"), "</small><div class=data_row><div>Token</div><div>T", key,
+        "</div></div><div class=data_row><div>Country</div><div>UK</div></div></div>",
+        "<div class=socials><a title=t href='http://t.me/p", key, " '>Telegram</a></div>",
     )
-    kind = F.col("p_partkey") % 3
+    drops = text(
+        "<div class=ico-main-info><h3> ", name, "</h3></div><div class=token-sale><strong>Token sale ended</strong></div>",
+        "<li><span class=grey>Ticker: </span>T", key, "</li><li><span class=grey>Odd: </span>x</li><div class=rating-field>",
+        "<div class=rating-box><p>Risk rate\nmore</p><p> Low </p></div><div class=rating-box><p>Hype rate</p></div></div>",
+        "<div class=soc_links><a href='http://t.me/p", key, "'><span><i class='fab fa-telegram'></i></span></a></div>",
+    )
+    tops_row = lambda label, value: text(
+        "<div class=page-details__info-row><h3 class=page-details__info-title>", label, "</h3><div class=page-details__info-descr> ", value, "</div></div>"
+    )
+    tops = text(
+        "<h1 class=page-details__title>", name, "</h1><div class=rating_block><span class=rating-text>", score, "</span></div>",
+        "<div class=page-details__main><a title=Telegram href='http://t.me/p", key, "'>t</a><a title=Telegram href=x>u</a></div>",
+        tops_row("Token symbol", text("T", key)), tops_row("Start date", shown(day, "d MMMM yyyy")), tops_row("Close date", shown(end, "MMMM d, yyyy")),
+    )
+    track = text(
+        "<h1 class=h2>", name, "</h1><div class='fs-60 fw-400 text-primary'>", score, "</div><table><tr><th>Token</th><td>T", key,
+        "</td></tr><tr><th>Token Sale</th><td>from ", shown(day, "d.M.yyyy"), " - to ", shown(end, "d.M.yyyy"),
+        "</td></tr><tr><th>Country</th><td><a>Peru</a></td></tr></table><div class='flexbox flex-wrap'>",
+        "<a href='http://t.me/p", key, "' onclick=\"f('link-Telegram')\">t</a></div>",
+    )
+    line = lambda label, value: text(
+        "<div class=com-sidebar__info-line><span>", label, ":</span><span class=com-sidebar__info-value>", value, "</span></div>"
+    )
+    bazaar = text(
+        "<div class=com-header__info><h1>", name, "</h1><p>", F.col("p_type"), "</p></div><div class=ico-rating rating='", score, "'></div>",
+        "<div class=com-sidebar>", line("Start", shown(day, "MMM. d, yyyy")), line("End", shown(end, "yyyy.MM.dd")), "</div>",
+        "<div class=com-rating__list><div class=com-rating__list-element><span>Team</span><div class=progress-bar><span style='width: ",
+        size.cast("string"), "%'></span></div></div></div>",
+    )
+    social = text("<div class=com-social><a href=' http://t.me/p", key, "'><i class='fab fa-telegram'></i></a></div>")
+    kind = F.col("p_partkey") % sources
     page = lambda source, tail, html: F.struct(F.lit(source).alias("source"), F.concat(F.lit("https://x/p"), key, F.lit(tail)).alias("url"), html.alias("html"))
-    pages = (
-        F.when(kind == 0, F.array(page("icoratings", "", rating_main), page("icoratings", "/details", rating_details)))
-        .when(kind == 1, F.array(page("icomarks", "", marks)))
-        .otherwise(F.array(page("icobench", "", bench)))
+    layouts = (
+        (page("icoratings", "", rating_main), page("icoratings", "/details", rating_details)),
+        (page("icomarks", "", marks),),
+        (page("icobench", "", bench),),
+        (page("icodrops", "", drops),),
+        (page("tokentops", "", tops),),
+        (page("trackico", "", track),),
+        (page("icobazaar", "", bazaar), page("icobazaar", "/community", social)),
     )
+    pages = F.when(kind == 0, F.array(*layouts[0]))
+    for k in range(1, sources):
+        pages = pages.when(kind == k, F.array(*layouts[k]))
     # The scan is small and the work per page is not: spread the keys before the pages are
     # made.  A given number of tasks is not merged again by the size of the rows.
     tasks = max(4 * t.spark.sparkContext.defaultParallelism, 8)
     return t.part.repartition(tasks, "p_partkey").select(F.explode(pages).alias("p")).select("p.*")
 
 
-_PROFILES = """select * from (with p as (select *, p_partkey % 3 as k, date '1998-06-01' + p_size as d, p_size / 10.0::double as s from part)
-       select ['icoratings', 'icomarks', 'icobench'][k + 1] as source, 'https://x/p' || p_partkey as ico_url, p_name as name,
-         'T' || p_partkey as ticker, d as ico_start, d + 30 as ico_end,
-         case when date '1998-08-01' < d then 'upcoming' when date '1998-08-01' > d + 30 then 'ended' else 'active' end as status,
-         case k when 0 then null when 1 then 'DEU' else 'GBR' end as country,
-         case k when 0 then null when 1 then s else show1(s * 10 / 5) end as website_overall_rating,
-         case when k = 0 then show1(s * 10 / 5) end as risk_score, case when k = 2 then show1(s * 10 / 5) end as team_score,
+def _profiles_sql(sources: int) -> str:
+    """The profiles of those pages; in the order of the layouts above."""
+    return f"""select * from (with p as (select *, p_partkey % {sources} as k, date '1998-06-01' + p_size as d, p_size / 10.0::double as s from part)
+       select ['icoratings', 'icomarks', 'icobench', 'icodrops', 'tokentops', 'trackico', 'icobazaar'][k + 1] as source,
+         'https://x/p' || p_partkey as ico_url, p_name as name, case when k <> 6 then 'T' || p_partkey end as ticker,
+         case when k <> 3 then d end as ico_start, case when k <> 3 then d + 30 end as ico_end,
+         case when k = 3 then 'ended' when date '1998-08-01' < d then 'upcoming' when date '1998-08-01' > d + 30 then 'ended' else 'active' end as status,
+         case k when 1 then 'DEU' when 2 then 'GBR' when 5 then 'PER' end as country,
+         case when k in (0, 3) then null when k = 1 then s else show1(s * 10 / 5) end as website_overall_rating,
+         case k when 0 then show1(s * 10 / 5) when 3 then 2.5 end as risk_score,
+         case k when 2 then show1(s * 10 / 5) when 6 then show1(p_size * 10 / 100.0::double) end as team_score,
          case when k = 1 then 'https://www.t.me/p' else 'https://t.me/p' end || p_partkey as telegram_page
        from p)"""
 
 
+_PROFILES = _profiles_sql(3)
+_PROFILE_COLUMNS = (
+    "source", "ico_url", "name", "ticker", "ico_start", "ico_end", "status", "country",
+    "website_overall_rating", "risk_score", "team_score", "telegram_page",
+)
+
+
 @query(_PROFILES)
 def profiles_from_pages(t: Tables) -> DataFrame:
     """Pages of several sources, one of them on two pages each, to typed profiles."""
     packs = (RATING, MARKS, BENCH)
     profiles = build_profiles(part_profile_pages(t), F.lit("1998-08-01").cast("date"), packs)
-    return profiles.select(
-        "source", "ico_url", "name", "ticker", "ico_start", "ico_end", "status", "country",
-        "website_overall_rating", "risk_score", "team_score", "telegram_page",
-    )
+    return profiles.select(*_PROFILE_COLUMNS)
+
+
+@query(_profiles_sql(7))
+def profiles_of_all_sources(t: Tables) -> DataFrame:
+    """Pages of all seven sources, two of them on two pages each, to typed profiles: one plan for all rules."""
+    return build_profiles(part_profile_pages(t, 7), F.lit("1998-08-01").cast("date"), PACKS).select(*_PROFILE_COLUMNS)
+
+
+@query(
+    f"""select source, case when source = 'icomarks' then 'failed' else 'done' end as state, count(*) filter (where source <> 'icomarks') as n_profiles,
+         count(*) filter (where source = 'icomarks') as n_failed_pages from ({_profiles_sql(7)}) group by all"""
+)
+def failing_source(t: Tables) -> DataFrame:
+    """A source whose rules cannot be evaluated costs its own pages; the six others come through."""
+    broken = SourceRules(MARKS.source, MARKS.domain, (Rule(Sel("h1"), Part(steps=("no such step",)), to="name"),), MARKS.listing)
+    packs = tuple(broken if p.source == MARKS.source else p for p in PACKS)
+    pages, _ = staged(part_profile_pages(t, 7), "pages", partition_by=("source",))
+    found = extract_sources(pages, packs)
+    outcomes = t.spark.createDataFrame(found.outcomes, OUTCOME_SCHEMA).select("source", "state")
+    got = found.profiles.where("raw is not null").groupBy("source").agg(F.count(F.lit(1)).alias("n_profiles"))
+    lost = found.failed_pages.groupBy("source").agg(F.count(F.lit(1)).alias("n_failed_pages"))
+    zero = F.lit(0).cast("bigint")
+    counted = outcomes.join(got, "source", "left").join(lost, "source", "left")
+    # A table may be too small to have pages of each source.
+    shown = counted.select("source", "state", F.coalesce("n_profiles", zero).alias("n_profiles"), F.coalesce("n_failed_pages", zero).alias("n_failed_pages"))
+    return shown.where("n_profiles + n_failed_pages > 0")
+
+
+@query(_profiles_sql(7))
+def late_pages(t: Tables) -> DataFrame:
+    """A store that holds each page three times, newest in the middle: the latest fetch is chosen on narrow
+    rows, and pages are read where they lie; then as above."""
+    pages = part_profile_pages(t, 7)
+    day = lambda n: F.lit(f"1998-07-0{n}").cast("timestamp")
+    old = lambda n: pages.withColumn("html", F.lit(f"<p>{n}")).withColumn("fetched_at", day(n))
+    store, _ = staged(old(1).unionByName(pages.withColumn("fetched_at", day(3))).unionByName(old(2)), "page-store")
+    latest = latest_pages(store).drop("fetched_at")
+    return build_profiles(latest, F.lit("1998-08-01").cast("date"), PACKS).select(*_PROFILE_COLUMNS)
 
 
 _ENTITY_FIELDS = ("source", "name", "ticker", "status", "country", "website_overall_rating", "risk_score", "telegram_page")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +22,10 @@ from entityloom.operators.quality import is_valid, rejects, unparsed
 from entityloom.operators.shred import shred
 from entityloom.plans.consolidate import consolidate
 from entityloom.schema import FIELDS, SOURCE_ORDER
-from entityloom.session import staged
+from entityloom.session import scratch_scope, staged
 from entityloom.sinks.files import write_by_source, write_stage
-from entityloom.sinks.tables import fan_out, number_rows, reload_folder
+from entityloom.sinks.tables import fan_out, number_rows
+from entityloom.sinks.versions import drop_versions, write_version
 from entityloom.sources.pages import decode_pages
 from entityloom.streaming.refresh import latest_pages
 
@@ -39,16 +43,23 @@ def extract_pages(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> D
     return extract_with_orphans(pages, packs)[0]
 
 
+def page_roles(packs: tuple[SourceRules, ...] = PACKS) -> tuple[Column, Column]:
+    """Whether a page is the second one of its profile, and the address of the profile's main page."""
+    is_sub, main_url = F.lit(False), F.col("url")
+    for pack in packs:
+        if pack.sub_page:
+            hit = (F.col("source") == pack.source) & F.endswith(F.col("url"), F.lit(pack.sub_page))
+            is_sub = is_sub | hit
+            main_url = F.when(hit, F.substring(F.col("url"), F.lit(1), F.length("url") - len(pack.sub_page))).otherwise(main_url)
+    return F.coalesce(is_sub, F.lit(False)), main_url
+
+
 def extract_with_orphans(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> tuple[DataFrame, DataFrame]:
     """The profiles, and the second pages (``source, ico_url, url``) whose main page is missing."""
     endings = {p.source: p.sub_page for p in packs if p.sub_page}
-    is_sub, main_url = F.lit(False), F.col("url")
-    for source, ending in endings.items():
-        hit = (F.col("source") == source) & F.endswith(F.col("url"), F.lit(ending))
-        is_sub = is_sub | hit
-        main_url = F.when(hit, F.substring(F.col("url"), F.lit(1), F.length("url") - len(ending))).otherwise(main_url)
-    marked = pages.withColumn("ico_url", main_url).withColumn("is_sub", F.coalesce(is_sub, F.lit(False)))
-    found = extract(shred(marked.select("source", "ico_url", "url", "is_sub", "html")), packs)
+    is_sub, main_url = page_roles(packs)
+    marked = pages.withColumn("ico_url", main_url).withColumn("is_sub", is_sub)
+    found = extract(shred(marked.select("source", "ico_url", "url", "is_sub", "html"), index=True), packs)
     # Both sides of the join below read these rows: shred every page once, and let each side
     # read its own folders.
     found = found.select("source", "ico_url", "url", "is_sub", "raw", "unmapped")
@@ -69,6 +80,52 @@ def extract_with_orphans(pages: DataFrame, packs: tuple[SourceRules, ...] = PACK
     return single.unionByName(both), orphans
 
 
+@dataclass
+class Extracted:
+    """What extraction made of a page table, source by source."""
+
+    profiles: DataFrame
+    orphans: DataFrame
+    failed_pages: DataFrame
+    outcomes: list[tuple[str, str, int, str]]
+
+
+OUTCOME_SCHEMA = "source string, state string, n_profiles long, reason string"
+
+
+def extract_sources(pages: DataFrame, packs: tuple[SourceRules, ...] = PACKS) -> Extracted:
+    """Each source extracted by a plan of its own: one that fails costs its own pages alone.
+
+    ``pages`` (source, url, html) should be a table divided by source, so that each plan reads its own part.
+    Pages of a source that failed come back as ``failed_pages`` (source, url, reason), and each source gets an
+    outcome (source, state, number of profiles, reason).
+    """
+
+    def of_source(pack: SourceRules) -> tuple[tuple[DataFrame, DataFrame] | None, tuple[str, str, int, str]]:
+        try:
+            found, orphans = extract_with_orphans(pages.where(F.col("source") == pack.source), (pack,))
+            found, seen = staged(found, f"found-{pack.source}")
+            return (found, orphans), (pack.source, "done", int(seen["n_rows"]), "")
+        except Exception as error:  # noqa: BLE001 - whatever it is, the other sources go on
+            return None, (pack.source, "failed", 0, f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"[:300])
+
+    with ThreadPoolExecutor(max_workers=max(len(packs), 1)) as pool:
+        running = [pool.submit(copy_context().run, of_source, pack) for pack in packs]
+        results = [r.result() for r in running]
+    unknown = pages.where(~F.coalesce(F.col("source").isin(*[p.source for p in packs]), F.lit(False)))
+    # A page of no known source has no rules: its profile is NULL, which is a reject.
+    empty = extract_with_orphans(unknown, ())
+    frames = [f for f, _ in results if f is not None] + [empty]
+    outcomes = [o for _, o in results]
+    reasons = F.lit(None).cast("string")
+    for source, state, _, reason in outcomes:
+        if state == "failed":
+            reasons = F.when(F.col("source") == source, F.lit(f"source failed: {reason}")).otherwise(reasons)
+    failed = pages.select("source", "url", reasons.alias("reason")).where("reason is not null")
+    union = lambda i: reduce(DataFrame.unionByName, [f[i] for f in frames])
+    return Extracted(union(0), union(1), failed, outcomes)
+
+
 def typed_profiles(
     extracted: DataFrame, as_of: Column, packs: tuple[SourceRules, ...] = PACKS, countries: dict[str, str] | None = None
 ) -> DataFrame:
@@ -82,11 +139,15 @@ def build_profiles(pages: DataFrame, as_of: Column, packs: tuple[SourceRules, ..
     return typed_profiles(extract_pages(pages, packs), as_of, packs)
 
 
+def merge_turn(source: Column, order: tuple[str, ...] = SOURCE_ORDER) -> Column:
+    """A number that grows with the turn in which a source's records become seeds."""
+    return -F.coalesce(F.array_position(F.array(*[F.lit(s) for s in order]), source), F.lit(0))
+
+
 def merge_order(profiles: DataFrame, order: tuple[str, ...] = SOURCE_ORDER) -> DataFrame:
     """Adds ``rank`` 1..n, the order in which records become seeds: the source read last comes
     first, and within a source the address decides."""
-    turn = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in order]), F.col("source")), F.lit(0))
-    placed, _ = staged(profiles.withColumn("_turn", -turn), "turns")
+    placed, _ = staged(profiles.withColumn("_turn", merge_turn(F.col("source"), order)), "turns")
     return number_rows(placed, "_turn", "source", "ico_url", name="rank").drop("_turn")
 
 
@@ -112,6 +173,12 @@ def page_rejects(decoded: DataFrame, extracted: DataFrame, orphans: DataFrame) -
     )
 
 
+def failed_rejects(failed_pages: DataFrame) -> DataFrame:
+    """Pages of a source whose extraction failed as a whole."""
+    text = lambda v: F.lit(v).cast("string")
+    return failed_pages.select("source", "url", text("page").alias("field"), text(None).alias("raw"), "reason")
+
+
 def value_rejects(texts: DataFrame, profiles: DataFrame) -> DataFrame:
     """Dates and scores that fit no form, and countries that have no code.
 
@@ -192,46 +259,60 @@ def full_run(
     run_ts: str,
     packs: tuple[SourceRules, ...] = PACKS,
     snapshots: str = "csv",
+    latest: bool = False,
 ) -> dict[str, str]:
     """Crawled bytes in, snapshots and related tables out; returns the table paths.
 
-    As in a run that writes early and again, a stage is written before the next one starts.
-    ``snapshots`` is the format of the stage snapshots, ``csv`` or ``parquet``.
+    As in a run that writes early and again, a stage is written before the next one starts, and the tables
+    are loaded as one version after each stage: a reader sees the tables of one stage.
+    ``snapshots`` is the format of the stage snapshots, ``csv`` or ``parquet``.  ``latest`` says that
+    ``pages`` have one row for each address already.
     """
     spark = pages.sparkSession
-    given, pages = pages, latest_pages(pages)
-    community = Community(*(latest_pages(p) for p in vars(community).values()))
-    html = decode_pages(pages) if "body" in pages.columns else pages
-    html, n_pages = staged(html, "decoded")
-    extracted, orphans = extract_with_orphans(html.where("html is not null"), packs)
-    extracted, n_found = staged(extracted, "found")
-    known = extracted.where("raw is not null")
-    texts, _ = staged(profile_texts(known, packs), "texts")
-    profiles, n_profiles = staged(typed_profiles(known, as_of, packs), "profiles")
-    write_by_source(profiles, f"{out_dir}/by_source", run_ts)
-    ranked, n_valid = staged(merge_order(profiles), "ranked", {"n_valid": F.count_if(is_valid(FIELDS))})
-    refused = page_rejects(html, extracted, orphans).unionByName(value_rejects(texts, profiles)).unionByName(record_rejects(ranked))
-    refused.write.parquet(f"{out_dir}/rejects/run_ts={run_ts}")
-    merged, n_merged = staged(consolidate(ranked).select("entity", *FIELDS), "merged")
-    numbered = number_rows(merged, "entity")
-
-    def load(stage: str, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
-        """A stage is written, and the tables are loaded anew from it, before the next one starts."""
-        df, _ = staged(df, stage)
-        write_stage(df, out_dir, stage, run_ts, snapshots)
-        return df, reload_folder(fan_out(df, F.lit(run_ts)), f"{out_dir}/tables")
-
-    with_members, _ = load("members", add_members(numbered, community.member_pages))
-    with_posts, _ = load("posts", add_communities(with_members, community.post_pages, community.author_pages))
-    _, paths = load("threads", add_threads(with_posts, community.thread_pages))
-    counts = {
-        "pages_given": given.count(),
-        "pages": n_pages["n_rows"],
-        "pages_extracted": n_found["n_rows"],
-        "profiles": n_profiles["n_rows"],
-        "profiles_valid": n_valid["n_valid"],
-        "entities": n_merged["n_rows"],
-    }
-    rows = [(stage, int(n)) for stage, n in counts.items()]
-    spark.createDataFrame(rows, "stage string, n_rows long").write.parquet(f"{out_dir}/counts/run_ts={run_ts}")
-    return paths
+    with scratch_scope(spark):
+        n_given = None
+        if not latest:
+            pages, n_given = latest_pages(pages, counted=True)
+        community = Community(*(latest_pages(p) for p in vars(community).values()))
+        html = decode_pages(pages) if "body" in pages.columns else pages
+        # Divided by source, so that each source is extracted from its own files.
+        html, n_pages = staged(html, "decoded", partition_by=("source",))
+        found = extract_sources(html.where("html is not null"), packs)
+        extracted, n_found = staged(found.profiles, "found")
+        known = extracted.where("raw is not null")
+        texts, _ = staged(profile_texts(known, packs), "texts")
+        profiles, n_profiles = staged(typed_profiles(known, as_of, packs), "profiles")
+        write_by_source(profiles, f"{out_dir}/by_source", run_ts)
+        ranked, n_valid = staged(merge_order(profiles), "ranked", {"n_valid": F.count_if(is_valid(FIELDS))})
+        refused = (
+            page_rejects(html, extracted, found.orphans)
+            .unionByName(failed_rejects(found.failed_pages))
+            .unionByName(value_rejects(texts, profiles))
+            .unionByName(record_rejects(ranked))
+        )
+        refused.write.parquet(f"{out_dir}/rejects/run_ts={run_ts}")
+        spark.createDataFrame(found.outcomes, OUTCOME_SCHEMA).write.parquet(f"{out_dir}/outcomes/run_ts={run_ts}")
+        merged, n_merged = staged(consolidate(ranked).select("entity", *FIELDS), "merged")
+        numbered = number_rows(merged, "entity")
+
+        def load(stage: str, df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+            """A stage is written, and the tables are loaded anew from it, before the next one starts."""
+            df, _ = staged(df, stage)
+            write_stage(df, out_dir, stage, run_ts, snapshots)
+            return df, write_version(fan_out(df, F.lit(run_ts)), f"{out_dir}/tables", f"{run_ts} {stage}")
+
+        with_members, _ = load("members", add_members(numbered, community.member_pages))
+        with_posts, _ = load("posts", add_communities(with_members, community.post_pages, community.author_pages))
+        _, paths = load("threads", add_threads(with_posts, community.thread_pages))
+        drop_versions(spark, f"{out_dir}/tables")
+        counts = {
+            "pages_given": n_pages["n_rows"] if n_given is None else n_given,
+            "pages": n_pages["n_rows"],
+            "pages_extracted": n_found["n_rows"],
+            "profiles": n_profiles["n_rows"],
+            "profiles_valid": n_valid["n_valid"],
+            "entities": n_merged["n_rows"],
+        }
+        rows = [(stage, int(n)) for stage, n in counts.items()]
+        spark.createDataFrame(rows, "stage string, n_rows long").write.parquet(f"{out_dir}/counts/run_ts={run_ts}")
+        return paths

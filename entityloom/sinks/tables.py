@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entityloom.session import staged
+from entityloom.sinks.versions import write_version
 from entityloom.sources.tables import jdbc_options
 
 # The split of a profile over the related tables, by field group.
@@ -88,11 +89,8 @@ def fan_out(profiles: DataFrame, created_at: Column, tables: dict[str, tuple[str
 
 
 def reload_folder(frames: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Replace the content of one Parquet folder per table."""
-    paths = {t: os.path.join(folder, t) for t in frames}
-    for table, df in frames.items():
-        df.write.mode("overwrite").parquet(paths[table])
-    return paths
+    """Replace the content of all tables at once: a new version, of which readers see all tables or none."""
+    return write_version(frames, folder)
 
 
 def reload_jdbc(frames: dict[str, DataFrame], url: str, batch: int = 100, **options: object) -> None:

@@ -78,11 +78,17 @@ def file_bytes(doc_ids: list, sizes: list[int], ids: np.ndarray) -> bytes:
     return b"".join([MAGIC, len(header).to_bytes(8, "little"), header, *(raw for _, raw in parts)])
 
 
+def arrow_uri(path: str) -> str:
+    """A path as Arrow names it: Hadoop's connectors of the same object store have schemes of their own."""
+    scheme, mark, rest = path.partition("://")
+    return {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + mark + rest
+
+
 class DacFile:
     """Reader of one file; ``token`` and ``document`` read only the bytes they need."""
 
     def __init__(self, path: str):
-        system, plain = fs.FileSystem.from_uri(path)
+        system, plain = fs.FileSystem.from_uri(arrow_uri(path))
         self.file = system.open_input_file(plain)
         head = self.file.read_at(16, 0)
         if head[:8] != MAGIC:
@@ -153,7 +159,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         def flush() -> pa.RecordBatch:
             nonlocal docs, sizes, parts, total, seq
             path = f"{folder}/{part:06d}-{seq:04d}-{uuid.uuid4().hex}.dac"
-            system, plain = fs.FileSystem.from_uri(path)
+            system, plain = fs.FileSystem.from_uri(arrow_uri(path))
             system.create_dir(plain.rpartition("/")[0], recursive=True)
             with system.open_output_stream(plain) as out:
                 out.write(file_bytes(docs, sizes, np.concatenate(parts)))

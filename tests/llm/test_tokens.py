@@ -44,6 +44,35 @@ def test_levels_round_trip_and_random_access(tmp_path):
         file.token(len(ids))
 
 
+def test_word_memory_forgets_and_stays_right(monkeypatch):
+    rng, asked = random.Random(6), []
+
+    def encode(words):
+        asked.extend(words)
+        flat = np.frombuffer(b"".join(words), np.uint8).astype(np.uint32)
+        return flat, np.array([len(w) for w in words], np.int64)
+
+    doubled = lambda words: tuple(np.repeat(x, 2) if i == 0 else 2 * x for i, x in enumerate(encode(words)))
+    memory = tokens.WordMemory([encode, doubled], 40)
+    words = [bytes(rng.randrange(97, 100) for _ in range(rng.randrange(5))) for _ in range(200)]
+    for turn in range(60):
+        if turn == 30:  # all words share one of two hashes
+            monkeypatch.setattr(tokens.xxhash, "xxh64_intdigest", lambda w: len(w) % 2)
+            memory = tokens.WordMemory([encode, doubled], 40)
+        some = sorted(set(rng.sample(words, 25)))
+        (flat, start, length), (flat2, start2, length2) = memory.look_up(some)
+        for w, a, n, b, m in zip(some, start, length, start2, length2, strict=True):
+            assert flat[a : a + n].tolist() == list(w)
+            assert flat2[b : b + m].tolist() == [c for c in w for _ in range(2)]
+    assert memory.look_up([])[0][1].tolist() == []
+    assert len(asked) < 2 * 60 * 25
+
+
+def test_names_of_object_stores():
+    assert dac.arrow_uri("s3a://bucket/x y") == "s3://bucket/x y"
+    assert [dac.arrow_uri(u) for u in ("file:///tmp/a", "hdfs://n/x", "/tmp/s3a://x")] == ["file:///tmp/a", "hdfs://n/x", "/tmp/s3a://x"]
+
+
 def some_docs(docs):
     rng = random.Random(8)
     rows = [(1000 - i, " ".join(rng.choice(["alpha", "beta", "Γ", "x"]) for _ in range(rng.choice([0, 1, 7, 300])))) for i in range(150)]

@@ -113,7 +113,7 @@ class Tokenizers:
         sure = [i for i, t in enumerate(texts) if _has_single_blanks(t)]
         if sure:
             units, at, n = split_units([texts[i].replace("\n", " \n") for i in sure])
-            found = self.memory.look_up([u.encode() if u[:1] == "\n" else b" " + u.encode() for u in units.to_pylist()])
+            found = self.memory.look_up([u if u[:1] == b"\n" else b" " + u for u in units.to_pylist()])
             spans = [spread(side, at, n) for side in found]
             for k, i in enumerate(sure):
                 ids = [flat[ends[k - 1] if k else 0 : ends[k]] for flat, ends in spans]

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from entityloom.operators.merge import clean_strings, merge_by_priority, source_priority
 from entityloom.operators.quality import MIN_KNOWN, REQUIRED, keep_valid
-from entityloom.operators.resolve import greedy_clusters, key_blocks, transitive_clusters
+from entityloom.operators.resolve import by_shuffle, greedy_clusters, key_blocks, transitive_clusters
 from entityloom.plans.consolidate import MATCH_KEYS
 from entityloom.schema import FIELDS, SOURCE_PRIORITY
 from entityloom.session import scratch_scope, staged
@@ -72,18 +72,19 @@ def _present(spark: SparkSession, state: EntityState) -> dict[str, DataFrame] |
         return None
     path = lambda c, t: os.path.join(state.folder, "_versions", c.version, t)
     read = {t: spark.read.parquet(*[path(c, t) for c in listed]) for t in _TABLES}
-    return {t: read[t].join(read["gone"], ["version", "component"], "left_anti") for t in _TABLES if t != "gone"}
+    return {t: read[t].join(by_shuffle(read["gone"]), ["version", "component"], "left_anti") for t in _TABLES if t != "gone"}
 
 
 def _next_version(spark: SparkSession, state: EntityState) -> int:
     return (commits(spark, state.folder).agg(F.max("number").alias("n")).first().n or 0) + 1
 
 
-def _touched(present: dict[str, DataFrame], keys: DataFrame, fresh: DataFrame, state: EntityState) -> DataFrame:
+def _touched(present: dict[str, DataFrame], keys: DataFrame, n_keys: int | None, fresh: DataFrame, state: EntityState) -> DataFrame:
     """(version, component) that a batch touches, by its records' keys and by its key values."""
-    of_keys = present["records"].join(keys, list(state.key), "left_semi").select("version", "component")
+    n_blocks = n_keys * len(state.match_keys) if n_keys is not None else None
+    of_keys = present["records"].join(by_shuffle(keys, n_keys), list(state.key), "left_semi").select("version", "component")
     blocks = fresh.select(F.explode(key_blocks(state.keys())).alias("block")).distinct()
-    of_blocks = present["index"].join(blocks, "block", "left_semi").select("version", "component")
+    of_blocks = present["index"].join(by_shuffle(blocks, n_blocks), "block", "left_semi").select("version", "component")
     return of_keys.unionByName(of_blocks).distinct()
 
 
@@ -100,18 +101,21 @@ def apply_changes(state: EntityState, changed: DataFrame, removed: DataFrame | N
         fresh = keep_valid(given, state.required, state.fields, state.minimum)
         keys = given.select(*state.key)
         keys = (keys.unionByName(removed.select(*state.key)) if removed is not None else keys).distinct()
+        # How many are removed is not known before they are read.
+        n_keys = int(n_given["n_rows"]) if removed is None else None
         present = _present(spark, state)
         version = _next_version(spark, state)
         if present is None:
             touched = spark.createDataFrame([], "version long, component long")
             members, n_touched = fresh, 0
         else:
-            touched, seen = staged(_touched(present, keys, fresh, state), "touched")
+            touched, seen = staged(_touched(present, keys, n_keys, fresh, state), "touched")
             n_touched = int(seen["n_rows"])
-            kept = present["records"].join(touched, ["version", "component"], "left_semi").join(keys, list(state.key), "left_anti")
+            kept = present["records"].join(by_shuffle(touched, n_touched), ["version", "component"], "left_semi")
+            kept = kept.join(by_shuffle(keys, n_keys), list(state.key), "left_anti")
             members = kept.select(*columns).unionByName(fresh)
         ranked, n_members = staged(number_rows(members, *state.order, name="_rank"), "members")
-        frames, n_entities = _recomputed(ranked, state)
+        frames, n_entities = _recomputed(ranked, int(n_members["n_rows"]), state)
         frames["gone"] = touched
         for table in ("records", "index", "merged"):
             frames[table] = frames[table].withColumn("version", F.lit(version).cast("long"))
@@ -124,17 +128,17 @@ def apply_changes(state: EntityState, changed: DataFrame, removed: DataFrame | N
         }
 
 
-def _recomputed(ranked: DataFrame, state: EntityState) -> tuple[dict[str, DataFrame], int]:
+def _recomputed(ranked: DataFrame, n_members: int, state: EntityState) -> tuple[dict[str, DataFrame], int]:
     """Records with their component, the index of key values, and merged entities."""
     named = lambda df, name: df.withColumnsRenamed({"rank": "_rank", "entity": name})
     component = named(transitive_clusters(ranked, "_rank", state.keys()), "component")
     cluster = named(greedy_clusters(ranked, "_rank", state.keys()), "_entity")
-    placed, _ = staged(ranked.join(component, "_rank").join(cluster, "_rank"), "clustered")
+    placed, _ = staged(ranked.join(by_shuffle(component, n_members), "_rank").join(by_shuffle(cluster, n_members), "_rank"), "clustered")
     # A seed is a member of its own entity: no join with all records is needed to name it.
     seeds = placed.where("_rank = _entity").select("_entity", "component", F.struct(*state.order).alias("seed"))
     ready = placed.withColumn("_priority", source_priority(F.col("source"), dict(state.priority)))
     merged = clean_strings(merge_by_priority(ready, "_entity", state.fields, "_priority", "_rank"))
-    merged, seen = staged(merged.join(seeds, "_entity").drop("_entity"), "merged-entities")
+    merged, seen = staged(merged.join(by_shuffle(seeds, n_members), "_entity").drop("_entity"), "merged-entities")
     index = placed.select("component", F.explode(key_blocks(state.keys())).alias("block")).distinct()
     records = placed.select("component", *state.columns())
     return {"records": records, "index": index, "merged": merged}, int(seen["n_rows"])

@@ -239,3 +239,16 @@ def test_numbers_in_blocks(spark):
         assert got == sorted((k, n) for k, last in ((1, 45), (2, 4), (5, 100)) for n in range(4, last + 1, 7))
     big = spark.createDataFrame([(1, 30_000_000)], "k int, last int")
     assert numbers_exploded(big, "n", 0, "last", 20).count() == 1_500_001
+
+
+def test_large_joins_send_nothing_through_the_driver(spark):
+    """Beyond a few rows facts meet their members by shuffle, however small their files are; the rows are the same."""
+    members = spark.range(50).select("id", (F.col("id") % 7).alias("k"))
+    facts = members.groupBy("k").agg(F.count(F.lit(1)).alias("n_rows"), F.min("id").alias("first"))
+    wanted = sorted((i % 7, i, i % 7) for i in range(50))
+    for total in (None, 50, resolve.MIN_SHUFFLED_ROWS, resolve.MIN_HOT_ROWS):
+        joined = resolve.join_facts(members, facts, ["k"], total)
+        assert sorted(map(tuple, joined.select("k", "id", "first").collect())) == wanted
+    plan = lambda total: resolve.join_facts(members, facts, ["k"], total)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan(resolve.MIN_SHUFFLED_ROWS)
+    assert "SortMergeJoin" in plan(resolve.MIN_SHUFFLED_ROWS)

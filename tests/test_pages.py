@@ -1,7 +1,9 @@
 """Shredder, rule packs of all sources, and the full run."""
 
+import random
 import time
 from html import unescape
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,3 +343,35 @@ def test_implied_ends_stop_at_their_stops():
     assert [(e[5], e[1]) for e in elements] == [
         ("p", None), ("table", None), ("td", 1), ("p", 2), ("p", 2), ("p", None), ("ul", None), ("li", 6), ("ul", 7), ("li", 8), ("li", 6),
     ]
+
+
+class _ByBase(shredder._PageReader):
+    """Every tag read by the base class."""
+
+    def _plain_tags(self, i):
+        return i
+
+
+ODD_PIECES = (
+    "<div>", "</div>", "<P>", "<p class=x>", "<p class='a b' id=\"q\">", "<li>", "</ul>", "<br/>", "<script>", "</script>", "x<y", "a &amp; b", "\n",
+    "<title>", "</title>", "<!-- c -->", "<![if x]>", "<a href=x/>", "<a href='x>y'>", '<a href="a&amp;b">', "<a href>", '<a href="">', "<a x=1 x=2>",
+    '<a x="1"y=2>', "<a\tb=c\n>", "<a\x0bb=c>", "<a\xa0b=c>", "</div x>", "</ div>", "</>", "<", '<a b="c', "&#", "<a:b>", "<a b=c'd>", "<a b=c/ d=e>",
+)
+
+
+def test_plain_tags_are_read_as_the_base_class_reads_them():
+    pick = random.Random(3)
+    for _ in range(3000):
+        page = "".join(pick.choice(ODD_PIECES) for _ in range(pick.randint(1, 20)))
+        elements, texts = shredder._PageReader().read(page)
+        assert (elements, texts) == _ByBase().read(page), page
+        assert [list(e[6]) for e in elements] == [list(e[6]) for e in _ByBase().read(page)[0]], page
+
+
+def test_plain_tags_skip_the_steps_of_the_base_class(monkeypatch):
+    calls = []
+    for name in ("parse_starttag", "parse_endtag"):
+        base = getattr(HTMLParser, name)
+        monkeypatch.setattr(HTMLParser, name, lambda self, i, base=base: calls.append(i) or base(self, i))
+    shredder._PageReader().read("<div class=a>" * 600 + "<b id='x'>w</b>p" + "</div>" * 600 + "tail")
+    assert not calls

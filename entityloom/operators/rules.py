@@ -110,6 +110,11 @@ def rules_literal(packs_json: dict[str, str], source: Column) -> Column:
     return F.try_element_at(F.from_json(F.lit(text), f"map<string,{RULES_TYPE}>"), source)
 
 
+def _known(text: Column) -> Column:
+    """``tx.blank_to_null``, reading the text once: inside a lambda that names it twice, Spark would read it twice."""
+    return tx.let(tx.strip(text), lambda t: F.when(t != "", t))
+
+
 class Evaluator:
     """Expressions over one shredded page: ``elements``, ``texts`` and ``index``."""
 
@@ -204,7 +209,7 @@ class Evaluator:
         """What the rules read on the page: ``array<struct<field,label,value>>``, NULL without rules."""
 
         def fact(item: Column, rule: Column) -> Column:
-            value = tx.blank_to_null(self.read(item, rule["value"]))
+            value = _known(self.read(item, rule["value"]))
             label = F.when(rule["label"].isNotNull(), self.read(item, rule["label"]))
             return tx.let(
                 label,
@@ -217,7 +222,7 @@ class Evaluator:
 
         def of_rule(rule: Column) -> Column:
             def listed(items: Column) -> Column:
-                joined = tx.blank_to_null(F.array_join(F.transform(items, lambda i: self.read(i, rule["value"])), ","))
+                joined = _known(F.array_join(F.transform(items, lambda i: self.read(i, rule["value"])), ","))
                 whole = F.array(F.struct(rule["to"].alias("field"), F.lit(None).cast("string").alias("label"), joined.alias("value")))
                 each = F.transform(items, lambda i: fact(i, rule))
                 # Reversed, so that "the last fact of a field wins" keeps the first match.

@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from entityloom.operators import enrich
-from entityloom.operators.extract import Sel, extract, find, listing_links, take, unmapped_labels
+from entityloom.operators.extract import Part, Rule, Sel, SourceRules, extract, find, listing_links, take, unmapped_labels
 from entityloom.operators.packs import PACKS
 from entityloom.operators import shred as shredder
+from entityloom.operators.rules import _known as known_value
 from entityloom.operators.shred import element_table, own_text_of, shred, text_of
 from entityloom.plans.profiles import Community, build_profiles, full_run
 from entityloom.plans.refresh import refresh_run
@@ -375,3 +376,14 @@ def test_plain_tags_skip_the_steps_of_the_base_class(monkeypatch):
         monkeypatch.setattr(HTMLParser, name, lambda self, i, base=base: calls.append(i) or base(self, i))
     shredder._PageReader().read("<div class=a>" * 600 + "<b id='x'>w</b>p" + "</div>" * 600 + "tail")
     assert not calls
+
+
+def test_a_value_is_read_once(spark):
+    """Inside a lambda an expression that names a text twice makes Spark read it twice."""
+    page = spark.createDataFrame([("<h1>a</h1>", "s")], "html string, source string")
+    rules = SourceRules("s", "http://x", (Rule(Sel("h1"), Part(steps=("upper",)), to="name"),), (Sel("a"), "href", ()))
+    values = spark.createDataFrame([(" a ",), ("  ",), (None,)], "x string")
+    once = values.select(F.transform(F.array("x"), lambda t: known_value(F.concat(t, F.lit("")))).alias("v"))
+    assert [r.v[0] for r in once.collect()] == ["a", None, None]
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("concat(") == 1
+    assert extract(shred(page, index=True), (rules,)).first()["raw"] == {"name": "A"}

@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from entityloom.llm import exact_dedup, language, mixing, packing, simhash
-from entityloom.llm.common import staged_rows, word_count
+from entityloom.llm.common import small_batches, staged_rows, word_count
 
 ORACLE_SQL: str | None = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those whose two best languages are close."""
+    small_batches(spark)
     return language.accepted_rows(docs, language.dictionaries(docs, F.lit(True)))
 
 
@@ -36,6 +37,7 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near fingerprints."""
+    small_batches(spark)
     return simhash.without_near_duplicates(docs)
 
 
@@ -46,6 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids and their places in sequences."""
+    small_batches(spark)
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(packing.token_pieces(docs, path, end_id=0, keep=False))
 

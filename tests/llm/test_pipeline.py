@@ -93,3 +93,16 @@ def test_odd_rows_and_clashing_columns(spark, docs, tmp_path):
 def test_empty(spark, docs, tmp_path):
     docs([]).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_texts_go_to_workers_in_small_batches(spark, docs):
+    """Unless the session names a size of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    table = docs([(1, "a b")])
+    for own, wanted in ((None, "8388608b"), ("3m", "3m")):
+        try:
+            spark.conf.unset(key) if own is None else spark.conf.set(key, own)
+            corpus_pipeline.pack(spark, table, "")
+            assert spark.conf.get(key) == wanted
+        finally:
+            spark.conf.unset(key)
